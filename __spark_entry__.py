@@ -233,8 +233,9 @@ def fact_stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lookups = facts.load_lookups(*stored_dimensions(spark, sf_dir))
-    return facts.build_fact(raw_parts(spark, sf_dir), lookups)
+    """Categories looked up, device ids computed: the default load."""
+    categories, _ = stored_dimensions(spark, sf_dir)
+    return facts.build_fact(raw_parts(spark, sf_dir), facts.load_lookups(categories))
 
 
 @query

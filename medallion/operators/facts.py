@@ -5,14 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions import event_time, is_one, normalize_key, stable_uuid, tri_bool
 from medallion.operators.conform import conform, require_columns
-from medallion.operators.dims import CATEGORY_DIMS, DimSpec, category_mapping, device_key, device_mapping
-from medallion.operators.dims import device_stable_uid
-from medallion.operators.joins import lookup_join, measured_bytes
+from medallion.operators.dims import (
+    CATEGORY_DIMS,
+    DimSpec,
+    category_mapping,
+    device_key,
+    device_mapping,
+    device_stable_uid,
+)
+from medallion.operators.joins import MAX_BROADCAST_BYTES, lookup_join, measured_bytes, measured_bytes_by
 from medallion.schemas import FACT, FLAG_COLUMNS
 
 FACT_NAMESPACE = "fact_telemetry"
@@ -21,15 +27,21 @@ LINEAGE = ("_source_file", "_file_hash", "_loaded_at", "_batch_id", "_part_index
 
 @dataclass(frozen=True)
 class Lookups:
-    """Natural value -> uid frames, one per dimension, with their measured sizes."""
+    """Natural value -> uid frames, one per dimension, with their measured sizes.
+
+    Without ``devices`` the ids are stable ones: the device id is computed in place, and so is the id of a
+    category too big to broadcast. A broadcast lookup of a small one costs a third of computing its id.
+    """
 
     categories: Mapping[str, DataFrame]
-    devices: DataFrame
     sizes: Mapping[str, int]
+    devices: DataFrame | None = None
 
 
-def load_lookups(dims: DataFrame, devices: DataFrame, specs: Sequence[DimSpec] = CATEGORY_DIMS) -> Lookups:
-    """Mappings from dimension tables; one small job measures them all, so that each join can be chosen."""
+def load_lookups(
+    dims: DataFrame, devices: DataFrame | None = None, specs: Sequence[DimSpec] = CATEGORY_DIMS
+) -> Lookups:
+    """Mappings from dimension tables, measured so that each join can be chosen. Give ``devices`` for random ids."""
     mapping = category_mapping(dims)
     categories = {
         spec.name: mapping.where(F.col("dim_name") == spec.name).select(
@@ -37,8 +49,11 @@ def load_lookups(dims: DataFrame, devices: DataFrame, specs: Sequence[DimSpec] =
         )
         for spec in specs
     }
+    sizes = {**dict.fromkeys(categories, 0), **measured_bytes_by(mapping, "dim_name")}
+    if devices is None:
+        return Lookups(categories, sizes)
     device_map = device_mapping(devices)
-    return Lookups(categories, device_map, measured_bytes({**categories, "device": device_map}))
+    return Lookups(categories, {**sizes, "device": measured_bytes(device_map)}, device_map)
 
 
 def fact_source(raw: DataFrame) -> DataFrame:
@@ -59,31 +74,36 @@ def fact_keys(specs: Sequence[DimSpec] = CATEGORY_DIMS) -> list[str]:
     return ["device_uid", *[spec.uid for spec in specs]]
 
 
+def _device_uid() -> Column:
+    return F.when(device_key().isNotNull(), device_stable_uid())
+
+
 def with_stable_keys(source: DataFrame, specs: Sequence[DimSpec] = CATEGORY_DIMS) -> DataFrame:
     """Surrogate keys computed in place: no lookup, no join, no shuffle."""
-    device = F.when(device_key().isNotNull(), device_stable_uid())
-    return source.withColumns({"device_uid": device, **{spec.uid: spec.stable_uid() for spec in specs}})
+    return source.withColumns({"device_uid": _device_uid(), **{spec.uid: spec.stable_uid() for spec in specs}})
 
 
 def with_looked_up_keys(
     source: DataFrame, lookups: Lookups, specs: Sequence[DimSpec] = CATEGORY_DIMS
 ) -> DataFrame:
-    """Surrogate keys read from the dimension tables, as needed for random ids."""
-    keyed = source.withColumn("device_id", device_key())
-    keyed = lookup_join(keyed, lookups.devices, "device_id", right_bytes=lookups.sizes["device"])
-    for spec in specs:
-        key = f"_{spec.name}"
-        keyed = lookup_join(
-            keyed.withColumn(key, normalize_key(spec.source)),
-            lookups.categories[spec.name],
-            key,
-            right_bytes=lookups.sizes[spec.name],
-        ).drop(key)
-    return keyed
+    """Surrogate keys read from the dimension tables; see ``Lookups`` for the ones that are computed."""
+    stable = lookups.devices is None
+    computed = [spec for spec in specs if stable and lookups.sizes[spec.name] > MAX_BROADCAST_BYTES]
+    looked_up = [spec for spec in specs if spec not in computed]
+    keyed = source.withColumns({f"_{spec.name}": normalize_key(spec.source) for spec in looked_up})
+    if stable:
+        keyed = keyed.withColumns({"device_uid": _device_uid(), **{spec.uid: spec.stable_uid() for spec in computed}})
+    else:
+        keyed = keyed.withColumn("device_id", device_key())
+        keyed = lookup_join(keyed, lookups.devices, "device_id", right_bytes=lookups.sizes["device"])
+    for spec in looked_up:
+        mapping, size = lookups.categories[spec.name], lookups.sizes[spec.name]
+        keyed = lookup_join(keyed, mapping, f"_{spec.name}", right_bytes=size)
+    return keyed.drop(*[f"_{spec.name}" for spec in looked_up])
 
 
 def build_fact(raw: DataFrame, lookups: Lookups | None = None) -> DataFrame:
-    """The fact rows of a raw batch: stable keys by default, looked-up keys when lookups are given.
+    """The fact rows of a raw batch, with keys looked up, or all computed when no lookups are given.
 
     A row whose device or category has no key fails the write; there is no separate check pass.
     """

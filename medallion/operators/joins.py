@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,15 +24,14 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def measured_bytes(frames: Mapping[str, DataFrame]) -> dict[str, int]:
-    """Exact in-memory row bytes of each frame, all measured in one Spark job."""
-    parts = None
-    for name, df in frames.items():
-        part = df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("n_bytes")).select(
-            F.lit(name).alias("name"), "n_bytes"
-        )
-        parts = part if parts is None else parts.unionAll(part)
-    return {} if parts is None else {row["name"]: row["n_bytes"] for row in parts.collect()}
+def measured_bytes(df: DataFrame) -> int:
+    """Exact in-memory row bytes of a frame, from one Spark job."""
+    return df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0]
+
+
+def measured_bytes_by(df: DataFrame, key: str) -> dict[str, int]:
+    """Row bytes per value of a key with few values, such as the dimension's name, from one Spark job."""
+    return dict(df.groupBy(key).agg(F.sum(_row_bytes(df))).collect())
 
 
 def lookup_join(
@@ -49,7 +46,7 @@ def lookup_join(
     if how not in _SAFE:
         raise ValueError(f"lookup_join cannot do a {how} join")
     if right_bytes is None:
-        right_bytes = measured_bytes({"right": right})["right"]
+        right_bytes = measured_bytes(right)
     if right_bytes <= max_broadcast_bytes:
         return left.join(F.broadcast(right), on, how)
     return salted_join(left, right, on, how)

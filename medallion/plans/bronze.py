@@ -65,11 +65,8 @@ def write_facts(
     spark: SparkSession, raw: DataFrame, lake: Lake, random_ids: bool = False
 ) -> int:
     """Write one batch of facts; the row count is observed during the write. Running it again replaces it."""
-    lookups = None
-    if random_ids:
-        lookups = load_lookups(
-            read_table(spark, lake.dims, CATEGORY_DIM), read_table(spark, lake.devices, DEVICE_DIM)
-        )
+    devices = read_table(spark, lake.devices, DEVICE_DIM) if random_ids else None
+    lookups = load_lookups(read_table(spark, lake.dims, CATEGORY_DIM), devices)
     seen = Observation()
     fact = build_fact(raw, lookups).observe(seen, F.count("*").alias("n"))
     overwrite_partitions(fact, lake.fact, FACT_PARTITIONS)
