@@ -24,13 +24,19 @@ def normalize_code(value: str | Column) -> Column:
     return F.upper(F.trim(_column(value).cast("string")))
 
 
-def stable_uuid(namespace: str | Column, *values: str | Column) -> Column:
+def stable_uuid(namespace: str | Column, *values: str | Column, null_gives_null: bool = False) -> Column:
     """The same UUID-shaped text for the same namespace and values, on every run and every executor.
 
-    A namespace given as text is taken literally; values given as text are column names.
+    A namespace given as text is taken literally; values given as text are column names. A NULL value counts
+    as the marker, or makes the id NULL; never wrap the id in a condition for that: inside one, Spark
+    computes the digest once per piece.
     """
-    texts = [F.coalesce(_column(value).cast("string"), F.lit(NULL_SENTINEL)) for value in values]
-    digest = F.sha2(F.concat_ws("|", F.lit(namespace), *texts), 256)
+    texts = [_column(value).cast("string") for value in values]
+    if null_gives_null:
+        between = [part for text in texts for part in (F.lit("|"), text)]
+        digest = F.sha2(F.concat(F.lit(namespace), *between), 256)
+    else:
+        digest = F.sha2(F.concat_ws("|", F.lit(namespace), *[F.coalesce(t, F.lit(NULL_SENTINEL)) for t in texts]), 256)
     pieces: list[Column] = []
     for start, length, lead in UUID_RUNS:
         pieces += [F.lit(lead)] if lead else []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions import event_time, is_one, normalize_key, stable_uuid, tri_bool
@@ -20,6 +20,8 @@ from medallion.operators.dims import (
 )
 from medallion.operators.joins import MAX_BROADCAST_BYTES, lookup_join, measured_bytes, measured_bytes_by
 from medallion.schemas import FACT, FLAG_COLUMNS
+from medallion.session import scratch_path
+from medallion.sources.tables import write_once
 
 FACT_NAMESPACE = "fact_telemetry"
 LINEAGE = ("_source_file", "_file_hash", "_loaded_at", "_batch_id", "_part_index")
@@ -41,8 +43,11 @@ class Lookups:
 def load_lookups(
     dims: DataFrame, devices: DataFrame | None = None, specs: Sequence[DimSpec] = CATEGORY_DIMS
 ) -> Lookups:
-    """Mappings from dimension tables, measured so that each join can be chosen. Give ``devices`` for random ids."""
-    mapping = category_mapping(dims)
+    """Mappings from dimension tables, measured so that each join can be chosen. Give ``devices`` for random ids.
+
+    The collapsed mapping is written down once, so that the eleven broadcasts are plain scans of it.
+    """
+    mapping = write_once(category_mapping(dims), scratch_path(dims.sparkSession, "mapping"), ["dim_name"])
     categories = {
         spec.name: mapping.where(F.col("dim_name") == spec.name).select(
             F.col("raw_value").alias(f"_{spec.name}"), F.col("uid").alias(spec.uid)
@@ -74,13 +79,9 @@ def fact_keys(specs: Sequence[DimSpec] = CATEGORY_DIMS) -> list[str]:
     return ["device_uid", *[spec.uid for spec in specs]]
 
 
-def _device_uid() -> Column:
-    return F.when(device_key().isNotNull(), device_stable_uid())
-
-
 def with_stable_keys(source: DataFrame, specs: Sequence[DimSpec] = CATEGORY_DIMS) -> DataFrame:
     """Surrogate keys computed in place: no lookup, no join, no shuffle."""
-    return source.withColumns({"device_uid": _device_uid(), **{spec.uid: spec.stable_uid() for spec in specs}})
+    return source.withColumns({"device_uid": device_stable_uid(), **{spec.uid: spec.stable_uid() for spec in specs}})
 
 
 def with_looked_up_keys(
@@ -92,7 +93,7 @@ def with_looked_up_keys(
     looked_up = [spec for spec in specs if spec not in computed]
     keyed = source.withColumns({f"_{spec.name}": normalize_key(spec.source) for spec in looked_up})
     if stable:
-        keyed = keyed.withColumns({"device_uid": _device_uid(), **{spec.uid: spec.stable_uid() for spec in computed}})
+        keyed = keyed.withColumns({"device_uid": device_stable_uid(), **{spec.uid: spec.stable_uid() for spec in computed}})
     else:
         keyed = keyed.withColumn("device_id", device_key())
         keyed = lookup_join(keyed, lookups.devices, "device_id", right_bytes=lookups.sizes["device"])
@@ -114,10 +115,8 @@ def build_fact(raw: DataFrame, lookups: Lookups | None = None) -> DataFrame:
 
 def require_all_keys(keyed: DataFrame) -> DataFrame:
     """Every surrogate key is required after the lookup, also those the table contract lets be NULL."""
-    message = "fact lookup gave a NULL "
-    return keyed.withColumns(
-        {name: F.coalesce(F.col(name), F.raise_error(F.lit(message + name))) for name in fact_keys()}
-    )
+    checks = {name: F.expr(f"coalesce({name}, raise_error('fact lookup gave a NULL {name}'))") for name in fact_keys()}
+    return keyed.withColumns(checks)
 
 
 def split_unkeyed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
