@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +105,21 @@ def record(spark: SparkSession, rows: Iterable[Mapping[str, Any]], schema: T.Str
     audit_frame(spark, rows, schema).coalesce(1).write.mode("append").parquet(path)
 
 
+def counting(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The frame with its rows counted by whichever job runs it."""
+    seen = Observation()
+    return df.observe(seen, F.count("*").alias("n")), seen
+
+
+def counted(seen: Observation, otherwise: Callable[[], int]) -> int:
+    """The observed count. When Spark finds at run time that the result is empty it drops the plan below,
+    observations included; only then is ``otherwise`` computed."""
+    try:
+        return seen.get["n"]
+    except (Py4JJavaError, KeyError):
+        return otherwise()
+
+
 def elapsed(started: dt.datetime, finished: dt.datetime) -> float:
     return max((finished - started).total_seconds(), 0.0)
 

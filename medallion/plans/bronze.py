@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import audit
@@ -67,10 +67,9 @@ def write_facts(
     """Write one batch of facts; the row count is observed during the write. Running it again replaces it."""
     devices = read_table(spark, lake.devices, DEVICE_DIM) if random_ids else None
     lookups = load_lookups(read_table(spark, lake.dims, CATEGORY_DIM), devices)
-    seen = Observation()
-    fact = build_fact(raw, lookups).observe(seen, F.count("*").alias("n"))
+    fact, seen = audit.counting(build_fact(raw, lookups))
     overwrite_partitions(fact, lake.fact, FACT_PARTITIONS)
-    return seen.get["n"]
+    return audit.counted(seen, lambda: 0)
 
 
 def ingest_frame(

@@ -5,8 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from medallion.operators import audit
 from medallion.operators.marts import MARTS, build_mart, mart_spec
@@ -22,10 +21,11 @@ def refresh_mart(spark: SparkSession, lake: Lake, mart: str, batch_id: str, now:
     """Rebuild one mart; the old one stays until the new one is complete. Returns its row count."""
     spec = mart_spec(mart)
     started = now or dt.datetime.now(dt.timezone.utc)
-    n_in, n_out = Observation(), Observation()
-    silver = read_table(spark, lake.silver, SILVER).observe(n_in, F.count("*").alias("n"))
-    rows = build_mart(silver, spec, batch_id, started.strftime(SECOND)).observe(n_out, F.count("*").alias("n"))
-    replace_table(rows, lake.gold(mart))
+    silver = read_table(spark, lake.silver, SILVER)
+    rows_in, n_in = audit.counting(silver)
+    rows_out, n_out = audit.counting(build_mart(rows_in, spec, batch_id, started.strftime(SECOND)))
+    replace_table(rows_out, lake.gold(mart))
+    n_silver, n_gold = audit.counted(n_in, silver.count), audit.counted(n_out, lambda: 0)
     finished = dt.datetime.now(dt.timezone.utc)
     audit.record(
         spark,
@@ -42,15 +42,15 @@ def refresh_mart(spark: SparkSession, lake: Lake, mart: str, batch_id: str, now:
                 "started_at": started.strftime("%Y-%m-%dT%H:%M:%SZ"),
                 "finished_at": finished.strftime("%Y-%m-%dT%H:%M:%SZ"),
                 "duration_sec": audit.elapsed(started, finished),
-                "rows_silver_in": n_in.get["n"],
-                "rows_gold_out": n_out.get["n"],
+                "rows_silver_in": n_silver,
+                "rows_gold_out": n_gold,
                 "rc": audit.SUCCESS_RC,
             }
         ],
         MART_RUNS,
         lake.audit("mart_runs"),
     )
-    return n_out.get["n"]
+    return n_gold
 
 
 def refresh_marts(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from medallion.operators import audit
@@ -56,16 +56,20 @@ def refresh_silver(
     else:
         selected = overlap_selection(fact, silver, overlap_hours)
 
-    n_selected, n_dedup, n_out = Observation(), Observation(), Observation()
-    newest = fact_dedup(selected.observe(n_selected, F.count("*").alias("n"))).observe(
-        n_dedup, F.count("*").alias("n")
-    )
+    rows_in, n_selected = audit.counting(selected)
+    newest, n_dedup = audit.counting(fact_dedup(rows_in))
     fresh = unseen(newest, selected, silver)
     decoders = load_decoders(read_table(spark, lake.dims, CATEGORY_DIM), read_table(spark, lake.devices, DEVICE_DIM))
     rows = build_silver(fresh, decoders, read_reference(spark, lake.reference), batch_id, started.strftime(SECOND))
-    overwrite_partitions(rows.observe(n_out, F.count("*").alias("n")), lake.silver, SILVER_PARTITIONS)
+    rows_out, n_out = audit.counting(rows)
+    overwrite_partitions(rows_out, lake.silver, SILVER_PARTITIONS)
 
-    result = SilverResult(chosen, n_selected.get["n"], n_dedup.get["n"], n_out.get["n"])
+    result = SilverResult(
+        chosen,
+        audit.counted(n_selected, selected.count),
+        audit.counted(n_dedup, lambda: selected.select("fact_uid").distinct().count()),
+        audit.counted(n_out, lambda: 0),
+    )
     finished = dt.datetime.now(dt.timezone.utc)
     audit.record(
         spark,
