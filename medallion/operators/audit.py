@@ -19,7 +19,7 @@ from medallion.sources.tables import nullable
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 SUCCESS_RC = 0
-MESSAGE_LIMIT = 20_000  # characters of a run message that are kept, from its end
+MESSAGE_LIMIT = 20_000  # characters of an error that are kept
 _MICROS = 1_000_000
 
 
@@ -120,6 +120,52 @@ def counted(seen: Observation, otherwise: Callable[[], int]) -> int:
         return otherwise()
 
 
+def error_text(failure: Exception) -> str:
+    return f"{type(failure).__name__}: {failure}"[:MESSAGE_LIMIT]
+
+
+def iso(moment: dt.datetime) -> str:
+    return moment.strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def recorded_run(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    started: dt.datetime,
+    fields: Mapping[str, Any],
+    work: Callable[[], Mapping[str, Any]],
+) -> Mapping[str, Any]:
+    """Do the work, then append its run record: its counts when it succeeds, its error when it fails."""
+    outcome: Mapping[str, Any] = {}
+    status, rc, error = FAILED, 1, None
+    try:
+        outcome = work()
+        status, rc = SUCCESS, SUCCESS_RC
+        return outcome
+    except Exception as failure:
+        error = error_text(failure)
+        raise
+    finally:
+        finished = dt.datetime.now(dt.timezone.utc)
+        names = {
+            "event_at": utc_now(),
+            "load_status": status,
+            "status": status.lower(),
+            "started_at": iso(started),
+            "start_ts": iso(started),
+            "finished_at": iso(finished),
+            "end_ts": iso(finished),
+            "duration_sec": elapsed(started, finished),
+            "rc": rc,
+            "error": error,
+            "error_message": error or "",
+            **fields,
+            **outcome,
+        }
+        record(spark, [{name: value for name, value in names.items() if name in schema.names}], schema, path)
+
+
 def elapsed(started: dt.datetime, finished: dt.datetime) -> float:
     return max((finished - started).total_seconds(), 0.0)
 

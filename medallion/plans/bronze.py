@@ -12,7 +12,7 @@ from medallion.operators import audit
 from medallion.operators.dims import category_values, device_values, new_category_rows, new_device_rows
 from medallion.operators.facts import build_fact, load_lookups
 from medallion.operators.joins import lookup_join
-from medallion.plans.lake import FACT_PARTITIONS, Lake
+from medallion.plans.lake import FACT_PARTITIONS, Lake, second_text
 from medallion.schemas import CATEGORY_DIM, DEVICE_DIM, FACT, FILE_LEDGER, RAW_TELEMETRY
 from medallion.session import scratch_path
 from medallion.sources.files import (
@@ -27,7 +27,6 @@ from medallion.sources.files import (
 )
 from medallion.sources.tables import append, optional_table, overwrite_partitions, read_table, write_once
 
-SECOND = "%Y-%m-%d %H:%M:%S"
 LOADER = "raw_to_bronze"
 
 
@@ -104,7 +103,7 @@ def ingest_files(
     Call it until it returns None to work off more than ``max_files`` files.
     """
     started = now or dt.datetime.now(dt.timezone.utc)
-    loaded_at = started.strftime(SECOND)
+    loaded_at = second_text(started)
     ledger = optional_table(spark, lake.ledger, FILE_LEDGER)
     batch = write_once(
         next_batch(new_files(list_files(spark, raw_root), ledger), max_files), scratch_path(spark, "batch")
@@ -119,7 +118,7 @@ def ingest_files(
     items = batch.withColumns(
         {
             "batch_id": F.lit(batch_id),
-            "started_at": F.lit(started.strftime("%Y-%m-%dT%H:%M:%SZ")),
+            "started_at": F.lit(audit.iso(started)),
             "loader": F.lit(LOADER),
             "target_layer": F.lit("bronze"),
             "file_key": F.col("path"),
@@ -129,7 +128,7 @@ def ingest_files(
     try:
         n_facts, n_categories, n_devices = ingest_frame(spark, raw, lake, loaded_at, random_ids)
     except Exception as error:
-        _record_loads(items, lake, batch_id, audit.FAILED, 1, repr(error)[: audit.MESSAGE_LIMIT])
+        _record_loads(items, lake, batch_id, audit.FAILED, 1, audit.error_text(error))
         raise
     written = read_table(spark, lake.fact, FACT).where(F.col("_batch_id") == batch_id)
     per_file = audit.file_row_counts(written, ["_source_file"]).withColumnRenamed("_source_file", "path")

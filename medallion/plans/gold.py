@@ -8,49 +8,46 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from medallion.operators import audit
-from medallion.operators.marts import MARTS, build_mart, mart_spec
-from medallion.plans.lake import Lake
+from medallion.operators.marts import MARTS, MartSpec, build_mart, mart_spec
+from medallion.plans.lake import Lake, second_text
 from medallion.schemas import MART_RUNS, SILVER
 from medallion.sources.tables import read_table, replace_table
 
-SECOND = "%Y-%m-%d %H:%M:%S"
 LOADER = "silver_to_gold"
 
 
 def refresh_mart(spark: SparkSession, lake: Lake, mart: str, batch_id: str, now: dt.datetime | None = None) -> int:
-    """Rebuild one mart; the old one stays until the new one is complete. Returns its row count."""
+    """Rebuild one mart and record the run; the old mart stays until the new one is complete."""
     spec = mart_spec(mart)
     started = now or dt.datetime.now(dt.timezone.utc)
-    silver = read_table(spark, lake.silver, SILVER)
-    rows_in, n_in = audit.counting(silver)
-    rows_out, n_out = audit.counting(build_mart(rows_in, spec, batch_id, started.strftime(SECOND)))
-    replace_table(rows_out, lake.gold(mart))
-    n_silver, n_gold = audit.counted(n_in, silver.count), audit.counted(n_out, lambda: 0)
-    finished = dt.datetime.now(dt.timezone.utc)
-    audit.record(
+    fields = {
+        "batch_id": batch_id,
+        "loader": LOADER,
+        "mart": mart,
+        "source_layer": "silver",
+        "target_layer": "gold",
+        "target_table": lake.gold(mart),
+    }
+    outcome = audit.recorded_run(
         spark,
-        [
-            {
-                "event_at": audit.utc_now(),
-                "batch_id": batch_id,
-                "loader": LOADER,
-                "mart": mart,
-                "source_layer": "silver",
-                "target_layer": "gold",
-                "target_table": lake.gold(mart),
-                "load_status": audit.SUCCESS,
-                "started_at": started.strftime("%Y-%m-%dT%H:%M:%SZ"),
-                "finished_at": finished.strftime("%Y-%m-%dT%H:%M:%SZ"),
-                "duration_sec": audit.elapsed(started, finished),
-                "rows_silver_in": n_silver,
-                "rows_gold_out": n_gold,
-                "rc": audit.SUCCESS_RC,
-            }
-        ],
-        MART_RUNS,
         lake.audit("mart_runs"),
+        MART_RUNS,
+        started,
+        fields,
+        lambda: _refresh(spark, lake, spec, batch_id, second_text(started)),
     )
-    return n_gold
+    return outcome["rows_gold_out"]
+
+
+def _refresh(spark: SparkSession, lake: Lake, spec: MartSpec, batch_id: str, built_at: str) -> dict[str, int]:
+    silver = read_table(spark, lake.silver, SILVER)
+    rows_in, n_in = audit.counting(silver)
+    rows_out, n_out = audit.counting(build_mart(rows_in, spec, batch_id, built_at))
+    replace_table(rows_out, lake.gold(spec.name))
+    return {
+        "rows_silver_in": audit.counted(n_in, silver.count),
+        "rows_gold_out": audit.counted(n_out, lambda: 0),
+    }
 
 
 def refresh_marts(

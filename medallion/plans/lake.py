@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -15,6 +16,11 @@ FACT_PARTITIONS = ("_batch_id", "event_date")
 SILVER_PARTITIONS = ("_silver_batch_id", "event_date")
 
 
+def second_text(moment: dt.datetime) -> str:
+    """The fixed-width text in which load and build times are stored."""
+    return moment.strftime("%Y-%m-%d %H:%M:%S")
+
+
 @dataclass(frozen=True)
 class Lake:
     root: str

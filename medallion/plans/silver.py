@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +11,12 @@ from pyspark.sql import functions as F
 from medallion.operators import audit
 from medallion.operators.dedup import fact_dedup
 from medallion.operators.enrich import build_silver, load_decoders
-from medallion.operators.increment import (
-    OVERLAP_HOURS,
-    catchup_selection,
-    choose_mode,
-    overlap_selection,
-    unseen,
-)
-from medallion.plans.lake import SILVER_PARTITIONS, Lake
+from medallion.operators.increment import OVERLAP_HOURS, select_bronze, unseen
+from medallion.plans.lake import SILVER_PARTITIONS, Lake, second_text
 from medallion.schemas import CATEGORY_DIM, DEVICE_DIM, FACT, LAYER_RUNS, SILVER
 from medallion.sources.reference import read_reference
 from medallion.sources.tables import optional_table, overwrite_partitions, read_table
 
-SECOND = "%Y-%m-%d %H:%M:%S"
 LOADER = "bronze_to_silver"
 
 
@@ -34,6 +27,10 @@ class SilverResult:
     n_after_dedup: int
     n_silver: int
 
+    @property
+    def n_duplicates(self) -> int:
+        return self.n_selected - self.n_after_dedup
+
 
 def refresh_silver(
     spark: SparkSession,
@@ -43,56 +40,52 @@ def refresh_silver(
     mode: str = "auto",
     overlap_hours: int = OVERLAP_HOURS,
 ) -> SilverResult:
-    """Add the bronze rows silver lacks. Counts are observed while writing; no frame is computed twice."""
+    """Add the bronze rows silver lacks, and record the run whether it succeeds or fails."""
     started = now or dt.datetime.now(dt.timezone.utc)
+    results: list[SilverResult] = []
+
+    def work() -> dict:
+        result = _refresh(spark, lake, batch_id, second_text(started), mode, overlap_hours)
+        results.append(result)
+        return {
+            "rows_bronze_in": result.n_selected,
+            "rows_after_dedup": result.n_after_dedup,
+            "rows_silver_out": result.n_silver,
+            "message": str(asdict(result)),
+        }
+
+    fields = {
+        "batch_id": batch_id,
+        "loader": LOADER,
+        "source_layer": "bronze",
+        "target_layer": "silver",
+        "target_table": lake.silver,
+    }
+    audit.recorded_run(spark, lake.audit("layer_runs"), LAYER_RUNS, started, fields, work)
+    return results[0]
+
+
+def _refresh(
+    spark: SparkSession, lake: Lake, batch_id: str, built_at: str, mode: str, overlap_hours: int
+) -> SilverResult:
+    """One write; its counts are observed while it runs, so no frame is computed twice."""
     fact = read_table(spark, lake.fact, FACT)
     # Rows this batch wrote in an earlier attempt are rewritten, not skipped.
     silver = optional_table(spark, lake.silver, SILVER)
     if silver is not None:
         silver = silver.where(F.col("_silver_batch_id") != batch_id)
-    chosen = choose_mode(fact, silver, mode)
-    if chosen == "catchup":
-        selected = catchup_selection(fact, silver)
-    else:
-        selected = overlap_selection(fact, silver, overlap_hours)
+    chosen, selected = select_bronze(fact, silver, mode, overlap_hours)
 
     rows_in, n_selected = audit.counting(selected)
     newest, n_dedup = audit.counting(fact_dedup(rows_in))
     fresh = unseen(newest, selected, silver)
     decoders = load_decoders(read_table(spark, lake.dims, CATEGORY_DIM), read_table(spark, lake.devices, DEVICE_DIM))
-    rows = build_silver(fresh, decoders, read_reference(spark, lake.reference), batch_id, started.strftime(SECOND))
+    rows = build_silver(fresh, decoders, read_reference(spark, lake.reference), batch_id, built_at)
     rows_out, n_out = audit.counting(rows)
     overwrite_partitions(rows_out, lake.silver, SILVER_PARTITIONS)
-
-    result = SilverResult(
+    return SilverResult(
         chosen,
         audit.counted(n_selected, selected.count),
         audit.counted(n_dedup, lambda: selected.select("fact_uid").distinct().count()),
         audit.counted(n_out, lambda: 0),
     )
-    finished = dt.datetime.now(dt.timezone.utc)
-    audit.record(
-        spark,
-        [
-            {
-                "event_at": audit.utc_now(),
-                "batch_id": batch_id,
-                "loader": LOADER,
-                "source_layer": "bronze",
-                "target_layer": "silver",
-                "target_table": lake.silver,
-                "load_status": audit.SUCCESS,
-                "started_at": started.strftime("%Y-%m-%dT%H:%M:%SZ"),
-                "finished_at": finished.strftime("%Y-%m-%dT%H:%M:%SZ"),
-                "duration_sec": audit.elapsed(started, finished),
-                "rows_bronze_in": result.n_selected,
-                "rows_after_dedup": result.n_after_dedup,
-                "rows_silver_out": result.n_silver,
-                "rc": audit.SUCCESS_RC,
-                "message": f"mode={chosen}",
-            }
-        ],
-        LAYER_RUNS,
-        lake.audit("layer_runs"),
-    )
-    return result

@@ -48,8 +48,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder for one intermediate table."""
-    return f"{shared_dir(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder for one intermediate table of this application."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/medallion-scratch/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; call it when no frame that reads them is in use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

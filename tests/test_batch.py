@@ -147,13 +147,13 @@ def test_every_mode_adds_each_key_once(spark, reference, mode):
 def test_modes(spark, reference):
     first, second = two_loads(spark)
     bronze, silver = facts.build_fact(first), silver_of(spark, first, reference)
-    assert increment.choose_mode(bronze, None) == "catchup"
-    assert increment.choose_mode(bronze, silver) == "increment"
+    assert increment.select_bronze(bronze, None)[0] == "catchup"
+    assert increment.select_bronze(bronze, silver)[0] == "increment"
     both = facts.build_fact(first.unionByName(second))
-    assert increment.choose_mode(both, silver) == "catchup"
-    assert [r[0] for r in increment.missing_files(both, silver).collect()] == ["h1"]
+    mode, selected = increment.select_bronze(both, silver)
+    assert mode == "catchup" and {r["_file_hash"] for r in selected.collect()} == {"h1"}
     with pytest.raises(ValueError):
-        increment.choose_mode(bronze, silver, "sometimes")
+        increment.select_bronze(bronze, silver, "sometimes")
 
 
 def test_watermark_reaches_the_scan(spark, reference, tmp_path):

@@ -151,3 +151,11 @@ def test_durations_and_audit_rows(spark):
     with pytest.raises(ValueError, match="unknown audit fields"):
         audit.audit_frame(spark, [{"nope": 1}], schemas.MART_RUNS)
     assert audit.audit_frame(spark, [{"mart": "m"}], schemas.MART_RUNS).first()["mart"] == "m"
+
+
+def test_a_failed_refresh_is_recorded(spark, lake):
+    with pytest.raises(Exception):
+        refresh_mart(spark, lake, "country_overview", "g1", DAY)
+    row = read_table(spark, lake.audit("mart_runs"), schemas.MART_RUNS).first()
+    assert (row["mart"], row["load_status"], row["rc"]) == ("country_overview", "FAILED", 1)
+    assert "PATH_NOT_FOUND" in row["error"] and row["rows_gold_out"] is None

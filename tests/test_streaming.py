@@ -5,6 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from medallion import schemas
+from medallion.plans.stream_silver import rebuild_all
 from medallion.sources import samples
 from medallion.sources.tables import read_table
 from medallion.streaming import envelope, layers
@@ -144,3 +146,18 @@ def test_one_queue_partition_alone(spark, stream_dirs):
     rows = streams.read_bronze(spark, stream_dirs["bronze"]).collect()
     assert {r["tablet_index"] for r in rows} == {0} and len(rows) == 3
     assert streams.read_bronze(spark, stream_dirs["bronze"] + "-none").count() == 0
+
+
+def test_rebuild_of_all_tables_records_each_run(spark, stream_dirs, tmp_path):
+    parsed = envelope.parse_messages(topic(spark, MESSAGES))
+    raw = envelope.raw_rows(envelope.accepted(parsed), F.lit("b"), F.lit("2024-02-01T00:00:00Z"))
+    streams._write_epoch(layers.bronze_rows(raw, F.lit("p")), stream_dirs["bronze"], 0, ["tablet_index"])
+    outcomes = rebuild_all(spark, stream_dirs["bronze"], str(tmp_path / "silver"), str(tmp_path / "runs"))
+    assert outcomes == dict.fromkeys(layers.PAYLOADS, "SUCCESS")
+    runs = read_table(spark, str(tmp_path / "runs"), schemas.STREAMING_SILVER_RUNS).collect()
+    assert {(r["task_id"], r["status"], r["rc"]) for r in runs} == {(n, "success", 0) for n in layers.PAYLOADS}
+    (tmp_path / "plain").write_text("no folder")
+    broken = rebuild_all(spark, stream_dirs["bronze"], str(tmp_path / "plain"), str(tmp_path / "runs2"))
+    assert all(text.startswith("FAILED") for text in broken.values())
+    runs = read_table(spark, str(tmp_path / "runs2"), schemas.STREAMING_SILVER_RUNS).collect()
+    assert {r["rc"] for r in runs} == {1} and len(runs) == 3
