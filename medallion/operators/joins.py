@@ -41,19 +41,24 @@ def lookup_join(
     how: str = "left",
     right_bytes: int | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Broadcast the right side when its measured size allows, else shuffle with hot keys salted."""
+    """Broadcast the right side when its measured size allows, else shuffle with hot keys salted.
+
+    ``keys_from`` is a cheaper frame with about the same keys as ``left``, in which to look for hot ones.
+    """
     if how not in _SAFE:
         raise ValueError(f"lookup_join cannot do a {how} join")
     if right_bytes is None:
         right_bytes = measured_bytes(right)
     if right_bytes <= max_broadcast_bytes:
         return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how)
+    return salted_join(left, right, on, how, keys_from=keys_from)
 
 
 def hot_keys(df: DataFrame, on: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold at least ``share`` of the rows: never more than 1/share of them, however big the data."""
+    df = df.select(on)
     floor = max(df.count() * share, 1.0)
     counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
     return counts.where(F.col("_n") >= F.lit(floor)).select(on)
@@ -66,15 +71,19 @@ def salted_join(
     how: str = "left",
     salts: int = SALTS,
     share: float = HOT_SHARE,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which every hot key (and NULL) is spread over ``salts`` tasks.
 
+    Finding the hot keys reads the key column of ``left`` (or of ``keys_from``) twice before the join; which
+    keys count as hot changes the plan, never the result.
+
     The salt is a hash of the row and its task, not a random number, so a task that is run again after
     an executor is lost gives the same salts; the task number spreads identical copies too.
     """
     if how not in _SAFE:
         raise ValueError(f"salted_join cannot do a {how} join")
-    hot = hot_keys(left, on, share).withColumn("_hot", F.lit(True))
+    hot = hot_keys(left if keys_from is None else keys_from, on, share).withColumn("_hot", F.lit(True))
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{name}`") for name in left.columns]), F.lit(salts))
     salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_hot") | F.col(on).isNull(), spread.cast("int")).otherwise(F.lit(0))

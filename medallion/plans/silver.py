@@ -80,7 +80,8 @@ def _refresh(
     newest, n_dedup = audit.counting(fact_dedup(rows_in))
     fresh = unseen(newest, selected, silver)
     decoders = load_decoders(read_table(spark, lake.dims, CATEGORY_DIM), read_table(spark, lake.devices, DEVICE_DIM))
-    rows = build_silver(fresh, decoders, read_reference(spark, lake.reference), batch_id, built_at)
+    reference = read_reference(spark, lake.reference)
+    rows = build_silver(fresh, decoders, reference, batch_id, built_at, keys_from=selected)
     rows_out, n_out = audit.counting(rows)
     overwrite_partitions(rows_out, lake.silver, SILVER_PARTITIONS)
     return SilverResult(

@@ -56,7 +56,7 @@ def ledger_rows(results: DataFrame, loaded_at: str) -> DataFrame:
 
 def scan_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
     """All files of a batch in one scan, with their path and version tag."""
-    return (
+    return spread(
         spark.read.schema(nullable(schema))
         .parquet(*paths)
         .select(
@@ -70,6 +70,15 @@ def scan_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType)
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when a scan has fewer splits than there are cores, as with a few unsplittable files.
+
+    A scan of many files has far more splits than cores and is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stamp_batch(df: DataFrame, batch_id: str, loaded_at: str, part_index: int | None = None) -> DataFrame:
     """Batch lineage. Without a number the part index must already be there."""
     stamped = df.withColumns({"_batch_id": F.lit(batch_id), "_loaded_at": F.lit(loaded_at)})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators.conform import conform
 from medallion.schemas import RAW_TELEMETRY
+from medallion.sources.files import spread
 
 # How many values each invented category takes.
 CATEGORY_CYCLES = {
@@ -70,7 +71,7 @@ def with_home(spark: SparkSession, sf_dir: str, events: DataFrame, user: str) ->
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as raw telemetry."""
-    events = sample_table(spark, sf_dir, "events")
+    events = spread(sample_table(spark, sf_dir, "events"))
     k = F.get_json_object("props", "$.k").cast("long")
     total = (F.lit(10) * (F.col("event_id") % 10)).cast("double")
     base = with_home(spark, sf_dir, events, "user_id")
@@ -166,7 +167,7 @@ TOPIC = "raw-events"
 
 def event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as payload items, with the event time and the Kafka offset they will get."""
-    return sample_table(spark, sf_dir, "events").select(
+    return spread(sample_table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("userId"),
         F.col("event_type").alias("title"),

@@ -79,14 +79,17 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Materialise a frame in the shared folder and read it back; pins random ids and cuts lineage."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    rows = balanced(df, *partition_by) if partition_by else df
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return read_table(df.sparkSession, path, df.schema)
 
 
-def register_views(spark: SparkSession, tables: Mapping[str, str], schemas: Mapping[str, T.StructType] = {}) -> None:
+def register_views(
+    spark: SparkSession, tables: Mapping[str, str], schemas: Mapping[str, T.StructType] | None = None
+) -> None:
     """Open the layers to ``spark.sql``: view name -> table path."""
     for name, path in tables.items():
-        read_table(spark, path, schemas.get(name)).createOrReplaceTempView(name)
+        read_table(spark, path, (schemas or {}).get(name)).createOrReplaceTempView(name)
 
 
 def partition_counts(df: DataFrame, column: str, alias: str = "n_rows") -> DataFrame:

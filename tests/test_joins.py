@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from medallion.operators.dedup import latest_by
 from medallion.operators.indexing import dense_index
 from medallion.operators.joins import hot_keys, lookup_join, measured_bytes, measured_bytes_by, salted_join
+from medallion.sources.files import spread
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +77,10 @@ def test_dense_index_has_no_gaps(spark):
     assert [row["n"] for row in sorted(rows, key=lambda row: row["n"])] == list(range(1000))
     assert by_number == sorted(by_number)
     assert dense_index(df.where("path = ''"), ["path"], "n").count() == 0
+
+
+def test_spread_leaves_scans_with_enough_splits_alone(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 100, 1, cores)
+    assert spread(wide) is wide
