@@ -7,15 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators import audit
 from medallion.operators.dims import category_values, device_values, new_category_rows, new_device_rows
 from medallion.operators.facts import build_fact, load_lookups
+from medallion.operators.indexing import dense_index
 from medallion.operators.joins import lookup_join
 from medallion.plans.lake import FACT_PARTITIONS, Lake, second_text
 from medallion.schemas import CATEGORY_DIM, DEVICE_DIM, FACT, FILE_LEDGER, RAW_TELEMETRY
 from medallion.session import scratch_path
 from medallion.sources.files import (
+    FILE_SUFFIX,
     MAX_FILES_PER_BATCH,
     ledger_rows,
     list_files,
@@ -24,8 +27,10 @@ from medallion.sources.files import (
     scan_files,
     stamp_batch,
     stamp_table_source,
+    with_file_lineage,
 )
-from medallion.sources.tables import append, optional_table, overwrite_partitions, read_table, write_once
+from medallion.sources.tables import append, nullable, optional_table, overwrite_partitions, read_table, write_once
+from medallion.streaming.queries import run_stream
 
 LOADER = "raw_to_bronze"
 
@@ -145,6 +150,34 @@ def ingest_files(
     return BronzeResult(batch_id, len(paths), n_facts, n_categories, n_devices)
 
 
+def stream_files(
+    spark: SparkSession,
+    raw_root: str,
+    lake: Lake,
+    checkpoint: str,
+    max_files: int = MAX_FILES_PER_BATCH,
+    every: str | None = None,
+) -> StreamingQuery:
+    """The streaming twin of ``ingest_files``: Spark's file source finds the new files and the checkpoint
+    remembers them. A micro-batch that is run again overwrites its own facts."""
+    files = (
+        spark.readStream.schema(nullable(RAW_TELEMETRY))
+        .option("maxFilesPerTrigger", str(max_files))
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", FILE_SUFFIX)
+        .parquet(raw_root)
+    )
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        names = batch.select("_source_file").distinct()
+        numbers = dense_index(names, ["_source_file"], "_part_index")
+        raw = lookup_join(batch, numbers, "_source_file")
+        loaded_at = second_text(dt.datetime.now(dt.timezone.utc))
+        ingest_frame(spark, stamp_batch(raw, f"stream-{epoch:012d}", loaded_at), lake, loaded_at)
+
+    return run_stream(with_file_lineage(files), write, checkpoint, every)
+
+
 def _record_loads(items: DataFrame, lake: Lake, batch_id: str, status: str, rc: int, error: str | None) -> None:
     now = audit.utc_now()
     outcome = items.withColumns(

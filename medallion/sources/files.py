@@ -54,12 +54,10 @@ def ledger_rows(results: DataFrame, loaded_at: str) -> DataFrame:
     return loaded.select("path", "etag", "size", "part_index", "batch_id", F.lit(loaded_at).alias("loaded_at"))
 
 
-def scan_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """All files of a batch in one scan, with their path and version tag."""
-    return spread(
-        spark.read.schema(nullable(schema))
-        .parquet(*paths)
-        .select(
+def with_file_lineage(scan: DataFrame) -> DataFrame:
+    """A file scan, batch or stream, with the path and version tag of each row's file."""
+    return (
+        scan.select(
             "*",
             F.col("_metadata.file_path").alias("_source_file"),
             F.col("_metadata.file_size").alias("_size"),
@@ -70,6 +68,11 @@ def scan_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType)
     )
 
 
+def scan_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """All files of a batch in one scan, with their lineage."""
+    return spread(with_file_lineage(spark.read.schema(nullable(schema)).parquet(*paths)))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores when a scan has fewer splits than there are cores, as with a few unsplittable files.
 

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from medallion.schemas import BRONZE_STREAM, RAW_EVENTS
 from medallion.sources.tables import nullable, optional_table, overwrite_partitions, replace_table
-from medallion.streaming.envelope import accepted, parse_messages, raw_rows, rejected
+from medallion.streaming.envelope import STREAM_PARTITIONS, accepted, parse_messages, raw_rows, rejected
 from medallion.streaming.layers import PAYLOADS, PayloadSpec, bronze_rows, collapse, payload_rows
 
 EPOCH = "_epoch"
@@ -107,6 +107,26 @@ def raw_to_bronze(
     return run_stream(queue, write, checkpoint, every, name)
 
 
+def bronze_table(bronze_root: str, tablet_index: int) -> str:
+    """The path of one queue partition's own bronze table."""
+    return f"{bronze_root.rstrip('/')}/bronze_t{tablet_index}"
+
+
+def start_isolated(
+    spark: SparkSession, raw_path: str, bronze_root: str, checkpoint_root: str, every: str | None = None
+) -> dict[int, StreamingQuery]:
+    """One query, table and checkpoint per queue partition, so that a failing one leaves the others running."""
+    return {
+        index: raw_to_bronze(
+            read_queue(spark, raw_path, index),
+            bronze_table(bronze_root, index),
+            f"{checkpoint_root.rstrip('/')}/bronze_t{index}",
+            every=every,
+        )
+        for index in sorted(set(STREAM_PARTITIONS.values()))
+    }
+
+
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     """Bronze with one row per key."""
     found = optional_table(spark, bronze_path, with_epoch(BRONZE_STREAM))

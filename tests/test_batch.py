@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import itertools
 
@@ -108,6 +109,27 @@ def test_lookups_join_without_shuffling_the_facts(spark):
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
 
 
+def test_dimensions_too_big_to_broadcast_give_the_same_rows(spark):
+    raw = stamped(raw_rows(spark, ROWS * 3))
+    categories = dims.new_category_rows(dims.category_values(raw), None, "t1")
+    devices = dims.new_device_rows(dims.device_values(raw), None, "t1")
+    fact = facts.build_fact(raw)
+    huge = {"country": 1 << 40, "device": 1 << 40}
+
+    decoders = enrich.load_decoders(categories, devices)
+    salted = dataclasses.replace(decoders, sizes={**decoders.sizes, **huge})
+    wide = enrich.decode(fact, salted, keys_from=fact)
+    assert plan_of(wide).count("SortMergeJoin") >= 2
+    names = enrich.decode(fact, decoders).columns
+    assert sorted(wide.select(*names).collect()) == sorted(enrich.decode(fact, decoders).collect())
+
+    lookups = facts.load_lookups(categories)
+    computed = dataclasses.replace(lookups, sizes={**lookups.sizes, "country": 1 << 40})
+    plan = plan_of(facts.build_fact(raw, computed))
+    assert plan.count("BroadcastHashJoin") == len(dims.CATEGORY_DIMS) - 1 and "SortMergeJoin" not in plan
+    assert sorted(facts.build_fact(raw, computed).collect()) == sorted(fact.collect())
+
+
 def silver_of(spark, raw, reference):
     return enrich.silver_from_raw(raw, reference, "s1", "2024-02-02 00:00:00")
 

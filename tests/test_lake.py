@@ -9,7 +9,7 @@ from test_batch import raw_rows
 from medallion import schemas
 from medallion.operators import audit
 from medallion.operators.marts import MARTS
-from medallion.plans.bronze import ingest_files, ingest_table
+from medallion.plans.bronze import ingest_files, ingest_table, stream_files
 from medallion.plans.gold import refresh_mart, refresh_marts
 from medallion.plans.lake import Lake, register_lake
 from medallion.plans.silver import refresh_silver
@@ -159,3 +159,18 @@ def test_a_failed_refresh_is_recorded(spark, lake):
     row = read_table(spark, lake.audit("mart_runs"), schemas.MART_RUNS).first()
     assert (row["mart"], row["load_status"], row["rc"]) == ("country_overview", "FAILED", 1)
     assert "PATH_NOT_FOUND" in row["error"] and row["rows_gold_out"] is None
+
+
+def test_streamed_files_equal_loaded_files(spark, lake, tmp_path):
+    folder = tmp_path / "raw"
+    other = Lake(str(tmp_path / "other"))
+    for i in range(2):
+        add_file(spark, folder, [(i, 10 + i, "de", i, 1.0)])
+        stream_files(spark, str(folder), other, str(tmp_path / "cp")).awaitTermination()
+    ingest_files(spark, str(folder), lake, "b", DAY)
+    varying = ["_loaded_at", "_batch_id", "_part_index"]
+    streamed = read_table(spark, other.fact, schemas.FACT)
+    loaded = read_table(spark, lake.fact, schemas.FACT)
+    assert sorted(streamed.drop(*varying).collect()) == sorted(loaded.drop(*varying).collect())
+    assert {r["_batch_id"] for r in streamed.collect()} == {"stream-000000000000", "stream-000000000001"}
+    assert read_table(spark, other.devices, schemas.DEVICE_DIM).count() == 2

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from medallion import schemas
@@ -161,3 +162,22 @@ def test_rebuild_of_all_tables_records_each_run(spark, stream_dirs, tmp_path):
     assert all(text.startswith("FAILED") for text in broken.values())
     runs = read_table(spark, str(tmp_path / "runs2"), schemas.STREAMING_SILVER_RUNS).collect()
     assert {r["rc"] for r in runs} == {1} and len(runs) == 3
+
+
+def test_one_failing_queue_partition_does_not_stop_the_others(spark, stream_dirs, tmp_path):
+    first = topic(spark, MESSAGES)
+    first.write.parquet(stream_dirs["topic"])
+    source = spark.readStream.schema(first.schema).parquet(stream_dirs["topic"])
+    streams.topic_to_raw(source, stream_dirs["raw"], stream_dirs["rejects"], stream_dirs["cp1"]).awaitTermination()
+    root = tmp_path / "tables"
+    root.mkdir()
+    (root / "bronze_t1").write_text("in the way")
+    running = streams.start_isolated(spark, stream_dirs["raw"], str(root), stream_dirs["cp2"])
+    for index, one in running.items():
+        if index == 1:
+            with pytest.raises(StreamingQueryException):
+                one.awaitTermination()
+        else:
+            one.awaitTermination()
+    counts = [streams.read_bronze(spark, streams.bronze_table(str(root), i)).count() for i in (0, 2)]
+    assert counts == [3, 1]
