@@ -275,8 +275,7 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = facts.build_fact(raw_with_copies(spark, sf_dir))
-    return increment.missing_files(bronze, existing_silver(spark, sf_dir))
+    return increment.missing_files(stored_bronze(spark, sf_dir, copies=True), stored_silver(spark, sf_dir))
 
 
 @query

@@ -61,10 +61,18 @@ def _extremes(spec: MartSpec) -> dict[str, tuple[Column, bool]]:
     return wanted
 
 
-def _single_pass(df: DataFrame, spec: MartSpec) -> DataFrame:
-    """One aggregation. With one distinct column Spark first groups by (grain, column), so a hot group is split."""
+def _single_pass(df: DataFrame, spec: MartSpec, relative_error: float | None = None) -> DataFrame:
+    """One aggregation. With one distinct column Spark first groups by (grain, column), so a hot group is split.
+    Approximate distinct counts need no such grouping: each is a sketch that is merged like a sum."""
     outputs = [F.count("*").alias(spec.count)]
-    outputs += [F.count_distinct(F.col(source)).alias(name) for name, source in spec.distinct.items()]
+    outputs += [
+        (
+            F.count_distinct(F.col(source))
+            if relative_error is None
+            else F.approx_count_distinct(source, relative_error)
+        ).alias(name)
+        for name, source in spec.distinct.items()
+    ]
     outputs += [F.avg(source).alias(name) for name, source in spec.averages.items()]
     outputs += [flag_count(source).alias(name) for name, source in spec.flags.items()]
     outputs += [
@@ -101,13 +109,14 @@ def _two_level(df: DataFrame, spec: MartSpec) -> DataFrame:
     return fine.groupBy(*spec.grain).agg(*outputs)
 
 
-def aggregate(df: DataFrame, spec: MartSpec) -> DataFrame:
-    """The mart's rows, without the gold stamp."""
+def aggregate(df: DataFrame, spec: MartSpec, relative_error: float | None = None) -> DataFrame:
+    """The mart's rows, without the gold stamp. Distinct counts are exact unless a relative error is allowed."""
     for name, source in spec.defaults.items():
         if name not in df.columns:
             df = df.withColumn(name, F.col(source))
     require_columns(df, spec.inputs(), f"input of {spec.name}")
-    rows = _two_level(df, spec) if len(spec.distinct) > 1 else _single_pass(df, spec)
+    exact_and_several = relative_error is None and len(spec.distinct) > 1
+    rows = _two_level(df, spec) if exact_and_several else _single_pass(df, spec, relative_error)
     spans = {
         name: (F.unix_timestamp(last) - F.unix_timestamp(first)) / F.lit(DAY_SECONDS)
         for name, (first, last) in spec.spans_in_days.items()
@@ -119,9 +128,11 @@ def aggregate(df: DataFrame, spec: MartSpec) -> DataFrame:
     return rows.withColumns(texts) if texts else rows
 
 
-def build_mart(df: DataFrame, spec: MartSpec, batch_id: str, built_at: str) -> DataFrame:
+def build_mart(
+    df: DataFrame, spec: MartSpec, batch_id: str, built_at: str, relative_error: float | None = None
+) -> DataFrame:
     """The mart in its table contract, stamped with batch and build time."""
-    rows = aggregate(df, spec).withColumns({"_gold_batch_id": F.lit(batch_id), "_gold_built_at": F.lit(built_at)})
+    rows = aggregate(df, spec, relative_error).withColumns({"_gold_batch_id": F.lit(batch_id), "_gold_built_at": F.lit(built_at)})
     return conform(rows, spec.schema, what=spec.name)
 
 

@@ -232,6 +232,14 @@ def test_two_levels_give_what_one_pass_gives(silver):
                 assert other == (pytest.approx(value) if isinstance(value, float) else value), (spec.name, name)
 
 
+def test_approximate_distinct_counts_are_close(silver):
+    spec = MARTS["country_overview"]
+    exact = {r["country_code"]: r for r in aggregate(silver, spec).collect()}
+    for row in aggregate(silver, spec, relative_error=0.01).collect():
+        assert row["n_events"] == exact[row["country_code"]]["n_events"]
+        assert row["n_devices"] == pytest.approx(exact[row["country_code"]]["n_devices"], rel=0.1)
+
+
 def test_marts_use_hash_aggregation_only(spark, silver, tmp_path):
     silver.write.parquet(str(tmp_path / "silver"))
     stored = spark.read.parquet(str(tmp_path / "silver"))

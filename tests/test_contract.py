@@ -7,6 +7,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from conftest import plan_of
 
 import __spark_entry__ as contract
 
@@ -44,6 +45,8 @@ def test_every_sql_has_its_query():
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, db, name):
     df = contract.queries()[name](spark, SF_DIR)
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     cursor = db.execute(contract.oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert canonical(df.columns, df.collect()) == canonical(names, cursor.fetchall())
