@@ -38,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 LOADED_AT = "2024-02-01 00:00:00"
+FIRST_NOON = "2024-01-01 12:00:00"
 BUILT_AT = "2024-02-02 00:00:00"
 GOLD_AT = "2024-02-03 00:00:00"
 NOW = "2024-02-01T00:00:00Z"
@@ -108,11 +109,12 @@ def stored_dimensions(spark: SparkSession, sf_dir: str, random_ids: bool = False
 
 
 def known_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Dimension rows of an earlier load: the first of the three files."""
-    raw = raw_parts(spark, sf_dir).where(F.col("_part_index") == 0)
+    """Dimension rows of an earlier load: the categories of the first file, the devices seen by FIRST_NOON."""
+    raw = raw_parts(spark, sf_dir)
+    first_file, early = raw.where(F.col("_part_index") == 0), raw.where(F.col("timestamp") < FIRST_NOON)
     return (
-        dims.new_category_rows(dims.category_values(raw), None, LOADED_AT),
-        dims.new_device_rows(dims.device_values(raw), None, LOADED_AT),
+        dims.new_category_rows(dims.category_values(first_file), None, LOADED_AT),
+        dims.new_device_rows(dims.device_values(early), None, LOADED_AT),
     )
 
 

@@ -187,7 +187,7 @@ CTES["first_seen"] = "\nUNION ALL ".join(
     for name, source in CATEGORIES.items()
 )
 CTES["devices"] = f"""SELECT device_id, min({SECOND_TEXT}) AS first_seen,
-  min(CASE WHEN id % 3 = 0 THEN 1 ELSE 2 END) AS known
+  min(CASE WHEN ts < TIMESTAMP '2024-01-01 12:00:00' THEN 1 ELSE 2 END) AS known
 FROM raw WHERE device_id IS NOT NULL GROUP BY 1"""
 
 CTES["items"] = """SELECT event_id AS id, user_id AS "userId", event_type AS title, props AS body,
