@@ -733,9 +733,36 @@ def entry(spark: SparkSession) -> DataFrame:
     return _queries["daily_country_stats"](spark, SMOKE_DIR)
 
 
+def _corpus_modules() -> tuple[list[dict[str, Query]], list[dict[str, str]]]:
+    """The queries and the SQL for text corpora, where those folders are installed."""
+    found: list[dict[str, Query]] = []
+    sql: list[dict[str, str]] = []
+    try:
+        from medallion.llm import queries as corpus
+    except ModuleNotFoundError as error:
+        if not (error.name or "").startswith("medallion.llm"):
+            raise
+    except ImportError as error:
+        if error.name != "medallion.llm":
+            raise
+    else:
+        found.append(corpus.queries())
+        sql.append(corpus.oracle_sql())
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as error:
+        if error.name != "corpus_pipeline" and not (error.name or "").startswith("medallion.llm"):
+            raise
+    else:
+        found.append({"pipeline": lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)})
+        if corpus_pipeline.ORACLE_SQL:
+            sql.append({"pipeline": corpus_pipeline.ORACLE_SQL})
+    return found, sql
+
+
 def queries() -> dict[str, Query]:
-    return dict(_queries)
+    return dict(_queries) | {name: function for part in _corpus_modules()[0] for name, function in part.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.all_queries()
+    return oracle_queries.all_queries() | {name: sql for part in _corpus_modules()[1] for name, sql in part.items()}
