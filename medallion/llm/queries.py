@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import chat, exact, urls
+from medallion.llm import bpe, chat, exact, packing, urls
 from medallion.llm.common import table
 from medallion.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -25,7 +35,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.fixed_rules(spark))
 
 
-QUERIES = (op5_exact_dedup, op6_chat_formatting, op8_url_filters)
+QUERIES = (op1_best_fit_packing, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op8_url_filters)
 
 
 def _configured(function: Query) -> Query:
