@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from medallion.llm import bpe, chat, exact, packing, urls
+from medallion.llm import bpe, chat, embeddings, exact, packing, simhash, urls
 from medallion.llm.common import table
 from medallion.session import configure
 
@@ -18,6 +18,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -35,7 +43,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.fixed_rules(spark))
 
 
-QUERIES = (op1_best_fit_packing, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op8_url_filters)
+QUERIES = (op1_best_fit_packing, op2_embedding_near_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op8_url_filters)
 
 
 def _configured(function: Query) -> Query:
@@ -48,6 +56,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_embedding_near_dedup": embeddings.EMBEDDINGS_SQL,
         "op5_exact_dedup": exact.EXACT_SQL,
         "op6_chat_formatting": chat.CHAT_SQL,
         "op8_url_filters": urls.URLS_SQL,
