@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from medallion.llm import bpe, chat, embeddings, exact, packing, simhash, urls
+from medallion.llm import bpe, chat, embeddings, exact, packing, simhash, substrings, urls
 from medallion.llm.common import table
 from medallion.session import configure
 
@@ -43,7 +44,12 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.fixed_rules(spark))
 
 
-QUERIES = (op1_best_fit_packing, op2_embedding_near_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op8_url_filters)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = (op1_best_fit_packing, op2_embedding_near_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op8_url_filters, op10_substring_dedup)
 
 
 def _configured(function: Query) -> Query:
@@ -60,4 +66,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_exact_dedup": exact.EXACT_SQL,
         "op6_chat_formatting": chat.CHAT_SQL,
         "op8_url_filters": urls.URLS_SQL,
+        "op10_substring_dedup": substrings.SUBSTRINGS_SQL,
     }
