@@ -40,9 +40,10 @@ class ChunkIds:
         if len(self.known) + len(new) > self.most:
             self.known = {chunk: self.known[chunk] for chunk in used if chunk in self.known}
         self.learn(new)
+        apart = new.difference(self.known)  # chunks that can't be encoded alone
         whole = [
-            k for k, (text, chunks) in enumerate(zip(texts, split, strict=True))
-            if len(chunks) == 1 or not chunks[0] or chunks[0][-1].isspace() or not self.known.keys() >= set(chunks[1:])
+            k for k, chunks in enumerate(split)
+            if len(chunks) == 1 or not chunks[0] or chunks[0][-1].isspace() or (apart and not apart.isdisjoint(chunks[1:]))
         ]
         found: list[bytes | None] = [None] * len(texts)
         for k, ids in zip(whole, self.packed([texts[k] for k in whole]), strict=True):
