@@ -11,6 +11,10 @@ ID_BYTES = 4
 ID_TYPE = "I"  # unsigned, four bytes
 
 
+def id_bytes(ids: list[int]) -> bytes:
+    return array(ID_TYPE, ids).tobytes()
+
+
 class ChunkIds:
     """Ids of texts as bytes, four of them an id, by an encoder that splits text as byte-level BPE does.
 
@@ -25,7 +29,7 @@ class ChunkIds:
         self.known: dict[str, bytes] = {}
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        return [array(ID_TYPE, ids).tobytes() for ids in self.encode(texts)] if texts else []
+        return list(map(id_bytes, self.encode(texts))) if texts else []
 
     def learn(self, chunks: Iterable[str]) -> None:
         new = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
