@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, chat, embeddings, exact, language, packing, simhash, substrings, urls
+from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, urls
 from medallion.llm.common import table
 from medallion.session import configure
 
@@ -48,12 +48,18 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), urls.fixed_rules(spark))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.drop_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = (op1_best_fit_packing, op2_embedding_near_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op7_language_id, op8_url_filters, op10_substring_dedup)
+QUERIES = (op1_best_fit_packing, op2_embedding_near_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op7_language_id, op8_url_filters, op9_personal_data, op10_substring_dedup)
 
 
 def _configured(function: Query) -> Query:
