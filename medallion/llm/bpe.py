@@ -23,15 +23,16 @@ import base64
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.llm.chunks import ChunkIds, slices
+from medallion.llm.chunks import MatchIds, slices
 from medallion.llm.common import whole_text, worker_cache
 
-_AT_ONCE = 500
-_IDS_AT_ONCE = 8192
+_AT_ONCE = 250
+_BYTES_AT_ONCE = 65_536
 
 Guess = tuple[int, int, tuple[int, ...]]  # the token before, the place in the trie, the tokens to emit
 
@@ -49,20 +50,22 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], most: int = 150_000) -> None:
         self.ranks, self.most = ranks, most
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.children: list[dict[int, int]] = [{}]
-        self.token_at: list[int] = [self.NONE]
+        # A place in the trie has, for each next byte, the place behind it, whether tokens go on from there, and the
+        # token that ends there.
+        below: list[dict[int, int]] = [{}]
+        ends: list[int] = [self.NONE]
         for token, rank in ranks.items():
             at = self.ROOT
             for byte in token:
-                below = self.children[at].get(byte)
-                if below is None:
-                    below = self.children[at][byte] = len(self.children)
-                    self.children.append({})
-                    self.token_at.append(self.NONE)
-                at = below
-            self.token_at[at] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.made_of: dict[int, tuple[int, int]] = {}
+                place = below[at].setdefault(byte, len(below))
+                if place == len(below):
+                    below.append({})
+                    ends.append(self.NONE)
+                at = place
+            ends[at] = rank
+        self.places = [{byte: (at, bool(below[at]), ends[at]) for byte, at in part.items()} for part in below]
+        self.pairs: dict[int, bool] = {}
+        self.halves: dict[int, tuple[int, int]] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -84,44 +87,43 @@ class Transducer:
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return [self.ranks[part] for part in parts]
 
-    def halves(self, token: int) -> tuple[int, int]:
-        """The two tokens whose merge made this one."""
-        found = self.made_of.get(token)
-        if found is None:
-            data = self.tokens[token]
-            cuts = ((self.ranks.get(data[:k]), self.ranks.get(data[k:])) for k in range(1, len(data)))
-            known = [cut for cut in cuts if None not in cut]
-            found = known[0] if len(known) == 1 else next(cut for cut in known if self.stable(*cut, made=token))
-            self.made_of[token] = found
-        return found
+    def made_of(self, token: int) -> tuple[int, int]:
+        """The two tokens whose merge made this one; a single byte has none."""
+        data, ranks = self.tokens[token], self.ranks
+        cuts = [(ranks[data[:k]], ranks[data[k:]]) for k in range(1, len(data)) if data[:k] in ranks and data[k:] in ranks]
+        if len(cuts) > 1:
+            cuts = [cut for cut in cuts if self.apart(*cut, 2 * token)]
+        return cuts[0] if cuts else (self.NONE, self.NONE)
 
-    def stable(self, before: int, token: int, made: int | None = None) -> bool:
-        """Whether two tokens stay apart when their bytes are encoded together (``made``: until that merge).
+    def apart(self, left: int, right: int, limit: int) -> bool:
+        """Whether two tokens are still apart when the merges before ``limit`` are done on their joined bytes.
 
         Merges are undone backwards, the latest first, to see what stood on both sides of the seam at each time.
         The tokens merge across it if that merge has a lower rank than the next one on either side, or the same
         rank and stands to the left of it.
         """
-        if before == self.NONE:
-            return True
-        found = self.pairs.get((before, token)) if made is None else None
-        if found is not None:
-            return found
-        left, right, limit, found = before, token, 2 * len(self.ranks) if made is None else 2 * made, True
+        tokens, ranks, halves = self.tokens, self.ranks, self.halves
         while True:
-            joined = self.ranks.get(self.tokens[left] + self.tokens[right])
+            joined = ranks.get(tokens[left] + tokens[right])
             if joined is not None and 2 * joined < limit:
-                found = False
-                break
-            times = [t if len(self.tokens[t]) > 1 else self.NONE for t in (left, right)]
-            if times == [self.NONE, self.NONE]:
-                break
-            if times[0] > times[1]:
-                limit, left = 2 * left, self.halves(left)[1]
+                return False
+            left_made = halves.get(left)
+            if left_made is None:
+                left_made = halves[left] = self.made_of(left)
+            right_made = halves.get(right)
+            if right_made is None:
+                right_made = halves[right] = self.made_of(right)
+            if left_made[0] < 0 and right_made[0] < 0:
+                return True
+            if right_made[0] < 0 or left_made[0] >= 0 and left > right:
+                limit, left = 2 * left, left_made[1]
             else:
-                limit, right = 2 * right + 1, self.halves(right)[0]
-        if made is None:
-            self.pairs[before, token] = found
+                limit, right = 2 * right + 1, right_made[0]
+
+    def stable(self, before: int, token: int) -> bool:
+        """Whether two tokens stay apart when their bytes are encoded together."""
+        found = before == self.NONE or self.apart(before, token, 2 * len(self.ranks))
+        self.pairs[before << 32 | token] = found
         return found
 
     def number(self, guesses: tuple[Guess, ...]) -> int:
@@ -130,29 +132,43 @@ class Transducer:
             known = self.numbers[guesses] = len(self.states)
             self.states.append(guesses)
             self.moves.append({})
-            self.ends.append(next((out for _, at, out in guesses if at == self.ROOT), ()))
+            self.ends.append(guesses[-1][2] if guesses[-1][1] == self.ROOT else ())
         return known
 
     def move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The state behind a byte and the tokens that are settled by it; made once, when first needed."""
+        """The state behind a byte and the tokens that are settled by it; made once, when first needed.
+
+        Guesses are kept in the order of the place where their token begins. At most one token can end here, as the
+        encoding of what has been read is unique.
+        """
         guesses: list[Guess] = []
+        ended: Guess | None = None
+        places, pairs = self.places, self.pairs
         for before, at, out in self.states[state]:
-            below = self.children[at].get(byte)
-            if below is None:
+            place = places[at].get(byte)
+            if place is None:
                 continue
-            if self.children[below]:
+            below, goes_on, token = place
+            if goes_on:
                 guesses.append((before, below, out))
-            token = self.token_at[below]
-            if token != self.NONE and self.stable(before, token):
-                guesses.append((token, self.ROOT, (*out, token)))
-        first, settled = guesses[0][2], 0
-        shortest = min([len(out) for _, _, out in guesses])
-        while settled < shortest and all([out[settled] == first[settled] for _, _, out in guesses]):
-            settled += 1
-        emitted = first[:settled]
-        to = self.number(tuple(sorted([(before, at, out[settled:]) for before, at, out in guesses])))
-        self.moves[state][byte] = to, emitted
-        return to, emitted
+            if token >= 0 and ended is None:
+                stable = pairs.get(before << 32 | token)
+                if self.stable(before, token) if stable is None else stable:
+                    ended = (token, self.ROOT, (*out, token))
+        if ended is not None:
+            guesses.append(ended)
+        emitted: tuple[int, ...] = ()
+        first = guesses[0][2]
+        if first:
+            settled, shortest = 0, min([len(out) for _, _, out in guesses])
+            while settled < shortest and all([out[settled] == first[settled] for _, _, out in guesses]):
+                settled += 1
+            if settled:
+                emitted = first[:settled]
+                guesses = [(before, at, out[settled:]) for before, at, out in guesses]
+        step = self.number(tuple(guesses)), emitted
+        self.moves[state][byte] = step
+        return step
 
     def encode(self, data: bytes) -> list[int]:
         if len(self.states) > self.most:
@@ -169,16 +185,11 @@ class Transducer:
         return ids
 
 
-def text_encoder(path: str, pattern: str):
-    """encode(texts): each match of the pattern goes through the transducer by itself."""
+def text_encoder(path: str, pattern: str) -> MatchIds:
+    """Each match of the pattern goes through the transducer by itself."""
     import regex
 
-    matches, transducer = regex.compile(pattern), Transducer(read_ranks(path))
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [[i for match in matches.findall(text) for i in transducer.encode(match.encode())] for text in texts]
-
-    return encode
+    return MatchIds(regex.compile(pattern).findall, Transducer(read_ranks(path)).encode)
 
 
 class Utf8Stream:
@@ -215,9 +226,25 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-def decoded(ids: list[int], tokens: dict[int, bytes], at_once: int = _IDS_AT_ONCE) -> str:
+def token_bytes(path: str) -> pa.Array:
+    """The bytes of every token, by its id."""
+    ranks = read_ranks(path)
+    tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return pa.array(tokens, pa.large_binary())
+
+
+def np_offsets(values: pa.Array):
+    import numpy as np
+
+    return np.frombuffer(values.buffers()[1], "<i8")[values.offset : values.offset + len(values) + 1] if len(values) else [0]
+
+
+def decoded(data: bytes, at_once: int = _BYTES_AT_ONCE) -> str:
+    """Text from the bytes of tokens, part by part."""
     stream = Utf8Stream()
-    parts = [stream.feed(b"".join(map(tokens.__getitem__, ids[at : at + n]))) for at, n in slices(len(ids), at_once)]
+    parts = [stream.feed(data[at : at + n]) for at, n in slices(len(data), at_once)]
     return "".join([*parts, stream.finish()])
 
 
@@ -229,7 +256,7 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        chunks = worker_cache(f"bpe:{ranks}:{pattern}", lambda: ChunkIds(text_encoder(ranks, pattern)))
+        chunks = worker_cache(f"bpe:{ranks}:{pattern}", lambda: text_encoder(ranks, pattern))
         for batch in batches:
             for at, n in slices(batch.num_rows, _AT_ONCE):
                 part = batch.slice(at, n)
@@ -249,11 +276,20 @@ def decode_ids(encoded: DataFrame, ranks: str) -> DataFrame:
     schema = T.StructType([*rows.schema.fields, T.StructField("text", T.StringType())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = worker_cache(f"tokens:{ranks}", lambda: {rank: token for token, rank in read_ranks(ranks).items()})
+        tokens = worker_cache(f"tokens:{ranks}", lambda: token_bytes(ranks))
         for batch in batches:
             for at, n in slices(batch.num_rows, _AT_ONCE):
                 part = batch.slice(at, n)
-                texts = [decoded(ids.values.tolist(), tokens) if ids.is_valid else None for ids in part.column(1)]
+                ids, texts = part.column(1), []
+                said = tokens.take(ids.flatten())  # the bytes of all texts of the part, one behind the other
+                if said.null_count:
+                    raise ValueError("an id has no token")
+                ends = np_offsets(said)
+                data, first = memoryview(said.buffers()[2] or b""), 0
+                for length, valid in zip(pc.list_value_length(ids).to_pylist(), ids.is_valid().to_pylist(), strict=True):
+                    last = first + (length or 0)
+                    texts.append(decoded(bytes(data[ends[first] : ends[last]])) if valid else None)
+                    first = last
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return rows.mapInArrow(decode, schema)

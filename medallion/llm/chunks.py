@@ -1,12 +1,10 @@
-"""Token ids of whole texts by their blank-separated chunks, most of which recur."""
+"""Token ids as bytes, and batches in parts."""
 
 from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Iterable
 
-Encode = Callable[[list[str]], list[list[int]]]
-
 ID_BYTES = 4
 ID_TYPE = "I"  # unsigned, four bytes
 
@@ -15,47 +13,24 @@ def id_bytes(ids: list[int]) -> bytes:
     return array(ID_TYPE, ids).tobytes()
 
 
-class ChunkIds:
-    """Ids of texts as bytes, four of them an id, by an encoder that splits text as byte-level BPE does.
-
-    Between two characters that aren't white space, such an encoder always splits before a blank. A chunk with the
-    blank before it can so be encoded alone, and its ids kept. A text with a chunk that is empty or has white space
-    at an end is encoded whole instead. Beyond ``most`` chunks, those of the
-    texts at hand are kept.
-    """
+class MatchIds:
+    """Ids of whole texts, four bytes an id, from the ids of their matches. Most matches recur: at most ``most`` are
+    kept, and beyond that those of the texts at hand."""
 
-    def __init__(self, encode: Encode, most: int = 400_000) -> None:
-        self.encode, self.most = encode, most
+    def __init__(self, find: Callable[[str], list[str]], encode: Callable[[bytes], list[int]], most: int = 500_000) -> None:
+        self.find, self.encode, self.most = find, encode, most
         self.known: dict[str, bytes] = {}
 
-    def packed(self, texts: list[str]) -> list[bytes]:
-        return list(map(id_bytes, self.encode(texts))) if texts else []
-
-    def learn(self, chunks: Iterable[str]) -> None:
-        new = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
-        self.known.update(zip(new, self.packed([" " + c for c in new]), strict=True))
-
     def ids(self, texts: list[str]) -> list[bytes]:
-        split = [text.split(" ") for text in texts]
-        used: set[str] = set()
-        for chunks in split:
-            used.update(chunks[1:])
+        split = [self.find(text) for text in texts]
+        used = set().union(*split)
         new = used.difference(self.known)
         if len(self.known) + len(new) > self.most:
-            self.known = {chunk: self.known[chunk] for chunk in used if chunk in self.known}
-        self.learn(new)
-        apart = new.difference(self.known)  # chunks that can't be encoded alone
-        whole = [
-            k for k, chunks in enumerate(split)
-            if len(chunks) == 1 or not chunks[0] or chunks[0][-1].isspace() or (apart and not apart.isdisjoint(chunks[1:]))
-        ]
-        found: list[bytes | None] = [None] * len(texts)
-        for k, ids in zip(whole, self.packed([texts[k] for k in whole]), strict=True):
-            found[k] = ids
-        rest = [k for k in range(len(texts)) if found[k] is None]
-        for k, first in zip(rest, self.packed([split[k][0] for k in rest]), strict=True):
-            found[k] = first + b"".join(map(self.known.__getitem__, split[k][1:]))
-        return found
+            self.known = {match: self.known[match] for match in used if match in self.known}
+        for match in new:
+            self.known[match] = id_bytes(self.encode(match.encode()))
+        known = self.known.__getitem__
+        return [b"".join(map(known, matches)) for matches in split]
 
 
 def slices(n: int, step: int) -> Iterable[tuple[int, int]]:
