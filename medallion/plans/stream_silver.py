@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -13,8 +14,11 @@ from medallion.streaming.layers import PAYLOADS
 from medallion.streaming.queries import rebuild_silver
 
 
-def rebuild_all(spark: SparkSession, bronze_path: str, silver_root: str, audit_path: str) -> dict[str, str]:
-    """Rebuild every streaming silver table; one that fails is recorded and does not keep back the others."""
+def rebuild_all(
+    spark: SparkSession, bronze_path: str | Sequence[str], silver_root: str, audit_path: str
+) -> dict[str, str]:
+    """Rebuild every streaming silver table, from one bronze table or those of all queue partitions; one that fails
+    is recorded and does not keep back the others."""
     run_id, outcomes = uuid.uuid4().hex, {}
     for name, spec in PAYLOADS.items():
         target = f"{silver_root.rstrip('/')}/{name}"

@@ -91,6 +91,3 @@ def register_views(
     for name, path in tables.items():
         read_table(spark, path, (schemas or {}).get(name)).createOrReplaceTempView(name)
 
-
-def partition_counts(df: DataFrame, column: str, alias: str = "n_rows") -> DataFrame:
-    return df.groupBy(column).agg(F.count("*").alias(alias))

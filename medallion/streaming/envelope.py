@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion.operators.conform import conform
 from medallion.schemas import ENVELOPE, RAW_EVENTS
@@ -17,6 +18,9 @@ STREAM_PARTITIONS = {"s0": 0, "s1": 1, "s2": 2}
 DEFAULT_PARTITION = 0
 
 _CORRUPT = "_corrupt"
+_OBJECT = T.StructType([T.StructField("source", T.StringType())])
+_ELEMENTS = T.ArrayType(_OBJECT)
+_MEMBER = T.StructType([T.StructField("m", _OBJECT)])
 
 
 def payload_text(columns: Sequence[str]) -> Column:
@@ -62,13 +66,25 @@ def kafka_messages(envelopes: DataFrame) -> DataFrame:
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Decode ``value`` into the envelope fields; text that is no JSON object lands in ``_corrupt``."""
+    """Decode ``value`` into the envelope fields; text that is not one JSON object lands in ``_corrupt``.
+
+    The parser stops behind the first value. So the text is also parsed as the only element of an array and as the
+    only member of an object: what may follow a value in both is a comma, which gives the array a second element.
+    """
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
     shape = nullable(ENVELOPE).add(_CORRUPT, "string")
     text = F.col("value").cast("string")
-    parsed = F.from_json(text, shape, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    parsed = F.from_json(text, shape, {**strict, "columnNameOfCorruptRecord": _CORRUPT})
     others = [name for name in messages.columns if name != "value"]
-    decoded = messages.select(*others, text.alias("_text"), parsed.alias("_event"))
-    is_object = F.col(f"_event.{_CORRUPT}").isNull() & F.ltrim("_text").startswith("{")
+    decoded = messages.select(
+        *others,
+        text.alias("_text"),
+        parsed.alias("_event"),
+        F.from_json(F.concat(F.lit("["), text, F.lit("]")), _ELEMENTS, strict).alias("_listed"),
+        F.from_json(F.concat(F.lit('{"m":'), text, F.lit("}")), _MEMBER, strict).alias("_member"),
+    )
+    alone = (F.size("_listed") == 1) & F.col("_listed")[0].isNotNull() & F.col("_member.m").isNotNull()
+    is_object = F.col(f"_event.{_CORRUPT}").isNull() & F.ltrim("_text").startswith("{") & alone
     return decoded.select(
         *others,
         *[F.col(f"_event.{name}").alias(name) for name in ENVELOPE.names],

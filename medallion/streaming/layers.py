@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,28 +14,42 @@ from medallion.operators.dedup import latest_by
 from medallion.schemas import BRONZE_STREAM, STREAMING_COMMENTS, STREAMING_POSTS, STREAMING_TODOS, table
 
 BRONZE_KEY = ("stream_id", "row_index")
+# Stored tables carry the topic next to the contract, as offsets are counted anew in each.
+TOPIC = "_topic"
+OFFSET_BITS = 48
 
 
-def row_index(topic_partitions: int = 1) -> Column:
-    """A row number that a replay reproduces: the offset, interleaved over the topic's partitions."""
-    return F.col("kafka_offset") * F.lit(topic_partitions) + F.col("kafka_partition")
+def row_index() -> Column:
+    """A row number that a replay reproduces: the topic's partition above, the offset below. It doesn't depend on
+    how many partitions there are, so a topic can grow."""
+    return F.shiftleft(F.col("kafka_partition").cast("long"), OFFSET_BITS) + F.col("kafka_offset")
 
 
-def bronze_rows(raw: DataFrame, processed_at: Column, topic_partitions: int = 1) -> DataFrame:
-    """Bronze rows of queue rows; ``queue_timestamp`` is the arrival time in microseconds."""
+def topic_bronze_rows(raw: DataFrame, processed_at: Column) -> DataFrame:
+    """Bronze rows of queue rows with their topic, as they are stored; ``queue_timestamp`` is the arrival time in
+    microseconds."""
+    stored = T.StructType([*BRONZE_STREAM.fields, T.StructField(TOPIC, T.StringType())])
     rows = raw.withColumns(
         {
-            "row_index": row_index(topic_partitions),
+            "row_index": row_index(),
             "queue_timestamp": F.unix_micros(F.col("ingested_at").try_cast("timestamp")),
             "processed_at": processed_at,
+            TOPIC: F.col("kafka_topic"),
         }
     )
-    return conform(rows, BRONZE_STREAM, what="bronze stream")
+    return conform(rows, stored, what="bronze stream")
+
+
+def bronze_rows(raw: DataFrame, processed_at: Column) -> DataFrame:
+    """Bronze rows of the queue rows of one topic, in the table's contract."""
+    return topic_bronze_rows(raw, processed_at).drop(TOPIC)
 
 
 def collapse(bronze: DataFrame) -> DataFrame:
-    """One row per key, the latest processed: what a keyed table would hold after replays."""
-    return latest_by(bronze, BRONZE_KEY, ["processed_at", "queue_timestamp"])
+    """One row per key, the latest processed: what a keyed table would hold after replays. Rows of different topics
+    have different keys."""
+    topic = [TOPIC] if TOPIC in bronze.columns else []
+    return latest_by(bronze, [*topic, *BRONZE_KEY], ["processed_at", "queue_timestamp"])
 
 
 @dataclass(frozen=True)
@@ -81,8 +96,9 @@ PAYLOADS = {
 }
 
 
-def payload_rows(bronze: DataFrame, spec: PayloadSpec, processed_at: Column) -> DataFrame:
-    """The typed silver rows of one source. A field of the wrong type is NULL, as is every field of bad JSON."""
+def payload_rows(bronze: DataFrame, spec: PayloadSpec, processed_at: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """The typed silver rows of one source. A field of the wrong type is NULL, as is every field of bad JSON.
+    Text columns to ``keep`` follow the contract."""
     payload = F.from_json(F.coalesce("payload_json", F.lit("{}")), spec.payload)
     chosen = bronze.where((F.col("tablet_index") == spec.tablet_index) & (F.col("source") == spec.source))
     rows = chosen.withColumn("_payload", payload).withColumns(
@@ -91,4 +107,5 @@ def payload_rows(bronze: DataFrame, spec: PayloadSpec, processed_at: Column) ->
             "silver_processed_at": processed_at,
         }
     )
-    return conform(rows, spec.schema, what=spec.name)
+    schema = T.StructType([*spec.schema.fields, *[T.StructField(name, T.StringType()) for name in keep]])
+    return conform(rows, schema, what=spec.name)

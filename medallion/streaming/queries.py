@@ -1,12 +1,18 @@
 """The streaming queries: topic -> queue table -> bronze table -> silver tables.
 
-Every sink writes one folder per micro-batch and replaces it when the batch is run again, so a replay after
-a crash leaves no second copy. Offsets live in the checkpoint and move on only after the write.
+Every sink writes one folder per query and micro-batch and replaces it when the batch is run again, so a replay
+after a crash leaves no second copy, and queries that share a table leave each other's folders alone. A query is
+known by the id in its checkpoint. Offsets live in the checkpoint and move on only after the write.
+
+Many small folders make reads slow: ``compact`` merges all but the last ones of a keyed table into a base folder with
+one row per key. Readers collapse what is not compacted together with the keys of the base.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +20,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.schemas import BRONZE_STREAM, RAW_EVENTS
-from medallion.sources.tables import nullable, optional_table, overwrite_partitions, replace_table
+from medallion.session import scratch_path
+from medallion.sources.tables import nullable, optional_table, overwrite_partitions, replace_table, write_once
 from medallion.streaming.envelope import STREAM_PARTITIONS, accepted, parse_messages, raw_rows, rejected
-from medallion.streaming.layers import PAYLOADS, PayloadSpec, bronze_rows, collapse, payload_rows
+from medallion.streaming.layers import PAYLOADS, TOPIC, PayloadSpec, collapse, payload_rows, topic_bronze_rows
 
 EPOCH = "_epoch"
+QUERY = "_query"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 REJECTS = T.StructType(
     [
@@ -31,29 +39,44 @@ REJECTS = T.StructType(
 
 
 def with_epoch(schema: T.StructType) -> T.StructType:
-    return T.StructType([*nullable(schema).fields, T.StructField(EPOCH, T.LongType())])
+    """A stored stream table: its contract, and the query and micro-batch that wrote a row."""
+    added = [T.StructField(QUERY, T.StringType()), T.StructField(EPOCH, T.LongType())]
+    return T.StructType([*nullable(schema).fields, *added])
+
+
+STORED_BRONZE = with_epoch(T.StructType([*BRONZE_STREAM.fields, T.StructField(TOPIC, T.StringType())]))
 
 
 def now_text() -> F.Column:
     return F.date_format(F.current_timestamp(), ISO_MICROS)
 
 
-def _write_epoch(df: DataFrame, path: str, epoch: int, partition_by: Sequence[str] = ()) -> None:
-    stamped = df.withColumn(EPOCH, F.lit(epoch).cast("long"))
-    overwrite_partitions(stamped, path, [EPOCH, *partition_by], balance=False)
+def write_epoch(df: DataFrame, path: str, query: str, epoch: int, partition_by: Sequence[str] = ()) -> None:
+    stamped = df.withColumns({QUERY: F.lit(query), EPOCH: F.lit(epoch).cast("long")})
+    overwrite_partitions(stamped, path, [QUERY, EPOCH, *partition_by], balance=False)
 
 
 def run_stream(
     stream: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    write: Callable[[DataFrame, str, int], None],
     checkpoint: str,
     every: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Start a micro-batch query; without an interval it handles what is there and stops."""
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    """Start a micro-batch query; without an interval it handles what is there and stops. ``write`` gets each batch
+    with the id that the checkpoint keeps for the query, and the batch's number."""
+    known, identity = threading.Event(), []
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        known.wait()
+        write(batch, identity[0], epoch)
+
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
-    return (writer.queryName(name) if name else writer).start()
+    query = (writer.queryName(name) if name else writer).start()
+    identity.append(str(query.id))
+    known.set()
+    return query
 
 
 def topic_to_raw(
@@ -66,12 +89,12 @@ def topic_to_raw(
 ) -> StreamingQuery:
     """Decode, route and store messages; what cannot be decoded is set aside with its offset."""
 
-    def write(batch: DataFrame, epoch: int) -> None:
+    def write(batch: DataFrame, query: str, epoch: int) -> None:
         parsed = parse_messages(batch).persist()
         try:
             rows = raw_rows(accepted(parsed), F.lit(f"{epoch:012d}"), now_text())
-            _write_epoch(rows, raw_path, epoch, ["tablet_index"])
-            _write_epoch(rejected(parsed), rejects_path, epoch)
+            write_epoch(rows, raw_path, query, epoch, ["tablet_index"])
+            write_epoch(rejected(parsed), rejects_path, query, epoch)
         finally:
             parsed.unpersist()
 
@@ -93,16 +116,15 @@ def raw_to_bronze(
     queue: DataFrame,
     bronze_path: str,
     checkpoint: str,
-    topic_partitions: int = 1,
     every: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Append queue rows to bronze, one row per key within a batch. Keys that come again in a later batch
     are collapsed on read. Start one query per queue partition to keep a failing one from stopping others."""
 
-    def write(batch: DataFrame, epoch: int) -> None:
-        rows = collapse(bronze_rows(batch, now_text(), topic_partitions))
-        _write_epoch(rows, bronze_path, epoch, ["tablet_index"])
+    def write(batch: DataFrame, query: str, epoch: int) -> None:
+        rows = collapse(topic_bronze_rows(batch, now_text()))
+        write_epoch(rows, bronze_path, query, epoch, ["tablet_index"])
 
     return run_stream(queue, write, checkpoint, every, name)
 
@@ -127,17 +149,61 @@ def start_isolated(
     }
 
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Bronze with one row per key."""
-    found = optional_table(spark, bronze_path, with_epoch(BRONZE_STREAM))
-    if found is None:
+def _with_base(spark: SparkSession, bronze_path: str, folders: DataFrame) -> DataFrame:
+    """The rows of a bronze table that count: the compacted ones, and the folders that came after. Rows that are
+    found in both have the same key, so it doesn't matter if a compaction was cut short."""
+    base, merged = optional_table(spark, f"{bronze_path}__base"), optional_table(spark, f"{bronze_path}__merged")
+    if base is None or merged is None:
+        return folders
+    return folders.join(merged, [QUERY, EPOCH], "left_anti").unionByName(base)
+
+
+def read_bronze(spark: SparkSession, *bronze_paths: str) -> DataFrame:
+    """Bronze with one row per key, from one table or from those of several queue partitions."""
+    tables = [
+        _with_base(spark, path, found)
+        for path in bronze_paths
+        if (found := optional_table(spark, path, STORED_BRONZE)) is not None
+    ]
+    if not tables:
         return spark.createDataFrame([], nullable(BRONZE_STREAM))
-    return collapse(found.drop(EPOCH))
+    return collapse(reduce(DataFrame.unionByName, tables)).select(*BRONZE_STREAM.names)
+
+
+def compact(spark: SparkSession, bronze_path: str) -> int:
+    """Merge the folders of a bronze table into its base, one row per key; returns how many folders were there.
+
+    The folders stay, for streams that still read them and for a micro-batch that is run again, until
+    ``drop_merged``. The list of merged folders is written after the base.
+    """
+    # One listing of the files serves rows and names: folders that arrive meanwhile are in neither.
+    folders = optional_table(spark, bronze_path, STORED_BRONZE)
+    if folders is None:
+        return 0
+    names = write_once(folders.select(QUERY, EPOCH).distinct(), scratch_path(spark, "folders"))
+    known = optional_table(spark, f"{bronze_path}__merged")
+    every = names if known is None else names.unionByName(known).distinct()
+    replace_table(collapse(_with_base(spark, bronze_path, folders)), f"{bronze_path}__base", ["tablet_index"])
+    replace_table(every, f"{bronze_path}__merged")
+    return names.count()
+
+
+def drop_merged(spark: SparkSession, bronze_path: str) -> None:
+    """Delete the merged folders. Call it when no stream has to read them any more."""
+    merged = optional_table(spark, f"{bronze_path}__merged")
+    if merged is None:
+        return
+    root = spark._jvm.org.apache.hadoop.fs.Path(bronze_path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for row in merged.toLocalIterator():
+        folder = f"{QUERY}={row[QUERY]}/{EPOCH}={row[EPOCH]}"
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, folder), True)
 
 
-def rebuild_silver(spark: SparkSession, bronze_path: str, spec: PayloadSpec, path: str) -> None:
-    """The full refresh of one silver table."""
-    replace_table(payload_rows(read_bronze(spark, bronze_path), spec, now_text()), path)
+def rebuild_silver(spark: SparkSession, bronze_path: str | Sequence[str], spec: PayloadSpec, path: str) -> None:
+    """The full refresh of one silver table, from one bronze table or those of the queue partitions."""
+    paths = [bronze_path] if isinstance(bronze_path, str) else bronze_path
+    replace_table(payload_rows(read_bronze(spark, *paths), spec, now_text()), path)
 
 
 def bronze_to_silver(
@@ -145,11 +211,12 @@ def bronze_to_silver(
 ) -> StreamingQuery:
     """Incremental twin of ``rebuild_silver`` for all silver tables at once."""
 
-    def write(batch: DataFrame, epoch: int) -> None:
+    def write(batch: DataFrame, query: str, epoch: int) -> None:
         batch.persist()
         try:
             for name, path in paths.items():
-                _write_epoch(payload_rows(batch, PAYLOADS[name], now_text()), path, epoch)
+                spec = PAYLOADS[name]
+                write_epoch(payload_rows(batch, spec, now_text(), keep=[TOPIC]), path, query, epoch)
         finally:
             batch.unpersist()
 
@@ -157,10 +224,11 @@ def bronze_to_silver(
 
 
 def stream_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    return spark.readStream.schema(with_epoch(BRONZE_STREAM)).parquet(bronze_path)
+    return spark.readStream.schema(STORED_BRONZE).parquet(bronze_path)
 
 
 def read_silver(spark: SparkSession, path: str, spec: PayloadSpec) -> DataFrame:
     """An incrementally kept silver table; a key that came again counts once."""
-    found = optional_table(spark, path, with_epoch(spec.schema))
-    return spark.createDataFrame([], nullable(spec.schema)) if found is None else collapse(found.drop(EPOCH))
+    stored = with_epoch(T.StructType([*spec.schema.fields, T.StructField(TOPIC, T.StringType())]))
+    found = optional_table(spark, path, stored)
+    return spark.createDataFrame([], nullable(spec.schema)) if found is None else collapse(found).select(*spec.schema.names)

@@ -414,6 +414,11 @@ def bronze_queries() -> dict[str, str]:
         "dim_device_only_new": with_("devices", f"SELECT {device_row} FROM devices WHERE known = 2"),
         "dim_mapping": with_("first_seen", f"SELECT dim_name, raw_value, {dim_uid} AS uid FROM first_seen"),
         "dim_device_mapping": with_("devices", f"SELECT device_id, {DEVICE_UID} AS device_uid FROM devices"),
+        "dim_random_keys": with_(
+            "first_seen devices",
+            "SELECT dim_name, raw_value, 1 AS n_ids, 1 AS n_values, 36 AS width FROM first_seen UNION ALL "
+            "SELECT 'device', CAST(device_id AS VARCHAR), 1, 1, 36 FROM devices",
+        ),
         "fact_stable_keys": with_("parts", fact_sql("parts")),
         "fact_lookup": with_("parts", fact_sql("parts")),
         "fact_random_keys": with_(
@@ -466,8 +471,8 @@ def silver_queries() -> dict[str, str]:
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
         "salted_lookup": "SELECT event_id, event_type, user_id, c_name, c_mktsegment "
         "FROM events LEFT JOIN customer ON user_id = c_custkey",
-        "checked_lookup": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders "
-        "WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')",
+        "checked_lookup": "SELECT event_id, user_id, event_type FROM events "
+        "WHERE user_id IN (SELECT c_custkey FROM customer)",
         "sql_layer_counts": with_(
             "silver",
             "SELECT event_date, battery_state, count(*) AS n_rows FROM silver WHERE is_wifi "
@@ -482,11 +487,14 @@ def stream_queries() -> dict[str, str]:
         "'entity_id': entity_id, 'payload_json': payload_json, 'ingest_batch_id': ingest_batch_id, "
         "'ingest_ts': ingest_ts}) AS VARCHAR)"
     )
-    return {
+    found = {
         "envelope_build": with_("envelopes", "SELECT * FROM envelopes"),
         "kafka_kv": with_("envelopes", f"SELECT stream_id || ':' || entity_id AS key, {message} AS value FROM envelopes"),
         "quarantine": """SELECT 'raw-events' AS topic, CAST(0 AS BIGINT) AS partition, event_id AS "offset",
-  CASE event_type WHEN 'error' THEN 'not json ' || CAST(event_id AS VARCHAR)
+  CASE event_type WHEN 'error' THEN CASE event_id % 4 WHEN 0 THEN 'not json ' || event_id
+      WHEN 1 THEN '{"source":"a"} ' || event_id
+      WHEN 2 THEN '{"source":"a"}{"id":' || event_id || '}'
+      ELSE '{' || chr(39) || 'source' || chr(39) || ':' || chr(39) || 'a' || event_id || chr(39) || '}' END
     ELSE '[' || CAST(event_id AS VARCHAR) || ']' END AS message
 FROM events WHERE event_type IN ('error', 'signup')""",
         "route_tablet": with_("queue", "SELECT * FROM queue"),
@@ -509,13 +517,21 @@ FROM events WHERE event_type IN ('error', 'signup')""",
         "payload_todos": "SELECT event_id AS todo_id, user_id, event_type AS title, value > 50 AS completed, "
         + tail("todos", 2, "event_id")
         + " FROM events",
-        "stream_available_now": with_(
-            "items",
-            "SELECT id AS todo_id, \"userId\" AS user_id, title, completed, 'jsonplaceholder_todos' AS source, "
-            "'s2' AS stream_id, 'todo_event' AS event_type, event_ts, CAST(\"userId\" AS VARCHAR) AS entity_id, "
-            "CAST(2 AS BIGINT) AS tablet_index, id AS row_index FROM items WHERE title NOT IN ('error', 'signup')",
-        ),
+        "stream_available_now": with_("items", fan_out("id")),
+        "bronze_partitions": with_("items", fan_out("((id % 3) << 48) + id // 3")),
     }
+    return {**found, "bronze_compacted": found["bronze_upsert"]}
+
+
+def fan_out(row_index: str) -> str:
+    tables = {"s0": "streaming_posts", "s1": "streaming_comments", "s2": "streaming_todos"}
+    names = " ".join(f"WHEN '{stream}' THEN '{name}'" for stream, name in tables.items())
+    return (
+        f"SELECT CASE stream {names} END AS table_name, id AS item_id, \"userId\" AS owner_id, title AS label, "
+        "stream AS stream_id, event_ts, CAST(\"userId\" AS VARCHAR) AS entity_id, "
+        "CAST(CASE stream WHEN 's1' THEN 1 WHEN 's2' THEN 2 ELSE 0 END AS BIGINT) AS tablet_index, "
+        f"{row_index} AS row_index FROM items WHERE title NOT IN ('error', 'signup')"
+    )
 
 
 def ledger_queries() -> dict[str, str]:

@@ -85,7 +85,27 @@ def test_payload_types(spark):
 
 def test_row_index_is_unique_over_topic_partitions(spark):
     df = spark.createDataFrame([(o, p) for o in range(5) for p in range(3)], "kafka_offset long, kafka_partition long")
-    assert df.select(layers.row_index(3).alias("i")).distinct().count() == 15
+    assert df.select(layers.row_index().alias("i")).distinct().count() == 15
+
+
+def test_topics_do_not_share_keys(spark):
+    parsed = envelope.parse_messages(topic(spark, MESSAGES))
+    raw = envelope.raw_rows(envelope.accepted(parsed), F.lit("b"), F.lit("2024-02-01T00:00:00Z"))
+    both = raw.unionByName(raw.withColumn("kafka_topic", F.lit("other")))
+    assert layers.collapse(layers.topic_bronze_rows(both, F.lit("p"))).count() == 2 * raw.count()
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        '{"source":"a"} trailing', '{"source":"a"}{"source":"b"}', "{'source':'a'}", '{"source":"a"},{"source":"b"}',
+        '{"source":"a"}],[{"source":"b"}', '{"source":"a"},"n":{}', '{"source":"a"},', '{"source":"a"}}', '{"source":"a"', "null", None,
+    ],
+)
+def test_only_single_objects_are_accepted(spark, text):
+    parsed = envelope.parse_messages(topic(spark, [text, ' {"source":"a"} ']))
+    assert [r["source"] for r in envelope.accepted(parsed).collect()] == ["a"]
+    assert [r["message"] for r in envelope.rejected(parsed).collect()] == [text or ""]
 
 
 @pytest.fixture()
@@ -132,9 +152,36 @@ def test_a_batch_run_again_replaces_itself(spark, tmp_path):
     raw = topic(spark, MESSAGES[:3])
     path = str(tmp_path / "out")
     for _ in range(2):
-        streams._write_epoch(raw, path, 4)
-    streams._write_epoch(raw, path, 5)
-    assert read_table(spark, path).count() == 6
+        streams.write_epoch(raw, path, "q", 4)
+    streams.write_epoch(raw, path, "q", 5)
+    streams.write_epoch(raw, path, "other", 4)
+    assert read_table(spark, path).count() == 9
+
+
+def test_two_queries_share_a_table(spark, stream_dirs, tmp_path):
+    for k, part in enumerate((MESSAGES[:1], MESSAGES[1:2])):
+        where = str(tmp_path / f"topic{k}")
+        rows = topic(spark, part, 10 * k)
+        rows.write.parquet(where)
+        source = spark.readStream.schema(rows.schema).parquet(where)
+        streams.topic_to_raw(source, stream_dirs["raw"], stream_dirs["rejects"], str(tmp_path / f"cp{k}")).awaitTermination()
+    assert read_table(spark, stream_dirs["raw"]).count() == 2
+
+
+def test_compaction_changes_no_result(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    parsed = envelope.parse_messages(topic(spark, MESSAGES))
+    raw = envelope.raw_rows(envelope.accepted(parsed), F.lit("b"), F.lit("2024-02-01T00:00:00Z"))
+    assert streams.compact(spark, path) == 0
+    for epoch in range(3):
+        streams.write_epoch(layers.topic_bronze_rows(raw, F.lit(f"p{epoch}")), path, "q", epoch, ["tablet_index"])
+        before = sorted(streams.read_bronze(spark, path).collect())
+        assert streams.compact(spark, path) in (1, 2)
+        assert sorted(streams.read_bronze(spark, path).collect()) == before
+        if epoch == 1:
+            streams.drop_merged(spark, path)
+            assert sorted(streams.read_bronze(spark, path).collect()) == before
+    assert {r["processed_at"] for r in streams.read_bronze(spark, path).collect()} == {"p2"}
 
 
 def test_one_queue_partition_alone(spark, stream_dirs):
@@ -152,7 +199,7 @@ def test_one_queue_partition_alone(spark, stream_dirs):
 def test_rebuild_of_all_tables_records_each_run(spark, stream_dirs, tmp_path):
     parsed = envelope.parse_messages(topic(spark, MESSAGES))
     raw = envelope.raw_rows(envelope.accepted(parsed), F.lit("b"), F.lit("2024-02-01T00:00:00Z"))
-    streams._write_epoch(layers.bronze_rows(raw, F.lit("p")), stream_dirs["bronze"], 0, ["tablet_index"])
+    streams.write_epoch(layers.topic_bronze_rows(raw, F.lit("p")), stream_dirs["bronze"], "q", 0, ["tablet_index"])
     outcomes = rebuild_all(spark, stream_dirs["bronze"], str(tmp_path / "silver"), str(tmp_path / "runs"))
     assert outcomes == dict.fromkeys(layers.PAYLOADS, "SUCCESS")
     runs = read_table(spark, str(tmp_path / "runs"), schemas.STREAMING_SILVER_RUNS).collect()
