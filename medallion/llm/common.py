@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.session import scratch_path
-from medallion.sources.tables import write_once
+from medallion.sources.tables import read_table
 
 # ASCII white space, as the contracts of all operators name it.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -38,7 +38,9 @@ def lower_ascii(column: Column) -> Column:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the folder that all executors share and read back. Cuts the lineage, so that
     a lost executor costs no more than the tasks that read the table."""
-    return write_once(df, scratch_path(df.sparkSession, f"llm-{name}"))
+    path = scratch_path(df.sparkSession, f"llm-{name}")
+    df.write.option("compression", "zstd").parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
 def worker_cache(name: str, make: Callable[[], Any]) -> Any:

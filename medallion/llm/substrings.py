@@ -1,8 +1,8 @@
 """Substring deduplication: passages of a fixed number of words that an earlier document has, too, are removed.
 
 Every window of that many words has a Rabin-Karp hash, from prefix sums of a polynomial over word hashes. A window's
-anchor is the smallest hash of the half-length windows inside it, so equal windows have equal anchors, and neighbours
-mostly share theirs: consecutive windows with one anchor are a run. Spark counts in two steps.
+anchor is the smallest hash of the windows of a fifth of its length inside it, so equal windows have equal anchors,
+and neighbours mostly share theirs: consecutive windows with one anchor are a run. Spark counts in two steps.
 
 * Runs are grouped by anchor and content. All but the smallest document of a group have every window of the run in a
   smaller document: these runs go whole.
@@ -34,6 +34,7 @@ from medallion.llm.chunks import slices
 from medallion.llm.common import BLANKS, stored, whole_text
 
 WINDOW = 50
+ANCHOR_PARTS = 5
 _AT_ONCE = 500
 # Odd multipliers of the polynomials modulo 2 ** 64.
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -99,9 +100,9 @@ def runs_of(words: Any, window: int) -> tuple[Any, Any, Any, Any, Any]:
     """(anchor, content, check, start, windows) of the runs of one text."""
     import numpy as np
 
-    rolling, half, n = Rolling(words), max(1, window // 2), len(words)
-    at = np.arange(n - half + 1)
-    anchors = smallest_of(rolling.hashes(at, at + half), window - half + 1)
+    rolling, short, n = Rolling(words), max(1, window // ANCHOR_PARTS), len(words)
+    at = np.arange(n - short + 1)
+    anchors = smallest_of(rolling.hashes(at, at + short), window - short + 1)
     starts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
     counts = np.diff(np.r_[starts, len(anchors)])
     ends = starts + counts - 1 + window
@@ -182,7 +183,7 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
 def repeated_intervals(docs: DataFrame, window: int) -> DataFrame:
     """doc_id, body and the intervals (from, to; in words) of what goes; they may overlap. ``docs`` has doc_id, body
     and text."""
-    key, doc = ["anchor", "content", "check", "windows"], ["doc_id", "body"]
+    key, doc = ["anchor", "content", "check"], ["doc_id", "body"]
     runs = stored(run_rows(docs, window), "runs")
     # One row per content, and how many contents the anchor has: from rows that are merged before each shuffle.
     groups = runs.groupBy(*key).agg(F.min("doc_id").alias("smallest"), F.max("doc_id").alias("largest"))
@@ -211,7 +212,7 @@ def repeated_intervals(docs: DataFrame, window: int) -> DataFrame:
 def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, the kept words joined by single spaces, and the
     maximal intervals (from, to; in words) that were removed."""
-    texts = docs.select("doc_id", F.xxhash64(whole_text()).alias("body"), whole_text().alias("text"))
+    texts = docs.select("doc_id", F.hash(whole_text()).alias("body"), whole_text().alias("text"))
     gone = repeated_intervals(texts, window).groupBy("doc_id", "body").agg(F.collect_list("gone").alias("gone"))
     fields = [
         texts.schema["doc_id"],
