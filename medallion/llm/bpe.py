@@ -20,6 +20,7 @@ Defined results
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion.llm.chunks import MatchIds, slices
+from medallion.llm.chunks import ID_BYTES, MatchIds, slices
 from medallion.llm.common import whole_text, worker_cache
 
 _AT_ONCE = 250
@@ -256,16 +257,19 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        chunks = worker_cache(f"bpe:{ranks}:{pattern}", lambda: text_encoder(ranks, pattern))
-        for batch in batches:
-            for at, n in slices(batch.num_rows, _AT_ONCE):
-                part = batch.slice(at, n)
-                found = chunks.ids(part.column(1).to_pylist())
-                ends = np.cumsum([0, *map(len, found)]) // 4
-                values = pa.array(np.frombuffer(b"".join(found), "<u4").astype("i4"))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=schema.names
-                )
+        gc.disable()  # hundreds of thousands of states, and no cycle among them
+        try:
+            matches = worker_cache(f"bpe:{ranks}:{pattern}", lambda: text_encoder(ranks, pattern))
+            for batch in batches:
+                for at, n in slices(batch.num_rows, _AT_ONCE):
+                    part = batch.slice(at, n)
+                    found = matches.ids(part.column(1).to_pylist())
+                    ends = np.cumsum([0, *map(len, found)]) // ID_BYTES
+                    values = pa.array(np.frombuffer(b"".join(found), "<u4").astype("i4"))
+                    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                    yield pa.RecordBatch.from_arrays([part.column(0), ids], names=schema.names)
+        finally:
+            gc.enable()
 
     return rows.mapInArrow(encode, schema)
 

@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.session import scratch_path
+from medallion.session import configure, scratch_path
 from medallion.sources.tables import read_table
 
 # ASCII white space, as the contracts of all operators name it.
@@ -21,6 +21,16 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 cloudpickle.register_pickle_by_value(sys.modules["medallion.llm"])
 
 
+# Rows that go to Python at once: texts can be long, and a batch is held on both sides.
+ARROW_ROWS = 1_000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings and with small batches for Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return configure(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

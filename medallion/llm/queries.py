@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, urls
-from medallion.llm.common import table
-from medallion.session import configure
+from medallion.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,7 +62,7 @@ QUERIES = (op1_best_fit_packing, op2_embedding_near_dedup, op3_simhash_near_dedu
 
 
 def _configured(function: Query) -> Query:
-    return lambda spark, sf_dir: function(configure(spark), sf_dir)
+    return lambda spark, sf_dir: function(prepared(spark), sf_dir)
 
 
 def queries() -> dict[str, Query]:
