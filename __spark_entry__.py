@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +28,12 @@ from medallion.operators import audit, dims, enrich, facts, increment
 from medallion.operators.conform import conform, evolve, null_counts
 from medallion.operators.dedup import fact_dedup, latest_by
 from medallion.operators.indexing import dense_index
-from medallion.operators.joins import lookup_join, salted_join
+from medallion.operators.joins import MAX_BROADCAST_BYTES, lookup_join, salted_join
 from medallion.operators.marts import MARTS, MartSpec, aggregate, build_mart, stamped
+from medallion.plans.bronze import ingest_files, stream_files
+from medallion.plans.gold import refresh_mart
+from medallion.plans.lake import Lake, read_facts
+from medallion.plans.silver import refresh_silver
 from medallion.plans.stream_silver import rebuild_all
 from medallion.session import configure, scratch_path
 from medallion.sources import files, samples
@@ -42,6 +48,7 @@ LOADED_AT = "2024-02-01 00:00:00"
 FIRST_NOON = "2024-01-01 12:00:00"
 BUILT_AT = "2024-02-02 00:00:00"
 GOLD_AT = "2024-02-03 00:00:00"
+FIXED_NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 NOW = "2024-02-01T00:00:00Z"
 SILVER_BATCH = "silver-1"
 GOLD_BATCH = "gold-1"
@@ -251,6 +258,23 @@ def fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.build_fact(raw_parts(spark, sf_dir), facts.load_lookups(categories))
 
 
+@query
+def fact_lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimensions with ids made elsewhere, three of them as if too big to broadcast: every id comes from the tables."""
+    categories, devices = stored_dimensions(spark, sf_dir)
+    mark = F.lit("own-")
+    lookups = facts.load_lookups(
+        categories.withColumn("uid", F.concat(mark, "uid")), devices.withColumn("device_uid", F.concat(mark, "device_uid"))
+    )
+    big = dict.fromkeys(("device", "country", "wifi_status"), MAX_BROADCAST_BYTES + 1)
+    lookups = replace(lookups, sizes={**lookups.sizes, **big})
+    source = facts.fact_source(raw_parts(spark, sf_dir))
+    keyed = facts.require_all_keys(facts.with_looked_up_keys(source, lookups))
+    return conform(
+        keyed.withColumns({name: F.regexp_extract(name, "^own-(.*)$", 1) for name in facts.fact_keys()}), schemas.FACT
+    )
+
+
 @query
 def fact_random_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts keyed with random ids, decoded again: the natural values must come back."""
@@ -278,6 +302,129 @@ def table_source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.build_fact(stamped_rows).select("fact_uid", *facts.LINEAGE)
 
 
+# Run plans --------------------------------------------------------------------------------------------------
+
+
+def write_raw_files(spark: SparkSession, raw: DataFrame, root: str, parts: int = samples.PART_COUNT) -> None:
+    """Raw telemetry as files below ``root``, one folder per part."""
+    for part in range(parts):
+        chosen = raw.where(F.col("id") % parts == part)
+        chosen.coalesce(1).write.mode("append").parquet(f"{root}/day={part} [a] {{b}}")
+
+
+def file_part() -> F.Column:
+    """The part that a file was written for."""
+    return F.regexp_extract("_source_file", "day(?:=|%3D)([0-9])", 1)
+
+
+def empty_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    lake = Lake(scratch_path(spark, "lake"))
+    samples.country_reference(spark, sf_dir).write.parquet(lake.reference)
+    return lake
+
+
+@query
+def ingest_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as files, loaded by several jobs and calls of one batch id and by two streams: all facts of all files."""
+    root, lake = scratch_path(spark, "raw"), empty_lake(spark, sf_dir)
+    raw = samples.telemetry(spark, sf_dir)
+    write_raw_files(spark, raw.where("id % 2 = 0"), f"{root}/one")
+    ingest_files(spark, f"{root}/one", lake, "batch", FIXED_NOW, files_per_job=2)
+    write_raw_files(spark, raw.where("id % 4 = 1"), f"{root}/one")
+    ingest_files(spark, f"{root}/one", lake, "batch", FIXED_NOW)
+    for rest in (0, 1):
+        write_raw_files(spark, raw.where(f"id % 8 = {4 * rest + 3}"), f"{root}/stream{rest}")
+        stream_files(spark, f"{root}/stream{rest}", lake, f"{root}/cp{rest}").awaitTermination()
+    return read_facts(spark, lake).groupBy(file_part().alias("part"), "event_date").agg(
+        F.count("*").alias("n_facts"), F.sum("source_id").alias("sum_id"), F.countDistinct("_source_file").alias("n_files")
+    ).drop("n_files")
+
+
+@query
+def file_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files of which the last has rows without a device: it fails alone, the others are loaded."""
+    root, lake = scratch_path(spark, "raw"), empty_lake(spark, sf_dir)
+    raw = samples.telemetry(spark, sf_dir)
+    no_device = (F.col("id") % samples.PART_COUNT == samples.PART_COUNT - 1) & F.col("battery_state").eqNullSafe("Full")
+    write_raw_files(spark, raw.withColumn("device_id", F.when(~no_device, F.col("device_id"))), root)
+    ingest_files(spark, root, lake, "batch", FIXED_NOW)
+    loads = read_table(spark, lake.audit("file_loads"), schemas.FILE_LOADS)
+    return loads.withColumnRenamed("file_key", "_source_file").select(
+        file_part().alias("part"), "load_status", "source_rows", "fact_rows", "device_count", "error", "rc"
+    )
+
+
+@query
+def raw_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with times as text, a category as number and a measure as double: the same facts."""
+    root, lake = scratch_path(spark, "raw"), empty_lake(spark, sf_dir)
+    raw = samples.telemetry(spark, sf_dir)
+    typed = raw.withColumns(
+        {
+            "timestamp": F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+            "id": F.col("id").cast("int"),
+            "memory_active": F.col("memory_active").cast("double"),
+            "device_id": F.col("device_id").cast("string"),
+        }
+    )
+    write_raw_files(spark, typed.where("id % 2 = 0"), f"{root}/typed")
+    write_raw_files(spark, raw.where("id % 2 = 1"), f"{root}/plain")
+    ingest_files(spark, root, lake, samples.BATCH_ID, FIXED_NOW)
+    return read_facts(spark, lake).drop(*facts.LINEAGE)
+
+
+def loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake with the events of three files in bronze, two of them in silver, and a file that repeats events."""
+    root, lake = scratch_path(spark, "raw"), empty_lake(spark, sf_dir)
+    raw = samples.telemetry(spark, sf_dir)
+    last = F.col("id") % samples.PART_COUNT == samples.PART_COUNT - 1
+    write_raw_files(spark, raw.where(~last), f"{root}/first")
+    ingest_files(spark, f"{root}/first", lake, "b1", FIXED_NOW)
+    refresh_silver(spark, lake, "s1", FIXED_NOW)
+    raw.where(last).coalesce(1).write.parquet(f"{root}/second/new")
+    raw.where(F.col("battery_state") == "Full").coalesce(1).write.parquet(f"{root}/second/again")
+    ingest_files(spark, f"{root}/second", lake, "b2", FIXED_NOW)
+    return lake
+
+
+@query
+def auto_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs in automatic mode after a file of duplicates: one catches up, the others look at late rows."""
+    lake = loaded_lake(spark, sf_dir)
+    for run in ("s2", "s3", "s4"):
+        refresh_silver(spark, lake, run, FIXED_NOW)
+    runs = read_table(spark, lake.audit("layer_runs"), schemas.LAYER_RUNS)
+    return runs.select(
+        "batch_id",
+        "load_status",
+        "rows_silver_out",
+        (F.col("rows_bronze_in") - F.col("rows_after_dedup")).alias("n_duplicates"),
+        F.regexp_extract("message", "'mode': '([a-z]+)'", 1).alias("mode"),
+    )
+
+
+@query
+def lake_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From files to a mart through the run plans; what the mart's table holds."""
+    lake = loaded_lake(spark, sf_dir)
+    refresh_silver(spark, lake, "s2", FIXED_NOW, files_per_job=1)
+    refresh_mart(spark, lake, "daily_country_stats", "old", FIXED_NOW)
+    refresh_mart(spark, lake, "daily_country_stats", GOLD_BATCH, FIXED_NOW)
+    mart = read_table(spark, lake.gold("daily_country_stats"), MARTS["daily_country_stats"].schema)
+    return mart.select("date_local", "country_code", "country_name", "n_events", "n_devices", "_gold_batch_id")
+
+
+@query
+def mart_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run records of two marts, one of which is refreshed twice."""
+    lake = loaded_lake(spark, sf_dir)
+    refresh_silver(spark, lake, "s2", FIXED_NOW)
+    for mart, run in (("country_overview", "g1"), ("country_overview", "g2"), ("device_lifecycle", "g1")):
+        refresh_mart(spark, lake, mart, run, FIXED_NOW)
+    runs = read_table(spark, lake.audit("mart_runs"), schemas.MART_RUNS)
+    return runs.select("mart", "batch_id", "load_status", "rows_silver_in", "rows_gold_out", "rc")
+
+
 # Silver -----------------------------------------------------------------------------------------------------
 
 

@@ -19,12 +19,11 @@ from medallion.sources.tables import nullable
 SUCCESS = "SUCCESS"
 FAILED = "FAILED"
 SUCCESS_RC = 0
-MESSAGE_LIMIT = 20_000  # characters of an error that are kept
 _MICROS = 1_000_000
 
 
 def utc_now() -> str:
-    return dt.datetime.now(dt.timezone.utc).isoformat().replace("+00:00", "Z")
+    return iso(dt.datetime.now(dt.timezone.utc))
 
 
 def duration_seconds(started_at: str | Column, finished_at: str | Column) -> Column:
@@ -81,7 +80,7 @@ def run_rollup(loads: DataFrame) -> DataFrame:
         "success_items",
         "failed_items",
         F.lit(0).cast("long").alias("skipped_items"),
-        F.when(failed > 0, F.concat(failed.cast("string"), F.lit(" file load(s) failed"))).alias("error"),
+        F.when(failed > 0, F.concat_ws(" ", failed, F.lit("of"), "total_items", F.lit("files failed"))).alias("error"),
     )
 
 
@@ -121,7 +120,8 @@ def counted(seen: Observation, otherwise: Callable[[], int]) -> int:
 
 
 def error_text(failure: Exception) -> str:
-    return f"{type(failure).__name__}: {failure}"[:MESSAGE_LIMIT]
+    """The whole text of a failure."""
+    return f"{type(failure).__name__}: {failure}"
 
 
 def iso(moment: dt.datetime) -> str:

@@ -17,8 +17,15 @@ from medallion.operators.dims import (
     device_key,
     device_mapping,
     device_stable_uid,
+    only_stable_ids,
+)
+from medallion.operators.joins import (
+    MAX_BROADCAST_BYTES,
+    broadcastable,
+    measured_bytes,
+    measured_bytes_by,
+    salted_join,
 )
-from medallion.operators.joins import MAX_BROADCAST_BYTES, lookup_join, measured_bytes, measured_bytes_by
 from medallion.schemas import FACT, FLAG_COLUMNS
 from medallion.session import scratch_path
 from medallion.sources.tables import write_once
@@ -29,11 +36,8 @@ LINEAGE = ("_source_file", "_file_hash", "_loaded_at", "_batch_id", "_part_index
 
 @dataclass(frozen=True)
 class Lookups:
-    """Natural value -> uid frames, one per dimension, with their measured sizes.
-
-    Without ``devices`` the ids are stable ones: the device id is computed in place, and so is the id of a
-    category too big to broadcast. A broadcast lookup of a small one costs a third of computing its id.
-    """
+    """Natural value -> uid frames, one per dimension, with their measured sizes. A size chooses the join, never
+    the id. Without ``devices`` the device table holds computed ids only, and they are computed in place."""
 
     categories: Mapping[str, DataFrame]
     sizes: Mapping[str, int]
@@ -43,7 +47,7 @@ class Lookups:
 def load_lookups(
     dims: DataFrame, devices: DataFrame | None = None, specs: Sequence[DimSpec] = CATEGORY_DIMS
 ) -> Lookups:
-    """Mappings from dimension tables, measured so that each join can be chosen. Give ``devices`` for random ids.
+    """Mappings from dimension tables, measured so that each join can be chosen.
 
     The collapsed mapping is written down once, so that the eleven broadcasts are plain scans of it.
     """
@@ -55,7 +59,7 @@ def load_lookups(
         for spec in specs
     }
     sizes = {**dict.fromkeys(categories, 0), **measured_bytes_by(mapping, "dim_name")}
-    if devices is None:
+    if devices is None or only_stable_ids(devices):
         return Lookups(categories, sizes)
     device_map = device_mapping(devices)
     return Lookups(categories, {**sizes, "device": measured_bytes(device_map)}, device_map)
@@ -85,22 +89,29 @@ def with_stable_keys(source: DataFrame, specs: Sequence[DimSpec] = CATEGORY_DIMS
 
 
 def with_looked_up_keys(
-    source: DataFrame, lookups: Lookups, specs: Sequence[DimSpec] = CATEGORY_DIMS
+    source: DataFrame,
+    lookups: Lookups,
+    specs: Sequence[DimSpec] = CATEGORY_DIMS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Surrogate keys read from the dimension tables; see ``Lookups`` for the ones that are computed."""
-    stable = lookups.devices is None
-    computed = [spec for spec in specs if stable and lookups.sizes[spec.name] > MAX_BROADCAST_BYTES]
-    looked_up = [spec for spec in specs if spec not in computed]
-    keyed = source.withColumns({f"_{spec.name}": normalize_key(spec.source) for spec in looked_up})
-    if stable:
-        keyed = keyed.withColumns({"device_uid": device_stable_uid(), **{spec.uid: spec.stable_uid() for spec in computed}})
+    """Surrogate keys read from the dimension tables; see ``Lookups`` for the device."""
+    small = broadcastable(lookups.sizes, max_broadcast_bytes)
+    keyed = source.withColumns({f"_{spec.name}": normalize_key(spec.source) for spec in specs})
+    if lookups.devices is None:
+        keyed = keyed.withColumn("device_uid", device_stable_uid())
     else:
         keyed = keyed.withColumn("device_id", device_key())
-        keyed = lookup_join(keyed, lookups.devices, "device_id", right_bytes=lookups.sizes["device"])
-    for spec in looked_up:
-        mapping, size = lookups.categories[spec.name], lookups.sizes[spec.name]
-        keyed = lookup_join(keyed, mapping, f"_{spec.name}", right_bytes=size)
-    return keyed.drop(*[f"_{spec.name}" for spec in looked_up])
+    # Hot keys are looked for in the source, not in what the joins before have made.
+    natural = keyed.select("device_id", *[f"_{spec.name}" for spec in specs])
+    if lookups.devices is not None:
+        keyed = _looked_up(keyed, lookups.devices, "device_id", "device" in small, natural)
+    for spec in specs:
+        keyed = _looked_up(keyed, lookups.categories[spec.name], f"_{spec.name}", spec.name in small, natural)
+    return keyed.drop(*[f"_{spec.name}" for spec in specs])
+
+
+def _looked_up(df: DataFrame, mapping: DataFrame, on: str, small: bool, keys_from: DataFrame) -> DataFrame:
+    return df.join(F.broadcast(mapping), on, "left") if small else salted_join(df, mapping, on, "left", keys_from=keys_from)
 
 
 def build_fact(raw: DataFrame, lookups: Lookups | None = None) -> DataFrame:
@@ -119,7 +130,11 @@ def require_all_keys(keyed: DataFrame) -> DataFrame:
     return keyed.withColumns(checks)
 
 
+def lacks_keys() -> F.Column:
+    """Raw rows that can't become facts: no device, no id, or no event time."""
+    return device_key().isNull() | F.col("id").try_cast("long").isNull() | F.col("timestamp").isNull()
+
+
 def split_unkeyed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with a device, rows without one) for callers that would rather set bad rows aside than fail."""
-    has_device = device_key().isNotNull()
-    return raw.where(has_device), raw.where(~has_device)
+    """(rows that can become facts, rows that can't) for callers that would rather set bad rows aside than fail."""
+    return raw.where(~lacks_keys()), raw.where(lacks_keys())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,17 @@ def measured_bytes_by(df: DataFrame, key: str) -> dict[str, int]:
     return dict(df.groupBy(key).agg(F.sum(_row_bytes(df))).collect())
 
 
+def broadcastable(sizes: Mapping[str, int], budget: int = MAX_BROADCAST_BYTES) -> set[str]:
+    """The lookups of one plan that may be broadcast together: the smallest ones, as long as they fit."""
+    chosen, used = set(), 0
+    for name in sorted(sizes, key=lambda name: (sizes[name], name)):
+        used += sizes[name]
+        if used > budget:
+            break
+        chosen.add(name)
+    return chosen
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

@@ -9,9 +9,9 @@ from pyspark.sql import SparkSession
 
 from medallion.operators import audit
 from medallion.operators.marts import MARTS, MartSpec, build_mart, mart_spec
-from medallion.plans.lake import Lake, second_text
-from medallion.schemas import MART_RUNS, SILVER
-from medallion.sources.tables import read_table, replace_table
+from medallion.plans.lake import Lake, read_silver_rows, second_text
+from medallion.schemas import MART_RUNS
+from medallion.sources.tables import replace_table
 
 LOADER = "silver_to_gold"
 
@@ -40,7 +40,9 @@ def refresh_mart(spark: SparkSession, lake: Lake, mart: str, batch_id: str, now:
 
 
 def _refresh(spark: SparkSession, lake: Lake, spec: MartSpec, batch_id: str, built_at: str) -> dict[str, int]:
-    silver = read_table(spark, lake.silver, SILVER)
+    silver = read_silver_rows(spark, lake)
+    if silver is None:
+        raise FileNotFoundError(f"there is no silver table at {lake.silver}")
     rows_in, n_in = audit.counting(silver)
     rows_out, n_out = audit.counting(build_mart(rows_in, spec, batch_id, built_at))
     replace_table(rows_out, lake.gold(spec.name))

@@ -3,17 +3,30 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from medallion import schemas
 from medallion.operators.dims import CATEGORY_DIMS, dimension_table
 from medallion.operators.marts import MARTS
-from medallion.sources.tables import optional_table
+from medallion.sources.tables import optional_table, table_or_empty
 
-FACT_PARTITIONS = ("_batch_id", "event_date")
-SILVER_PARTITIONS = ("_silver_batch_id", "event_date")
+# Every attempt to write facts or silver rows has folders of its own, named by a new id. What counts are the folders
+# whose id stands in a ledger: an attempt that was cut short is never read, and no attempt replaces another's rows.
+ATTEMPT = "_attempt"
+FACT_PARTITIONS = (ATTEMPT, "event_date")
+SILVER_PARTITIONS = (ATTEMPT, "event_date")
+
+
+def with_attempt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType())])
+
+
+BRONZE_LEDGER = with_attempt(schemas.FILE_LEDGER)
+SILVER_LEDGER = with_attempt(schemas.table(string="etag batch_id loaded_at"))
 
 
 def second_text(moment: dt.datetime) -> str:
@@ -32,6 +45,14 @@ class Lake:
     def ledger(self) -> str:
         return self.path("state/file_ledger")
 
+    @property
+    def silver_ledger(self) -> str:
+        return self.path("state/silver_ledger")
+
+    @property
+    def rejects(self) -> str:
+        return self.path("bronze/rejects")
+
     @property
     def fact(self) -> str:
         return self.path("bronze/fact_telemetry")
@@ -59,14 +80,34 @@ class Lake:
         return self.path(f"audit/{name}")
 
 
+def committed(spark: SparkSession, path: str, schema: T.StructType, ledger: str) -> DataFrame | None:
+    """The rows of a table that finished attempts wrote; None when there is no table."""
+    rows = optional_table(spark, path, with_attempt(schema))
+    if rows is None:
+        return None
+    done = table_or_empty(spark, ledger, T.StructType([T.StructField(ATTEMPT, T.StringType())]))
+    # Attempts are folders: only those that match are opened.
+    return rows.join(done.select(ATTEMPT).distinct(), ATTEMPT, "left_semi").select(*schema.names)
+
+
+def read_facts(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    return committed(spark, lake.fact, schemas.FACT, lake.ledger)
+
+
+def read_silver_rows(spark: SparkSession, lake: Lake) -> DataFrame | None:
+    return committed(spark, lake.silver, schemas.SILVER, lake.silver_ledger)
+
+
+def new_attempt() -> str:
+    return uuid.uuid4().hex
+
+
 def register_lake(spark: SparkSession, lake: Lake) -> list[str]:
     """Every table that exists, as a temporary view for ``spark.sql``; returns the view names."""
     tables = {
-        "fact_telemetry": (lake.fact, schemas.FACT),
         "dim_category": (lake.dims, schemas.CATEGORY_DIM),
         "dim_device": (lake.devices, schemas.DEVICE_DIM),
         "country_reference": (lake.reference, schemas.COUNTRY_REFERENCE),
-        "silver_telemetry": (lake.silver, schemas.SILVER),
         "file_loads": (lake.audit("file_loads"), schemas.FILE_LOADS),
         "layer_runs": (lake.audit("layer_runs"), schemas.LAYER_RUNS),
         "mart_runs": (lake.audit("mart_runs"), schemas.MART_RUNS),
@@ -74,8 +115,9 @@ def register_lake(spark: SparkSession, lake: Lake) -> list[str]:
         **{f"gold_{name}": (lake.gold(name), spec.schema) for name, spec in MARTS.items()},
     }
     names = []
-    for name, (path, schema) in tables.items():
-        found = optional_table(spark, path, schema)
+    frames = {name: optional_table(spark, path, schema) for name, (path, schema) in tables.items()}
+    frames |= {"fact_telemetry": read_facts(spark, lake), "silver_telemetry": read_silver_rows(spark, lake)}
+    for name, found in frames.items():
         if found is None:
             continue
         found.createOrReplaceTempView(name)

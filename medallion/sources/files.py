@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +16,10 @@ from medallion.operators.indexing import dense_index
 from medallion.sources.tables import nullable
 
 FILE_SUFFIX = "*.parquet"
-# A batch carries at most this many files, so that its file list has a size bound; the next batch goes on.
-MAX_FILES_PER_BATCH = 20_000
+# Files that one job loads. More are loaded by further jobs of the same run, each with its own ledger entry.
+FILES_PER_JOB = 1_000
+_FOOTERS_AT_ONCE = 16
+_GLOB = re.compile(r"([\\*?\[\]{}])")
 
 
 def file_tag(path: str, size: str, modified: str) -> F.Column:
@@ -21,20 +27,22 @@ def file_tag(path: str, size: str, modified: str) -> F.Column:
     return F.sha2(F.concat_ws("|", F.col(path), F.col(size).cast("string"), F.col(modified).cast("string")), 256)
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = FILE_SUFFIX) -> DataFrame:
-    """(path, etag, size) of every matching file below ``root``. File contents are not read."""
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_size").alias("size"),
-            F.unix_micros("_metadata.file_modification_time").alias("_modified"),
-        )
+def file_columns(listing: DataFrame) -> DataFrame:
+    """(path, etag, size, place) of a binary-file listing, batch or stream. ``path`` is the form that
+    ``_metadata.file_path`` has in a scan, ``place`` the one that opens the file. Contents are not read."""
+    named = listing.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+        F.unix_micros("_metadata.file_modification_time").alias("_modified"),
+        F.col("path").alias("place"),
     )
-    return listing.select("path", file_tag("path", "size", "_modified").alias("etag"), "size")
+    return named.select("path", file_tag("path", "size", "_modified").alias("etag"), "size", "place")
+
+
+def list_files(spark: SparkSession, root: str, pattern: str = FILE_SUFFIX) -> DataFrame:
+    """Every matching file below ``root``; see ``file_columns``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return file_columns(files.option("pathGlobFilter", pattern).load(root))
 
 
 def new_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
@@ -43,11 +51,6 @@ def new_files(listing: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return dense_index(fresh.select(*listing.columns), ["path"], "part_index")
 
 
-def next_batch(fresh: DataFrame, max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
-    """The first files in path order. Nothing is lost: the ledger leaves the others for the next batch."""
-    return fresh.where(F.col("part_index") < max_files)
-
-
 def ledger_rows(results: DataFrame, loaded_at: str) -> DataFrame:
     """Ledger entries of the files that were loaded; failed ones stay pending."""
     loaded = results.where(F.col("load_status") == "SUCCESS")
@@ -55,22 +58,74 @@ def ledger_rows(results: DataFrame, loaded_at: str) -> DataFrame:
 
 
 def with_file_lineage(scan: DataFrame) -> DataFrame:
-    """A file scan, batch or stream, with the path and version tag of each row's file."""
-    return (
-        scan.select(
-            "*",
-            F.col("_metadata.file_path").alias("_source_file"),
-            F.col("_metadata.file_size").alias("_size"),
-            F.unix_micros("_metadata.file_modification_time").alias("_modified"),
-        )
-        .withColumn("_file_hash", file_tag("_source_file", "_size", "_modified"))
-        .drop("_size", "_modified")
+    """A file scan with the path and version tag of each row's file."""
+    tag = F.sha2(
+        F.concat_ws(
+            "|",
+            F.col("_metadata.file_path"),
+            F.col("_metadata.file_size").cast("string"),
+            F.unix_micros("_metadata.file_modification_time").cast("string"),
+        ),
+        256,
     )
+    return scan.withColumns({"_source_file": F.col("_metadata.file_path"), "_file_hash": tag})
+
 
+@dataclass(frozen=True)
+class RawScan:
+    """The readable files of one job as one frame, and what is wrong with the others."""
 
-def scan_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
-    """All files of a batch in one scan, with their lineage."""
-    return spread(with_file_lineage(spark.read.schema(nullable(schema)).parquet(*paths)))
+    rows: DataFrame | None
+    errors: dict[str, str]
+
+
+def scan_files(spark: SparkSession, places: Mapping[str, str], schema: T.StructType) -> RawScan:
+    """Files (path -> place) read with their own types and then cast to the contract, with their lineage.
+
+    The files of a job are grouped by the schema in their footers, one scan a group. ``_lost`` counts the values of
+    a row that could not be cast. Files that can't be opened or lack columns are reported by path.
+    """
+
+    def footer(item: tuple[str, str]) -> tuple[str, T.StructType | str]:
+        try:
+            found = spark.read.parquet(escaped(item[1])).schema
+        except Exception as error:
+            return item[0], f"{type(error).__name__}: {error}"
+        absent = [name for name in schema.names if name not in found.names]
+        return item[0], f"lacks columns {absent}" if absent else found
+
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    errors: dict[str, str] = {}
+    with ThreadPoolExecutor(_FOOTERS_AT_ONCE) as pool:
+        for path, found in pool.map(footer, places.items()):
+            if isinstance(found, str):
+                errors[path] = found
+            else:
+                groups.setdefault(found.json(), (found, []))[1].append(escaped(places[path]))
+    parts = []
+    for found, paths in groups.values():
+        scan = with_file_lineage(spark.read.schema(nullable(found)).parquet(*paths).select(*schema.names, "_metadata"))
+        parts.append(counted_casts(scan.drop("_metadata"), schema))
+    return RawScan(reduce(DataFrame.unionByName, parts) if parts else None, errors)
+
+
+def escaped(place: str) -> str:
+    """A place as a path pattern that matches itself alone."""
+    return _GLOB.sub(r"\\\1", place)
+
+
+def counted_casts(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The contract's columns in its types, and in ``_lost`` how many values of the row became NULL by that."""
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields if kinds[f.name] != f.dataType}
+    lost = F.lit(0)
+    for name, value in casts.items():
+        lost = lost + (F.col(name).isNotNull() & value.isNull()).cast("int")
+    return df.select(
+        *[casts.get(name, F.col(name)).alias(name) for name in schema.names],
+        *[name for name in df.columns if name not in schema.names],
+        lost.alias("_lost"),
+    )
 
 
 def spread(df: DataFrame) -> DataFrame:

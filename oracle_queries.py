@@ -421,6 +421,7 @@ def bronze_queries() -> dict[str, str]:
         ),
         "fact_stable_keys": with_("parts", fact_sql("parts")),
         "fact_lookup": with_("parts", fact_sql("parts")),
+        "fact_lookup_large": with_("parts", fact_sql("parts")),
         "fact_random_keys": with_(
             "raw",
             "SELECT "
@@ -563,7 +564,7 @@ FROM listing WHERE size >= 2000""",
   count(*) FILTER (WHERE load_status = 'FAILED') AS failed_items,
   CAST(0 AS BIGINT) AS skipped_items,
   CASE WHEN count(*) FILTER (WHERE load_status = 'FAILED') > 0
-    THEN CAST(count(*) FILTER (WHERE load_status = 'FAILED') AS VARCHAR) || ' file load(s) failed' END AS error
+    THEN count(*) FILTER (WHERE load_status = 'FAILED') || ' of ' || count(*) || ' files failed' END AS error
 FROM runs GROUP BY batch_id""",
         ),
         "last_success": with_(
@@ -579,8 +580,57 @@ FROM runs GROUP BY batch_id""",
     }
 
 
+def plan_queries() -> dict[str, str]:
+    columns = "fact_uid, source_id, event_date"
+    fact = fact_sql("parts")
+    lineage = ("_source_file", "_file_hash", "_loaded_at", "_batch_id", "_part_index")
+    return {
+        "ingest_in_parts": with_(
+            "parts",
+            f"SELECT CAST(source_id % 3 AS VARCHAR) AS part, event_date, count(*) AS n_facts, "
+            f"CAST(sum(source_id) AS BIGINT) AS sum_id FROM (SELECT {columns} FROM ({fact})) GROUP BY ALL",
+        ),
+        "file_outcomes": with_(
+            "raw",
+            """SELECT CAST(id % 3 AS VARCHAR) AS part, CASE WHEN bad = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS load_status,
+  source_rows, CASE WHEN bad = 0 THEN source_rows ELSE 0 END AS fact_rows, device_count,
+  CASE WHEN bad > 0 THEN bad || ' rows without device, id or time' END AS error, CASE WHEN bad = 0 THEN 0 ELSE 1 END AS rc
+FROM (
+  SELECT id % 3 AS id, count(*) AS source_rows, count(*) FILTER (WHERE id % 3 = 2 AND battery_state = 'Full') AS bad,
+    count(DISTINCT CASE WHEN NOT (id % 3 = 2 AND coalesce(battery_state, '') = 'Full') THEN device_id END) AS device_count
+  FROM raw GROUP BY id % 3
+)""",
+        ),
+        "raw_types": with_("parts", f"SELECT * EXCLUDE ({', '.join(lineage)}) FROM ({fact})"),
+        "auto_mode": with_(
+            "raw",
+            """SELECT * FROM (
+  SELECT 's1' AS batch_id, 'SUCCESS' AS load_status, count(*) FILTER (WHERE id % 3 <> 2) AS rows_silver_out,
+    0 AS n_duplicates, 'catchup' AS mode FROM raw
+  UNION ALL SELECT 's2', 'SUCCESS', count(*) FILTER (WHERE id % 3 = 2),
+    count(*) FILTER (WHERE id % 3 = 2 AND battery_state = 'Full'), 'catchup' FROM raw
+  UNION ALL SELECT 's3', 'SUCCESS', 0, count(*) FILTER (WHERE battery_state = 'Full'), 'increment' FROM raw
+  UNION ALL SELECT 's4', 'SUCCESS', 0, count(*) FILTER (WHERE battery_state = 'Full'), 'increment' FROM raw
+)""",
+        ),
+        "lake_gold": with_(
+            "silver",
+            "SELECT date_local, country_code, max(country_name) AS country_name, count(*) AS n_events, "
+            "count(DISTINCT device_id) AS n_devices, 'gold-1' AS _gold_batch_id FROM silver GROUP BY date_local, country_code",
+        ),
+        "mart_runs": with_(
+            "silver",
+            """SELECT mart, batch_id, 'SUCCESS' AS load_status, rows_silver_in,
+  CASE mart WHEN 'country_overview' THEN countries ELSE devices END AS rows_gold_out, 0 AS rc
+FROM (SELECT count(*) AS rows_silver_in, count(DISTINCT country_code) AS countries, count(DISTINCT device_id) AS devices FROM silver)
+CROSS JOIN (VALUES ('country_overview', 'g1'), ('country_overview', 'g2'), ('device_lifecycle', 'g1')) AS runs(mart, batch_id)""",
+        ),
+    }
+
+
 def all_queries() -> dict[str, str]:
     return {
+        **plan_queries(),
         **expression_queries(),
         **bronze_queries(),
         **silver_queries(),

@@ -11,9 +11,10 @@ from medallion.operators import audit
 from medallion.operators.marts import MARTS
 from medallion.plans.bronze import ingest_files, ingest_table, stream_files
 from medallion.plans.gold import refresh_mart, refresh_marts
-from medallion.plans.lake import Lake, register_lake
+from medallion.plans.lake import Lake, read_facts, read_silver_rows, register_lake
 from medallion.plans.silver import refresh_silver
 from medallion.sources.reference import read_reference, read_reference_csv, replace_reference
+from medallion.sources.files import counted_casts
 from medallion.sources.tables import optional_table, read_table, replace_table
 
 DAY = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
@@ -40,7 +41,7 @@ def test_files_to_gold_and_again(spark, lake, tmp_path):
     loaded = ingest_files(spark, str(folder), lake, "b1", DAY)
     assert (loaded.n_files, loaded.n_facts, loaded.n_new_devices) == (2, 3, 2)
     assert ingest_files(spark, str(folder), lake, "b2", DAY) is None
-    parts = read_table(spark, lake.fact, schemas.FACT).select("_part_index", "_file_hash").distinct().collect()
+    parts = read_facts(spark, lake).select("_part_index", "_file_hash").distinct().collect()
     assert sorted(r[0] for r in parts) == [0, 1]
 
     first = refresh_silver(spark, lake, "s1", DAY)
@@ -54,7 +55,7 @@ def test_files_to_gold_and_again(spark, lake, tmp_path):
     assert (more.n_files, more.n_facts, more.n_new_devices) == (1, 2, 1)
     third = refresh_silver(spark, lake, "s3", DAY + dt.timedelta(hours=6))
     assert (third.mode, third.n_selected, third.n_silver) == ("catchup", 2, 1)
-    silver = read_table(spark, lake.silver, schemas.SILVER)
+    silver = read_silver_rows(spark, lake)
     assert silver.count() == silver.select("fact_uid").distinct().count() == 4
     names = {r["source_id"]: r["country_name"] for r in silver.collect()}
     assert names == {1: "Germany", 2: "Côte d'Ivoire", 3: "Germany", 4: "XX"}
@@ -84,40 +85,115 @@ def test_files_to_gold_and_again(spark, lake, tmp_path):
     assert [r["rows_silver_out"] for r in layer.orderBy("batch_id").collect()] == [3, 0, 1]
 
 
-def test_a_failed_load_stays_pending(spark, lake, tmp_path):
+def loads_of(spark, lake):
+    return {r["file_key"]: r for r in read_table(spark, lake.audit("file_loads"), schemas.FILE_LOADS).collect()}
+
+
+def test_one_bad_file_leaves_the_others_loaded(spark, lake, tmp_path):
     folder = tmp_path / "raw"
     add_file(spark, folder, [(1, 10, "de", 0, 50.0), (2, None, "de", 1, 10.0)])
-    with pytest.raises(Exception, match="NULL device_uid"):
-        ingest_files(spark, str(folder), lake, "b1", DAY)
-    assert optional_table(spark, lake.ledger, schemas.FILE_LEDGER) is None
-    facts = optional_table(spark, lake.fact, schemas.FACT)
-    assert facts is None or facts.count() == 0
-    loads = read_table(spark, lake.audit("file_loads"), schemas.FILE_LOADS).collect()
-    assert [(r["load_status"], r["rc"]) for r in loads] == [("FAILED", 1)]
+    add_file(spark, folder, [(3, 11, "de", 2, 50.0), (4, 12, "de", 3, 50.0), (5, 12, "de", 4, 50.0)])
+    raw_rows(spark, [(9, 9, "de", 5, 1.0)]).drop("battery_state", "battery_level").coalesce(1).write.mode("append").parquet(str(folder))
+    (folder / "broken.parquet").write_text("no parquet")
+    done = ingest_files(spark, str(folder), lake, "b1", DAY)
+    assert (done.n_files, done.n_facts, len(done.failed)) == (1, 3, 3)
+    assert sorted(r["source_id"] for r in read_facts(spark, lake).collect()) == [3, 4, 5]
+    found = sorted((r["load_status"], r["rc"], r["source_rows"], r["device_count"]) for r in loads_of(spark, lake).values() if r["source_rows"])
+    assert found == [("FAILED", 1, 2, 1), ("SUCCESS", 0, 3, 2)]
+    errors = " | ".join(r["error"] for r in loads_of(spark, lake).values() if r["error"])
+    assert "1 rows without device" in errors and "lacks columns ['battery_state', 'battery_level']" in errors and "broken" in errors
+    assert [r["id"] for r in read_table(spark, lake.rejects).collect()] == [2]
     run = read_table(spark, lake.audit("dag_runs"), schemas.DAG_RUNS).first()
-    assert (run["status"], run["error"]) == ("FAILED", "1 file load(s) failed")
+    assert (run["status"], run["error"]) == ("FAILED", "3 of 4 files failed")
+    # The bad files are offered again, the good one isn't.
+    again = ingest_files(spark, str(folder), lake, "b2", DAY)
+    assert (again.n_files, len(again.failed)) == (0, 3) and read_facts(spark, lake).count() == 3
 
 
-def test_batches_of_bounded_size_lose_nothing(spark, lake, tmp_path):
+def test_jobs_of_bounded_size_lose_nothing(spark, lake, tmp_path):
     folder = tmp_path / "raw"
     for i in range(3):
         add_file(spark, folder, [(i, 10 + i, "de", i, 1.0)])
-    sizes = []
-    while (done := ingest_files(spark, str(folder), lake, f"b{len(sizes)}", DAY, random_ids=True, max_files=2)):
-        sizes.append(done.n_files)
-    assert sizes == [2, 1]
-    fact = read_table(spark, lake.fact, schemas.FACT)
+    done = ingest_files(spark, str(folder), lake, "b", DAY, random_ids=True, files_per_job=2)
+    assert (done.n_files, done.n_facts) == (3, 3) and ingest_files(spark, str(folder), lake, "b", DAY) is None
+    fact = read_facts(spark, lake)
     devices = read_table(spark, lake.devices, schemas.DEVICE_DIM)
     assert fact.count() == 3 and fact.join(devices, "device_uid").count() == 3
-    assert refresh_silver(spark, lake, "s", DAY).n_silver == 3
+    # The same batch id again adds files, and their devices get the ids that the table holds.
+    add_file(spark, folder, [(7, 10, "de", 7, 1.0)])
+    assert ingest_files(spark, str(folder), lake, "b", DAY).n_facts == 1
+    assert read_facts(spark, lake).count() == 4
+    first = refresh_silver(spark, lake, "s", DAY, files_per_job=3)
+    assert (first.mode, first.n_silver) == ("catchup", 4)
+    assert {r["device_id"] for r in read_silver_rows(spark, lake).collect()} == {10, 11, 12}
+
+
+def test_a_file_of_duplicates_is_taken_in_once(spark, lake, tmp_path):
+    folder = tmp_path / "raw"
+    add_file(spark, folder, [(1, 10, "de", 0, 50.0)])
+    ingest_files(spark, str(folder), lake, "b1", DAY)
+    refresh_silver(spark, lake, "s1", DAY)
+    add_file(spark, folder, [(1, 10, "de", 0, 50.0)])
+    ingest_files(spark, str(folder), lake, "b2", DAY)
+    runs = [refresh_silver(spark, lake, f"s{k}", DAY) for k in (2, 3, 4)]
+    assert [(r.mode, r.n_silver) for r in runs] == [("catchup", 0), ("increment", 0), ("increment", 0)]
+    assert read_silver_rows(spark, lake).count() == 1
+
+
+def test_attempts_that_were_cut_short_do_not_count(spark, lake, tmp_path, monkeypatch):
+    from medallion.plans import bronze, silver
+
+    folder = tmp_path / "raw"
+    add_file(spark, folder, [(1, 10, "de", 0, 50.0)])
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bronze, "commit", crash)
+        with pytest.raises(RuntimeError):
+            ingest_files(spark, str(folder), lake, "b", DAY)
+    assert read_facts(spark, lake).count() == 0
+    ingest_files(spark, str(folder), lake, "b", DAY)
+    assert read_facts(spark, lake).count() == 1
+    with monkeypatch.context() as patch:
+        patch.setattr(silver.audit, "counted", crash)
+        with pytest.raises(RuntimeError):
+            refresh_silver(spark, lake, "s", DAY)
+    assert refresh_silver(spark, lake, "s", DAY).mode == "increment"
+    assert read_silver_rows(spark, lake).count() == 1
+
+
+def test_odd_names_and_types(spark, lake, tmp_path):
+    folder = tmp_path / "raw"
+    add_file(spark, folder / "x", [(1, 10, "de", 0, 50.0)])
+    raw = raw_rows(spark, [(2, 11, "5", 1, 10.0)])
+    raw.withColumns({"timestamp": F.col("timestamp").cast("string"), "charger": F.lit(3), "memory_active": F.lit(2.5)}).coalesce(1).write.parquet(str(folder / "y"))
+    raw_rows(spark, [(3, 12, "de", 2, 10.0)]).withColumn("battery_level", F.lit("full")).coalesce(1).write.parquet(str(folder / "z"))
+    for name, new in (("x", "a b"), ("y", "part[1]"), ("z", "x{1}*%20")):
+        file = next((folder / name).glob("part-*.parquet"))
+        file.rename(folder / f"{new}.parquet")
+    done = ingest_files(spark, str(folder), lake, "b", DAY)
+    assert (done.n_files, done.n_facts, done.failed) == (3, 3, ())
+    rows = {r["source_id"]: r for r in read_facts(spark, lake).collect()}
+    assert rows[2]["memory_active"] == 2 and rows[2]["event_ts_str"] and rows[3]["battery_level"] is None
+    assert sorted(filter(None, (r["message"] for r in loads_of(spark, lake).values()))) == ["1 values could not be cast"]
+    assert ingest_files(spark, str(folder), lake, "b", DAY) is None
+
+
+def test_casts_are_counted(spark):
+    df = spark.createDataFrame([("1", 2.0, "x"), ("no", None, None)], "id string, device_id double, timestamp string")
+    schema = schemas.table(long="id device_id", timestamp="timestamp")
+    assert [tuple(r) for r in counted_casts(df, schema).collect()] == [(1, 2, None, 1), (None, None, None, 1)]
 
 
 def test_table_source_run_twice_is_one_batch(spark, lake):
     raw = raw_rows(spark, [(1, 10, "de", 0, 50.0), (2, 11, "ci", 1, 10.0)])
     for _ in range(2):
         ingest_table(spark, raw, "staging", lake, "b1", "2024-02-01 00:00:00")
-    assert read_table(spark, lake.fact, schemas.FACT).count() == 2
+    assert read_facts(spark, lake).count() == 2
     assert read_table(spark, lake.devices, schemas.DEVICE_DIM).count() == 2
+    assert refresh_silver(spark, lake, "s", DAY).n_silver == 2
 
 
 def test_replace_keeps_the_old_table_when_the_build_fails(spark, tmp_path):
@@ -158,7 +234,7 @@ def test_a_failed_refresh_is_recorded(spark, lake):
         refresh_mart(spark, lake, "country_overview", "g1", DAY)
     row = read_table(spark, lake.audit("mart_runs"), schemas.MART_RUNS).first()
     assert (row["mart"], row["load_status"], row["rc"]) == ("country_overview", "FAILED", 1)
-    assert "PATH_NOT_FOUND" in row["error"] and row["rows_gold_out"] is None
+    assert "no silver table" in row["error"] and row["rows_gold_out"] is None
 
 
 def test_streamed_files_equal_loaded_files(spark, lake, tmp_path):
@@ -169,8 +245,16 @@ def test_streamed_files_equal_loaded_files(spark, lake, tmp_path):
         stream_files(spark, str(folder), other, str(tmp_path / "cp")).awaitTermination()
     ingest_files(spark, str(folder), lake, "b", DAY)
     varying = ["_loaded_at", "_batch_id", "_part_index"]
-    streamed = read_table(spark, other.fact, schemas.FACT)
-    loaded = read_table(spark, lake.fact, schemas.FACT)
+    streamed = read_facts(spark, other)
+    loaded = read_facts(spark, lake)
     assert sorted(streamed.drop(*varying).collect()) == sorted(loaded.drop(*varying).collect())
-    assert {r["_batch_id"] for r in streamed.collect()} == {"stream-000000000000", "stream-000000000001"}
+    assert len({r["_batch_id"] for r in streamed.collect()}) == 2
     assert read_table(spark, other.devices, schemas.DEVICE_DIM).count() == 2
+    assert len(loads_of(spark, other)) == 2 and ingest_files(spark, str(folder), other, "b", DAY) is None
+
+
+def test_two_streams_fill_one_lake(spark, lake, tmp_path):
+    for k in range(2):
+        add_file(spark, tmp_path / f"raw{k}", [(k, 10 + k, "de", k, 1.0)])
+        stream_files(spark, str(tmp_path / f"raw{k}"), lake, str(tmp_path / f"cp{k}")).awaitTermination()
+    assert read_facts(spark, lake).count() == 2
