@@ -17,7 +17,6 @@ from medallion.operators.dims import (
     device_key,
     device_mapping,
     device_stable_uid,
-    only_stable_ids,
 )
 from medallion.operators.joins import (
     MAX_BROADCAST_BYTES,
@@ -37,7 +36,8 @@ LINEAGE = ("_source_file", "_file_hash", "_loaded_at", "_batch_id", "_part_index
 @dataclass(frozen=True)
 class Lookups:
     """Natural value -> uid frames, one per dimension, with their measured sizes. A size chooses the join, never
-    the id. Without ``devices`` the device table holds computed ids only, and they are computed in place."""
+    the id. Give no ``devices`` only where the device table holds every device with its computed id: the ids are then
+    computed in place."""
 
     categories: Mapping[str, DataFrame]
     sizes: Mapping[str, int]
@@ -59,7 +59,7 @@ def load_lookups(
         for spec in specs
     }
     sizes = {**dict.fromkeys(categories, 0), **measured_bytes_by(mapping, "dim_name")}
-    if devices is None or only_stable_ids(devices):
+    if devices is None:
         return Lookups(categories, sizes)
     device_map = device_mapping(devices)
     return Lookups(categories, {**sizes, "device": measured_bytes(device_map)}, device_map)

@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.operators import audit
-from medallion.operators.dims import category_values, device_values, new_category_rows, new_device_rows
+from medallion.operators.dims import (
+    category_values,
+    device_values,
+    new_category_rows,
+    new_device_rows,
+    only_stable_ids,
+)
 from medallion.operators.facts import build_fact, lacks_keys, load_lookups
 from medallion.plans.lake import ATTEMPT, BRONZE_LEDGER, FACT_PARTITIONS, Lake, new_attempt, second_text
 from medallion.schemas import CATEGORY_DIM, DEVICE_DIM, RAW_TELEMETRY
@@ -77,7 +83,8 @@ def load_dimensions(
 def write_facts(spark: SparkSession, raw: DataFrame, lake: Lake, attempt: str) -> int:
     """Write the facts of one attempt; the row count is observed during the write. Whichever ids the dimension
     tables hold, those are the facts' ids."""
-    lookups = load_lookups(read_table(spark, lake.dims, CATEGORY_DIM), read_table(spark, lake.devices, DEVICE_DIM))
+    devices = read_table(spark, lake.devices, DEVICE_DIM)
+    lookups = load_lookups(read_table(spark, lake.dims, CATEGORY_DIM), None if only_stable_ids(devices) else devices)
     fact, seen = audit.counting(build_fact(raw, lookups))
     append(balanced(fact.withColumn(ATTEMPT, F.lit(attempt)), *FACT_PARTITIONS), lake.fact, FACT_PARTITIONS)
     return audit.counted(seen, lambda: 0)

@@ -416,7 +416,7 @@ def bronze_queries() -> dict[str, str]:
         "dim_device_mapping": with_("devices", f"SELECT device_id, {DEVICE_UID} AS device_uid FROM devices"),
         "dim_random_keys": with_(
             "first_seen devices",
-            "SELECT dim_name, raw_value, 1 AS n_ids, 1 AS n_values, 36 AS width FROM first_seen UNION ALL "
+            "SELECT dim_name, raw_value, CAST(1 AS BIGINT) AS n_ids, CAST(1 AS BIGINT) AS n_values, CAST(36 AS BIGINT) AS width FROM first_seen UNION ALL "
             "SELECT 'device', CAST(device_id AS VARCHAR), 1, 1, 36 FROM devices",
         ),
         "fact_stable_keys": with_("parts", fact_sql("parts")),
@@ -594,7 +594,7 @@ def plan_queries() -> dict[str, str]:
             "raw",
             """SELECT CAST(id % 3 AS VARCHAR) AS part, CASE WHEN bad = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS load_status,
   source_rows, CASE WHEN bad = 0 THEN source_rows ELSE 0 END AS fact_rows, device_count,
-  CASE WHEN bad > 0 THEN bad || ' rows without device, id or time' END AS error, CASE WHEN bad = 0 THEN 0 ELSE 1 END AS rc
+  CASE WHEN bad > 0 THEN bad || ' rows without device, id or time' END AS error, CAST(CASE WHEN bad = 0 THEN 0 ELSE 1 END AS BIGINT) AS rc
 FROM (
   SELECT id % 3 AS id, count(*) AS source_rows, count(*) FILTER (WHERE id % 3 = 2 AND battery_state = 'Full') AS bad,
     count(DISTINCT CASE WHEN NOT (id % 3 = 2 AND coalesce(battery_state, '') = 'Full') THEN device_id END) AS device_count
@@ -606,7 +606,7 @@ FROM (
             "raw",
             """SELECT * FROM (
   SELECT 's1' AS batch_id, 'SUCCESS' AS load_status, count(*) FILTER (WHERE id % 3 <> 2) AS rows_silver_out,
-    0 AS n_duplicates, 'catchup' AS mode FROM raw
+    CAST(0 AS BIGINT) AS n_duplicates, 'catchup' AS mode FROM raw
   UNION ALL SELECT 's2', 'SUCCESS', count(*) FILTER (WHERE id % 3 = 2),
     count(*) FILTER (WHERE id % 3 = 2 AND battery_state = 'Full'), 'catchup' FROM raw
   UNION ALL SELECT 's3', 'SUCCESS', 0, count(*) FILTER (WHERE battery_state = 'Full'), 'increment' FROM raw
@@ -621,7 +621,7 @@ FROM (
         "mart_runs": with_(
             "silver",
             """SELECT mart, batch_id, 'SUCCESS' AS load_status, rows_silver_in,
-  CASE mart WHEN 'country_overview' THEN countries ELSE devices END AS rows_gold_out, 0 AS rc
+  CASE mart WHEN 'country_overview' THEN countries ELSE devices END AS rows_gold_out, CAST(0 AS BIGINT) AS rc
 FROM (SELECT count(*) AS rows_silver_in, count(DISTINCT country_code) AS countries, count(DISTINCT device_id) AS devices FROM silver)
 CROSS JOIN (VALUES ('country_overview', 'g1'), ('country_overview', 'g2'), ('device_lifecycle', 'g1')) AS runs(mart, batch_id)""",
         ),
