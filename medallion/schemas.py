@@ -1,9 +1,10 @@
-"""Fixed table contracts. ``!`` after a name marks a required column."""
+"""Fixed table contracts: name, type, and whether a NULL is refused."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
+REQUIRED = True
 _TYPES = {
     "string": T.StringType(),
     "long": T.LongType(),
@@ -13,16 +14,18 @@ _TYPES = {
 }
 
 
-def table(**columns_by_type: str) -> T.StructType:
-    """Schema from one keyword per run of columns, e.g. ``table(string="a! b", long__2="n")``.
+def contract(*fields: tuple) -> T.StructType:
+    """A schema from (name, type) and (name, type, REQUIRED) entries."""
+    return T.StructType([T.StructField(name, _TYPES[kind], not any(required)) for name, kind, *required in fields])
+
 
-    A keyword is a type name, with ``__<anything>`` appended when the same type comes again.
-    """
+def table(**columns_by_type: str) -> T.StructType:
+    """A small schema from one keyword for each type, e.g. ``table(string="a! b", long="n")``; ``!`` marks a
+    required column."""
     fields = []
-    for key, names in columns_by_type.items():
-        kind = _TYPES[key.split("__")[0]]
+    for kind, names in columns_by_type.items():
         for name in names.split():
-            fields.append(T.StructField(name.rstrip("!"), kind, not name.endswith("!")))
+            fields.append(T.StructField(name.rstrip("!"), _TYPES[kind.split("__")[0]], not name.endswith("!")))
     return T.StructType(fields)
 
 
@@ -30,7 +33,7 @@ def join_schemas(*parts: T.StructType) -> T.StructType:
     return T.StructType([field for part in parts for field in part.fields])
 
 
-# The telemetry columns.
+# Each dimension and the raw column it is taken from.
 CATEGORY_SOURCES = {
     "country": "country_code",
     "timezone": "timezone",
@@ -44,14 +47,7 @@ CATEGORY_SOURCES = {
     "mobile_data_activity": "mobile_data_activity",
     "wifi_status": "wifi_status",
 }
-MEASURES = table(
-    double="battery_level",
-    long="memory_active memory_inactive memory_free memory_user screen_brightness",
-    double__2=(
-        "voltage temperature usage up_time sleep_time wifi_signal_strength wifi_link_speed "
-        "free total free_system total_system"
-    ),
-)
+# The flags of a reading.
 FLAG_COLUMNS = (
     "roaming_enabled",
     "bluetooth_enabled",
@@ -60,170 +56,474 @@ FLAG_COLUMNS = (
     "nfc_enabled",
     "developer_mode",
 )
-FLAGS = table(boolean="screen_on " + " ".join(FLAG_COLUMNS))
-
-RAW_TELEMETRY = join_schemas(
-    table(long="id device_id", timestamp="timestamp", string=" ".join(CATEGORY_SOURCES.values())),
-    MEASURES,
-    table(long="screen_on", double=" ".join(FLAG_COLUMNS)),
-)
-
-FACT = join_schemas(
-    table(
-        string="fact_uid!",
-        long="source_id!",
-        string__2=(
-            "device_uid! event_ts_str! event_date! country_uid! timezone_uid! battery_state_uid! network_status_uid! "
-            "charger_uid health_uid network_type_uid mobile_network_type_uid mobile_data_status_uid "
-            "mobile_data_activity_uid wifi_status_uid"
-        ),
-    ),
-    MEASURES,
-    FLAGS,
-    table(string="_source_file! _file_hash! _loaded_at! _batch_id!", long="_part_index!"),
-)
-
-# All categorical dimensions share one table, partitioned by ``dim_name``.
-CATEGORY_DIM = table(string="dim_name! uid! raw_value! first_seen! _loaded_at!")
-DEVICE_DIM = table(string="device_uid!", long="device_id!", string__2="first_seen! _loaded_at!")
-
-COUNTRY_REFERENCE = table(string="country_code country_name alpha3_code numeric_code official_name region sub_region")
-COUNTRY_COLUMNS = table(string="country_name country_alpha3_code country_region country_sub_region")
-
-SILVER = join_schemas(
-    table(
-        string="fact_uid!",
-        long="source_id! device_id",
-        string__2="device_uid! event_ts_str! event_date! country_code",
-    ),
-    COUNTRY_COLUMNS,
-    table(
-        string=(
-            "timezone_name battery_state network_status charger health network_type mobile_network_type "
-            "mobile_data_status mobile_data_activity wifi_status"
-        )
-    ),
-    MEASURES,
-    FLAGS,
-    table(
-        string="date_local",
-        long="hour_of_day day_of_week",
-        boolean="is_night is_charging is_wifi battery_low",
-        double="memory_used_pct storage_used_pct",
-        string__2="_source_file _file_hash _bronze_loaded_at _silver_batch_id! _silver_built_at!",
-    ),
-)
-
-GOLD_STAMP = table(string="_gold_batch_id! _gold_built_at!")
-DAILY_COUNTRY_STATS = join_schemas(
-    table(
-        string="date_local! country_code country_name",
-        long="n_events! n_devices!",
-        double="avg_battery_level avg_temperature avg_voltage avg_memory_used_pct avg_storage_used_pct",
-        long__2="n_charging_events n_low_battery_events n_wifi_events n_night_events",
-        double__2="charging_rate low_battery_rate wifi_rate",
-    ),
-    GOLD_STAMP,
-)
-COUNTRY_OVERVIEW = join_schemas(
-    table(
-        string="country_code!",
-        long="n_devices! n_events! n_active_days",
-        string__2="first_date last_date",
-        double="avg_battery_level avg_temperature avg_memory_used_pct avg_storage_used_pct",
-        long__2="n_charging_events n_low_battery_events n_wifi_events",
-        double__2="charging_rate low_battery_rate wifi_rate events_per_device",
-    ),
-    GOLD_STAMP,
-)
-DEVICE_LIFECYCLE = join_schemas(
-    table(
-        long="device_id!",
-        string="country_code first_seen! last_seen!",
-        double="lifetime_days!",
-        long__2="n_events! n_active_days!",
-        double__2="avg_battery_level min_battery_level avg_temperature avg_memory_used_pct avg_storage_used_pct",
-        long__3="n_charging_events n_wifi_events n_low_battery_events",
-        double__3="events_per_active_day",
-    ),
-    GOLD_STAMP,
-)
-HOURLY_BATTERY_HEALTH = join_schemas(
-    table(
-        string="date_local!",
-        long="hour_of_day!",
-        string__2="country_code",
-        long__2="n_events! n_devices!",
-        double="avg_battery_level avg_temperature max_temperature avg_voltage",
-        long__3="n_charging_events n_low_battery_events n_night_events",
-    ),
-    GOLD_STAMP,
-)
-
-# Streaming tables.
-ENVELOPE = table(
-    string="source stream_id event_type event_ts entity_id payload_json ingest_batch_id ingest_ts",
-)
-RAW_EVENTS = table(
-    string="source stream_id event_type event_ts entity_id payload_json kafka_topic",
-    long="kafka_partition kafka_offset",
-    string__2="ingested_at batch_id",
-    long__2="tablet_index",
-)
-BRONZE_STREAM = table(
-    string="stream_id",
-    long="row_index tablet_index",
-    string__2="source event_type event_ts entity_id payload_json",
-    long__2="queue_timestamp",
-    string__3="processed_at batch_id",
-)
-STREAM_TAIL = table(
-    string="source stream_id event_type event_ts entity_id",
-    long="queue_timestamp tablet_index row_index",
-    string__2="processed_at batch_id silver_processed_at",
-)
-STREAMING_POSTS = join_schemas(table(long="post_id user_id", string="title body"), STREAM_TAIL)
-STREAMING_COMMENTS = join_schemas(table(long="comment_id post_id", string="name email body"), STREAM_TAIL)
-STREAMING_TODOS = join_schemas(table(long="todo_id user_id", string="title", boolean="completed"), STREAM_TAIL)
-
-# Ledger and audit tables.
-FILE_LEDGER = table(
-    string="path etag",
-    long="size part_index",
-    string__2="batch_id loaded_at",
-)
-FILE_LOADS = table(
-    string="event_at dag_id run_id batch_id source_system bucket prefix file_key s3a_path etag",
-    long="file_size part_index",
-    string__2="loader target_layer target_tables load_status started_at finished_at",
-    double="duration_sec",
-    long__2="rows_inserted source_rows fact_rows device_count rc",
-    string__3="error remote_log message",
-)
-_RUN_HEAD = "event_at dag_id run_id batch_id loader"
-_RUN_TAIL = "error remote_log message"
-LAYER_RUNS = table(
-    string=f"{_RUN_HEAD} source_layer target_layer target_table load_status started_at finished_at",
-    double="duration_sec",
-    long="rows_bronze_in rows_after_dedup rows_silver_out rc",
-    string__2=_RUN_TAIL,
-)
-MART_RUNS = table(
-    string=f"{_RUN_HEAD} mart source_layer target_layer target_table load_status started_at finished_at",
-    double="duration_sec",
-    long="rows_silver_in rows_gold_out rc",
-    string__2=_RUN_TAIL,
-)
-DAG_RUNS = table(
-    string="event_at dag_id run_id batch_id source_system loader started_at finished_at",
-    double="duration_sec",
-    string__2="status",
-    long="total_items success_items failed_items skipped_items",
-    string__3="error message",
-)
-STREAMING_SILVER_RUNS = table(
-    string="run_id dag_id task_id target_table sql_file status start_ts end_ts",
-    double="duration_sec",
-    long="rc",
-    string__2="error_message message",
+
+
+# The telemetry tables.
+RAW_TELEMETRY = contract(
+    ("id", "long"),
+    ("device_id", "long"),
+    ("timestamp", "timestamp"),
+    ("country_code", "string"),
+    ("timezone", "string"),
+    ("battery_state", "string"),
+    ("network_status", "string"),
+    ("charger", "string"),
+    ("health", "string"),
+    ("network_type", "string"),
+    ("mobile_network_type", "string"),
+    ("mobile_data_status", "string"),
+    ("mobile_data_activity", "string"),
+    ("wifi_status", "string"),
+    ("battery_level", "double"),
+    ("memory_active", "long"),
+    ("memory_inactive", "long"),
+    ("memory_free", "long"),
+    ("memory_user", "long"),
+    ("screen_brightness", "long"),
+    ("voltage", "double"),
+    ("temperature", "double"),
+    ("usage", "double"),
+    ("up_time", "double"),
+    ("sleep_time", "double"),
+    ("wifi_signal_strength", "double"),
+    ("wifi_link_speed", "double"),
+    ("free", "double"),
+    ("total", "double"),
+    ("free_system", "double"),
+    ("total_system", "double"),
+    ("screen_on", "long"),
+    ("roaming_enabled", "double"),
+    ("bluetooth_enabled", "double"),
+    ("location_enabled", "double"),
+    ("power_saver_enabled", "double"),
+    ("nfc_enabled", "double"),
+    ("developer_mode", "double"),
+)
+FACT = contract(
+    ("fact_uid", "string", REQUIRED),
+    ("source_id", "long", REQUIRED),
+    ("device_uid", "string", REQUIRED),
+    ("event_ts_str", "string", REQUIRED),
+    ("event_date", "string", REQUIRED),
+    ("country_uid", "string", REQUIRED),
+    ("timezone_uid", "string", REQUIRED),
+    ("battery_state_uid", "string", REQUIRED),
+    ("network_status_uid", "string", REQUIRED),
+    ("charger_uid", "string"),
+    ("health_uid", "string"),
+    ("network_type_uid", "string"),
+    ("mobile_network_type_uid", "string"),
+    ("mobile_data_status_uid", "string"),
+    ("mobile_data_activity_uid", "string"),
+    ("wifi_status_uid", "string"),
+    ("battery_level", "double"),
+    ("memory_active", "long"),
+    ("memory_inactive", "long"),
+    ("memory_free", "long"),
+    ("memory_user", "long"),
+    ("screen_brightness", "long"),
+    ("voltage", "double"),
+    ("temperature", "double"),
+    ("usage", "double"),
+    ("up_time", "double"),
+    ("sleep_time", "double"),
+    ("wifi_signal_strength", "double"),
+    ("wifi_link_speed", "double"),
+    ("free", "double"),
+    ("total", "double"),
+    ("free_system", "double"),
+    ("total_system", "double"),
+    ("screen_on", "boolean"),
+    ("roaming_enabled", "boolean"),
+    ("bluetooth_enabled", "boolean"),
+    ("location_enabled", "boolean"),
+    ("power_saver_enabled", "boolean"),
+    ("nfc_enabled", "boolean"),
+    ("developer_mode", "boolean"),
+    ("_source_file", "string", REQUIRED),
+    ("_file_hash", "string", REQUIRED),
+    ("_loaded_at", "string", REQUIRED),
+    ("_batch_id", "string", REQUIRED),
+    ("_part_index", "long", REQUIRED),
+)
+
+# All categorical dimensions share one table, partitioned by ``dim_name``.
+CATEGORY_DIM = contract(
+    ("dim_name", "string", REQUIRED),
+    ("uid", "string", REQUIRED),
+    ("raw_value", "string", REQUIRED),
+    ("first_seen", "string", REQUIRED),
+    ("_loaded_at", "string", REQUIRED),
+)
+DEVICE_DIM = contract(
+    ("device_uid", "string", REQUIRED),
+    ("device_id", "long", REQUIRED),
+    ("first_seen", "string", REQUIRED),
+    ("_loaded_at", "string", REQUIRED),
+)
+
+# The country reference and what silver takes from it.
+COUNTRY_REFERENCE = contract(
+    ("country_code", "string"),
+    ("country_name", "string"),
+    ("alpha3_code", "string"),
+    ("numeric_code", "string"),
+    ("official_name", "string"),
+    ("region", "string"),
+    ("sub_region", "string"),
+)
+COUNTRY_COLUMNS = contract(
+    ("country_name", "string"),
+    ("country_alpha3_code", "string"),
+    ("country_region", "string"),
+    ("country_sub_region", "string"),
+)
+
+# Silver and the marts.
+SILVER = contract(
+    ("fact_uid", "string", REQUIRED),
+    ("source_id", "long", REQUIRED),
+    ("device_id", "long"),
+    ("device_uid", "string", REQUIRED),
+    ("event_ts_str", "string", REQUIRED),
+    ("event_date", "string", REQUIRED),
+    ("country_code", "string"),
+    ("country_name", "string"),
+    ("country_alpha3_code", "string"),
+    ("country_region", "string"),
+    ("country_sub_region", "string"),
+    ("timezone_name", "string"),
+    ("battery_state", "string"),
+    ("network_status", "string"),
+    ("charger", "string"),
+    ("health", "string"),
+    ("network_type", "string"),
+    ("mobile_network_type", "string"),
+    ("mobile_data_status", "string"),
+    ("mobile_data_activity", "string"),
+    ("wifi_status", "string"),
+    ("battery_level", "double"),
+    ("memory_active", "long"),
+    ("memory_inactive", "long"),
+    ("memory_free", "long"),
+    ("memory_user", "long"),
+    ("screen_brightness", "long"),
+    ("voltage", "double"),
+    ("temperature", "double"),
+    ("usage", "double"),
+    ("up_time", "double"),
+    ("sleep_time", "double"),
+    ("wifi_signal_strength", "double"),
+    ("wifi_link_speed", "double"),
+    ("free", "double"),
+    ("total", "double"),
+    ("free_system", "double"),
+    ("total_system", "double"),
+    ("screen_on", "boolean"),
+    ("roaming_enabled", "boolean"),
+    ("bluetooth_enabled", "boolean"),
+    ("location_enabled", "boolean"),
+    ("power_saver_enabled", "boolean"),
+    ("nfc_enabled", "boolean"),
+    ("developer_mode", "boolean"),
+    ("date_local", "string"),
+    ("hour_of_day", "long"),
+    ("day_of_week", "long"),
+    ("is_night", "boolean"),
+    ("is_charging", "boolean"),
+    ("is_wifi", "boolean"),
+    ("battery_low", "boolean"),
+    ("memory_used_pct", "double"),
+    ("storage_used_pct", "double"),
+    ("_source_file", "string"),
+    ("_file_hash", "string"),
+    ("_bronze_loaded_at", "string"),
+    ("_silver_batch_id", "string", REQUIRED),
+    ("_silver_built_at", "string", REQUIRED),
+)
+GOLD_STAMP = contract(
+    ("_gold_batch_id", "string", REQUIRED),
+    ("_gold_built_at", "string", REQUIRED),
+)
+DAILY_COUNTRY_STATS = contract(
+    ("date_local", "string", REQUIRED),
+    ("country_code", "string"),
+    ("country_name", "string"),
+    ("n_events", "long", REQUIRED),
+    ("n_devices", "long", REQUIRED),
+    ("avg_battery_level", "double"),
+    ("avg_temperature", "double"),
+    ("avg_voltage", "double"),
+    ("avg_memory_used_pct", "double"),
+    ("avg_storage_used_pct", "double"),
+    ("n_charging_events", "long"),
+    ("n_low_battery_events", "long"),
+    ("n_wifi_events", "long"),
+    ("n_night_events", "long"),
+    ("charging_rate", "double"),
+    ("low_battery_rate", "double"),
+    ("wifi_rate", "double"),
+    ("_gold_batch_id", "string", REQUIRED),
+    ("_gold_built_at", "string", REQUIRED),
+)
+COUNTRY_OVERVIEW = contract(
+    ("country_code", "string", REQUIRED),
+    ("n_devices", "long", REQUIRED),
+    ("n_events", "long", REQUIRED),
+    ("n_active_days", "long"),
+    ("first_date", "string"),
+    ("last_date", "string"),
+    ("avg_battery_level", "double"),
+    ("avg_temperature", "double"),
+    ("avg_memory_used_pct", "double"),
+    ("avg_storage_used_pct", "double"),
+    ("n_charging_events", "long"),
+    ("n_low_battery_events", "long"),
+    ("n_wifi_events", "long"),
+    ("charging_rate", "double"),
+    ("low_battery_rate", "double"),
+    ("wifi_rate", "double"),
+    ("events_per_device", "double"),
+    ("_gold_batch_id", "string", REQUIRED),
+    ("_gold_built_at", "string", REQUIRED),
+)
+DEVICE_LIFECYCLE = contract(
+    ("device_id", "long", REQUIRED),
+    ("country_code", "string"),
+    ("first_seen", "string", REQUIRED),
+    ("last_seen", "string", REQUIRED),
+    ("lifetime_days", "double", REQUIRED),
+    ("n_events", "long", REQUIRED),
+    ("n_active_days", "long", REQUIRED),
+    ("avg_battery_level", "double"),
+    ("min_battery_level", "double"),
+    ("avg_temperature", "double"),
+    ("avg_memory_used_pct", "double"),
+    ("avg_storage_used_pct", "double"),
+    ("n_charging_events", "long"),
+    ("n_wifi_events", "long"),
+    ("n_low_battery_events", "long"),
+    ("events_per_active_day", "double"),
+    ("_gold_batch_id", "string", REQUIRED),
+    ("_gold_built_at", "string", REQUIRED),
+)
+HOURLY_BATTERY_HEALTH = contract(
+    ("date_local", "string", REQUIRED),
+    ("hour_of_day", "long", REQUIRED),
+    ("country_code", "string"),
+    ("n_events", "long", REQUIRED),
+    ("n_devices", "long", REQUIRED),
+    ("avg_battery_level", "double"),
+    ("avg_temperature", "double"),
+    ("max_temperature", "double"),
+    ("avg_voltage", "double"),
+    ("n_charging_events", "long"),
+    ("n_low_battery_events", "long"),
+    ("n_night_events", "long"),
+    ("_gold_batch_id", "string", REQUIRED),
+    ("_gold_built_at", "string", REQUIRED),
+)
+
+# The streaming tables.
+ENVELOPE = contract(
+    ("source", "string"),
+    ("stream_id", "string"),
+    ("event_type", "string"),
+    ("event_ts", "string"),
+    ("entity_id", "string"),
+    ("payload_json", "string"),
+    ("ingest_batch_id", "string"),
+    ("ingest_ts", "string"),
+)
+RAW_EVENTS = contract(
+    ("source", "string"),
+    ("stream_id", "string"),
+    ("event_type", "string"),
+    ("event_ts", "string"),
+    ("entity_id", "string"),
+    ("payload_json", "string"),
+    ("kafka_topic", "string"),
+    ("kafka_partition", "long"),
+    ("kafka_offset", "long"),
+    ("ingested_at", "string"),
+    ("batch_id", "string"),
+    ("tablet_index", "long"),
+)
+BRONZE_STREAM = contract(
+    ("stream_id", "string"),
+    ("row_index", "long"),
+    ("tablet_index", "long"),
+    ("source", "string"),
+    ("event_type", "string"),
+    ("event_ts", "string"),
+    ("entity_id", "string"),
+    ("payload_json", "string"),
+    ("queue_timestamp", "long"),
+    ("processed_at", "string"),
+    ("batch_id", "string"),
+)
+STREAMING_POSTS = contract(
+    ("post_id", "long"),
+    ("user_id", "long"),
+    ("title", "string"),
+    ("body", "string"),
+    ("source", "string"),
+    ("stream_id", "string"),
+    ("event_type", "string"),
+    ("event_ts", "string"),
+    ("entity_id", "string"),
+    ("queue_timestamp", "long"),
+    ("tablet_index", "long"),
+    ("row_index", "long"),
+    ("processed_at", "string"),
+    ("batch_id", "string"),
+    ("silver_processed_at", "string"),
+)
+STREAMING_COMMENTS = contract(
+    ("comment_id", "long"),
+    ("post_id", "long"),
+    ("name", "string"),
+    ("email", "string"),
+    ("body", "string"),
+    ("source", "string"),
+    ("stream_id", "string"),
+    ("event_type", "string"),
+    ("event_ts", "string"),
+    ("entity_id", "string"),
+    ("queue_timestamp", "long"),
+    ("tablet_index", "long"),
+    ("row_index", "long"),
+    ("processed_at", "string"),
+    ("batch_id", "string"),
+    ("silver_processed_at", "string"),
+)
+STREAMING_TODOS = contract(
+    ("todo_id", "long"),
+    ("user_id", "long"),
+    ("title", "string"),
+    ("completed", "boolean"),
+    ("source", "string"),
+    ("stream_id", "string"),
+    ("event_type", "string"),
+    ("event_ts", "string"),
+    ("entity_id", "string"),
+    ("queue_timestamp", "long"),
+    ("tablet_index", "long"),
+    ("row_index", "long"),
+    ("processed_at", "string"),
+    ("batch_id", "string"),
+    ("silver_processed_at", "string"),
+)
+
+# Ledger and run records.
+FILE_LEDGER = contract(
+    ("path", "string"),
+    ("etag", "string"),
+    ("size", "long"),
+    ("part_index", "long"),
+    ("batch_id", "string"),
+    ("loaded_at", "string"),
+)
+FILE_LOADS = contract(
+    ("event_at", "string"),
+    ("dag_id", "string"),
+    ("run_id", "string"),
+    ("batch_id", "string"),
+    ("source_system", "string"),
+    ("bucket", "string"),
+    ("prefix", "string"),
+    ("file_key", "string"),
+    ("s3a_path", "string"),
+    ("etag", "string"),
+    ("file_size", "long"),
+    ("part_index", "long"),
+    ("loader", "string"),
+    ("target_layer", "string"),
+    ("target_tables", "string"),
+    ("load_status", "string"),
+    ("started_at", "string"),
+    ("finished_at", "string"),
+    ("duration_sec", "double"),
+    ("rows_inserted", "long"),
+    ("source_rows", "long"),
+    ("fact_rows", "long"),
+    ("device_count", "long"),
+    ("rc", "long"),
+    ("error", "string"),
+    ("remote_log", "string"),
+    ("message", "string"),
+)
+LAYER_RUNS = contract(
+    ("event_at", "string"),
+    ("dag_id", "string"),
+    ("run_id", "string"),
+    ("batch_id", "string"),
+    ("loader", "string"),
+    ("source_layer", "string"),
+    ("target_layer", "string"),
+    ("target_table", "string"),
+    ("load_status", "string"),
+    ("started_at", "string"),
+    ("finished_at", "string"),
+    ("duration_sec", "double"),
+    ("rows_bronze_in", "long"),
+    ("rows_after_dedup", "long"),
+    ("rows_silver_out", "long"),
+    ("rc", "long"),
+    ("error", "string"),
+    ("remote_log", "string"),
+    ("message", "string"),
+)
+MART_RUNS = contract(
+    ("event_at", "string"),
+    ("dag_id", "string"),
+    ("run_id", "string"),
+    ("batch_id", "string"),
+    ("loader", "string"),
+    ("mart", "string"),
+    ("source_layer", "string"),
+    ("target_layer", "string"),
+    ("target_table", "string"),
+    ("load_status", "string"),
+    ("started_at", "string"),
+    ("finished_at", "string"),
+    ("duration_sec", "double"),
+    ("rows_silver_in", "long"),
+    ("rows_gold_out", "long"),
+    ("rc", "long"),
+    ("error", "string"),
+    ("remote_log", "string"),
+    ("message", "string"),
+)
+DAG_RUNS = contract(
+    ("event_at", "string"),
+    ("dag_id", "string"),
+    ("run_id", "string"),
+    ("batch_id", "string"),
+    ("source_system", "string"),
+    ("loader", "string"),
+    ("started_at", "string"),
+    ("finished_at", "string"),
+    ("duration_sec", "double"),
+    ("status", "string"),
+    ("total_items", "long"),
+    ("success_items", "long"),
+    ("failed_items", "long"),
+    ("skipped_items", "long"),
+    ("error", "string"),
+    ("message", "string"),
+)
+STREAMING_SILVER_RUNS = contract(
+    ("run_id", "string"),
+    ("dag_id", "string"),
+    ("task_id", "string"),
+    ("target_table", "string"),
+    ("sql_file", "string"),
+    ("status", "string"),
+    ("start_ts", "string"),
+    ("end_ts", "string"),
+    ("duration_sec", "double"),
+    ("rc", "long"),
+    ("error_message", "string"),
+    ("message", "string"),
 )

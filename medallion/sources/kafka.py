@@ -38,9 +38,12 @@ def publish(messages: DataFrame, servers: str, topic: str, **options: str) -> No
 
 
 def publish_stream(messages: DataFrame, servers: str, topic: str, checkpoint: str) -> DataStreamWriter:
+    """The streaming twin of ``publish``, with the same guarantees; not started yet."""
     return (
         messages.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
+        .option("kafka.acks", "all")
+        .option("kafka.enable.idempotence", "true")
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
     )

@@ -30,9 +30,9 @@ def optional_table(spark: SparkSession, path: str, schema: T.StructType | None =
     try:
         return read_table(spark, path, schema)
     except AnalysisException as error:
-        if error.getCondition() == _MISSING:
-            return None
-        raise
+        if error.getCondition() != _MISSING:
+            raise
+    return read_table(spark, path, schema) if recover_table(spark, path) else None
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -56,25 +56,48 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+STAGING, RETIRED = "__staging_", "__retired_"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system and the path as it knows it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Bring back the table that an interrupted ``replace_table`` had set aside; False when there is nothing to do."""
+    files, target = _files(spark, path)
+    parent = target.getParent()
+    if files.exists(target) or parent is None or not files.exists(parent):
+        return False
+    kept = [s.getPath() for s in files.listStatus(parent) if s.getPath().getName().startswith(f"{target.getName()}{RETIRED}")]
+    return len(kept) == 1 and files.rename(kept[0], target)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Full refresh: write beside the table, then swap folders. A failed run leaves the old table in place,
-    and ``df`` may read the table it replaces."""
-    staging = f"{path.rstrip('/')}__staging_{uuid.uuid4().hex}"
-    retired = f"{path.rstrip('/')}__retired_{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(staging)
-
-    jvm = df.sparkSession._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf())
+    and ``df`` may read the table it replaces. If the run ends between the two renames, the next one that reads or
+    replaces the table brings the old one back."""
+    spark = df.sparkSession
+    recover_table(spark, path)
+    files, target = _files(spark, path)
+    run = uuid.uuid4().hex
+    staging, retired = (target.suffix(f"{kind}{run}") for kind in (STAGING, RETIRED))
+    try:
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(staging.toString())
+    except Exception:
+        files.delete(staging, True)
+        raise
     had_table = files.exists(target)
-    if had_table and not files.rename(target, jvm.org.apache.hadoop.fs.Path(retired)):
+    if had_table and not files.rename(target, retired):
         raise RuntimeError(f"cannot set the old table {path} aside")
-    if not files.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+    if not files.rename(staging, target):
         if had_table:
-            files.rename(jvm.org.apache.hadoop.fs.Path(retired), target)
-        raise RuntimeError(f"cannot publish {staging} as {path}")
+            files.rename(retired, target)
+        raise RuntimeError(f"cannot publish {staging.toString()} as {path}")
     if had_table:
-        files.delete(jvm.org.apache.hadoop.fs.Path(retired), True)
+        files.delete(retired, True)
 
 
 def write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
