@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,7 @@ from medallion.plans.silver import refresh_silver
 from medallion.plans.stream_silver import rebuild_all
 from medallion.session import configure, scratch_path
 from medallion.sources import files, samples
+from medallion.sources.reference import read_reference, replace_reference
 from medallion.sources.tables import read_table, register_views, write_once
 from medallion.streaming import envelope, layers
 from medallion.streaming import queries as streams
@@ -478,6 +480,15 @@ def country_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_country(coded, reference)
 
 
+@query
+def reference_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country reference after two full replacements."""
+    path, reference = scratch_path(spark, "reference"), samples.country_reference(spark, sf_dir)
+    replace_reference(reference.withColumn("country_name", F.lower("country_name")), path)
+    replace_reference(reference, path)
+    return read_reference(spark, path)
+
+
 @query
 def salted_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join used when a looked-up table is too big to broadcast."""
@@ -844,6 +855,44 @@ def bronze_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_items(lambda spec: read_table(spark, f"{root}/silver/{spec.name}", spec.schema))
 
 
+@query
+def stream_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run records of a periodic rebuild, with the rows that each table holds afterwards."""
+    root = scratch_path(spark, "stream")
+    topic = write_topic(spark, sf_dir, f"{root}/topic")
+    streams.topic_to_raw(topic, f"{root}/raw", f"{root}/rejects", f"{root}/cp_raw").awaitTermination()
+    streams.raw_to_bronze(streams.read_queue(spark, f"{root}/raw"), f"{root}/bronze", f"{root}/cp").awaitTermination()
+    for _ in range(2):
+        rebuild_all(spark, f"{root}/bronze", f"{root}/silver", f"{root}/runs")
+    runs = read_table(spark, f"{root}/runs", schemas.STREAMING_SILVER_RUNS)
+    held = silver_items(lambda spec: read_table(spark, f"{root}/silver/{spec.name}", spec.schema))
+    rows = held.groupBy(F.col("table_name").alias("task_id")).agg(F.count("*").alias("n_rows"))
+    counted = runs.groupBy("task_id", "status", "rc").agg(F.count("*").alias("n_runs"))
+    return counted.join(rows, "task_id")
+
+
+@query
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A micro-batch that fails behind its write is run again and replaces what it wrote: offsets move last."""
+    root = scratch_path(spark, "stream")
+    topic = write_topic(spark, sf_dir, f"{root}/topic")
+
+    def write(batch: DataFrame, identity: str, epoch: int) -> None:
+        streams.write_epoch(batch.select("topic", "partition", "offset"), f"{root}/out", identity, epoch)
+
+    def write_and_fail(batch: DataFrame, identity: str, epoch: int) -> None:
+        write(batch, identity, epoch)
+        raise RuntimeError("lost behind the write")
+
+    try:
+        streams.run_stream(topic, write_and_fail, f"{root}/cp").awaitTermination()
+    except StreamingQueryException:
+        pass
+    streams.run_stream(topic, write, f"{root}/cp").awaitTermination()
+    rows = spark.read.parquet(f"{root}/out")
+    return rows.groupBy("topic", "partition").agg(F.count("*").alias("n_rows"), F.sum("offset").alias("sum_offset"))
+
+
 @query
 def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows stored, compacted, and delivered once more by another query."""

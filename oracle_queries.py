@@ -470,6 +470,10 @@ def silver_queries() -> dict[str, str]:
   CASE WHEN r_name <> 'EUROPE' THEN r_name END AS country_region,
   CASE WHEN r_name <> 'EUROPE' THEN '' END AS country_sub_region
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+        "reference_replaced": """SELECT upper(n_name) AS country_code, 'Land ' || n_name AS country_name,
+  substr(upper(n_name), 1, 3) AS alpha3_code, CAST(n_nationkey AS VARCHAR) AS numeric_code, upper(n_name) AS official_name,
+  r_name AS region, '' AS sub_region
+FROM nation JOIN region ON n_regionkey = r_regionkey""",
         "salted_lookup": "SELECT event_id, event_type, user_id, c_name, c_mktsegment "
         "FROM events LEFT JOIN customer ON user_id = c_custkey",
         "checked_lookup": "SELECT event_id, user_id, event_type FROM events "
@@ -520,6 +524,13 @@ FROM events WHERE event_type IN ('error', 'signup')""",
         + " FROM events",
         "stream_available_now": with_("items", fan_out("id")),
         "bronze_partitions": with_("items", fan_out("((id % 3) << 48) + id // 3")),
+        "stream_runs": with_(
+            "items",
+            "SELECT table_name AS task_id, 'success' AS status, CAST(0 AS BIGINT) AS rc, CAST(2 AS BIGINT) AS n_runs, "
+            f"count(*) AS n_rows FROM ({fan_out('id')}) GROUP BY table_name",
+        ),
+        "stream_replayed": "SELECT 'raw-events' AS topic, CAST(0 AS BIGINT) AS partition, 2 * count(*) AS n_rows, "
+        "CAST(2 * sum(event_id) AS BIGINT) AS sum_offset FROM events",
     }
     return {**found, "bronze_compacted": found["bronze_upsert"]}
 

@@ -25,6 +25,18 @@ def db():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def compiled(spark):
+    """The contract is checked with generated code, as on a cluster."""
+    settings = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def canonical(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 

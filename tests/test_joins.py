@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators.dedup import latest_by
 from medallion.operators.indexing import dense_index
-from medallion.operators.joins import hot_keys, lookup_join, measured_bytes, measured_bytes_by, salted_join
+from medallion.operators.joins import broadcastable, hot_keys, lookup_join, measured_bytes, measured_bytes_by, salted_join
 from medallion.sources.files import spread
 
 
@@ -84,3 +84,9 @@ def test_spread_leaves_scans_with_enough_splits_alone(spark):
     assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
     wide = spark.range(0, 100, 1, cores)
     assert spread(wide) is wide
+
+
+def test_lookups_share_one_broadcast_budget():
+    sizes = {"a": 40, "b": 30, "c": 50, "d": 0}
+    assert broadcastable(sizes, 70) == {"d", "b", "a"}
+    assert broadcastable(sizes, 69) == {"d", "b"} and broadcastable(sizes, -1) == set()
