@@ -158,8 +158,9 @@ def _with_base(spark: SparkSession, bronze_path: str, folders: DataFrame) -> Dat
     return folders.join(merged, [QUERY, EPOCH], "left_anti").unionByName(base)
 
 
-def read_bronze(spark: SparkSession, *bronze_paths: str) -> DataFrame:
-    """Bronze with one row per key, from one table or from those of several queue partitions."""
+def read_bronze(spark: SparkSession, *bronze_paths: str, tablet_index: int | None = None) -> DataFrame:
+    """Bronze with one row per key, from one table or from those of several queue partitions. A key's queue
+    partition never changes, so one of them can be chosen before keys are collapsed, and only its folders are read."""
     tables = [
         _with_base(spark, path, found)
         for path in bronze_paths
@@ -167,7 +168,10 @@ def read_bronze(spark: SparkSession, *bronze_paths: str) -> DataFrame:
     ]
     if not tables:
         return spark.createDataFrame([], nullable(BRONZE_STREAM))
-    return collapse(reduce(DataFrame.unionByName, tables)).select(*BRONZE_STREAM.names)
+    rows = reduce(DataFrame.unionByName, tables)
+    if tablet_index is not None:
+        rows = rows.where(F.col("tablet_index") == tablet_index)
+    return collapse(rows).select(*BRONZE_STREAM.names)
 
 
 def compact(spark: SparkSession, bronze_path: str) -> int:
@@ -203,7 +207,8 @@ def drop_merged(spark: SparkSession, bronze_path: str) -> None:
 def rebuild_silver(spark: SparkSession, bronze_path: str | Sequence[str], spec: PayloadSpec, path: str) -> None:
     """The full refresh of one silver table, from one bronze table or those of the queue partitions."""
     paths = [bronze_path] if isinstance(bronze_path, str) else bronze_path
-    replace_table(payload_rows(read_bronze(spark, *paths), spec, now_text()), path)
+    rows = read_bronze(spark, *paths, tablet_index=spec.tablet_index)
+    replace_table(payload_rows(rows, spec, now_text()), path)
 
 
 def bronze_to_silver(
