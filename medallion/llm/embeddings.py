@@ -1,9 +1,11 @@
 """Near-deduplication of embeddings by cosine.
 
-Spherical k-means, fitted on a bounded sample, assigns every vector to cells: its home, the cell of the nearest
-centre, and the next nearest ones, which it visits. Inside a cell, vectors of one label are compared in blocks by
-products of matrices, in double precision. A pair is found when they share their home or one visits the home of the
-other, and is counted in one cell only.
+Spherical k-means, fitted on a bounded sample, assigns every vector to its home, the cell of the nearest centre. A
+vector visits every cell of whose border it is within half the angle that links: on the way from one vector of a
+linked pair to the other the border of their homes is crossed, so the nearer one visits the other's home. No link is
+lost, whatever the size of the table, the number of cells and the centres. Inside a cell, vectors of one label are
+compared in blocks by products of matrices, in double precision, homes with homes and with visitors. A pair is
+counted in one cell only.
 
 Equal vectors of a label are one class that is compared once, with its number of rows. A cell is split into blocks
 of bounded size, however many vectors it holds, and each pair of blocks is a task of its own. A task returns one
@@ -19,6 +21,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,8 +37,9 @@ from medallion.llm.components import components
 MIN_COSINE = 0.93
 # The centres are fitted on at most so many vectors; every vector is indexed.
 SAMPLE = 50_000
-CELL_ROWS, MAX_CELLS = 2_000, 2_048
-VISITS = 3
+CELL_ROWS, MIN_CELLS, MAX_CELLS = 2_000, 8, 2_048
+# Far above what rounding moves a border by: at worst a visit too many.
+_SLACK = 1e-9
 BLOCK = 1_024
 _ROUNDS = 10
 
@@ -56,8 +60,8 @@ def named(vectors: DataFrame) -> DataFrame:
 
 def fit_centres(classes: DataFrame, n: int, sample: int = SAMPLE) -> list[list[float]]:
     """Centres of a spherical k-means over at most about ``sample`` of ``n`` vectors, chosen by their name."""
-    cells = max(1, min(MAX_CELLS, n // CELL_ROWS))
-    if cells == 1:
+    cells = min(MAX_CELLS, max(MIN_CELLS, n // CELL_ROWS))
+    if n <= cells:
         return []
     share = min(1.0, sample / n)
     chosen = classes.where(F.pmod(F.xxhash64("class"), F.lit(1_000_000)) < int(share * 1_000_000))
@@ -66,41 +70,67 @@ def fit_centres(classes: DataFrame, n: int, sample: int = SAMPLE) -> list[list[f
     return [[float(x) for x in centre] for centre in model.clusterCenters()]
 
 
-def assigned(classes: DataFrame, centres: list[list[float]], visits: int) -> DataFrame:
-    """The rows of ``classes`` with their ``cells``, the home first. Without centres there is one cell; vectors of
-    another length than the centres have a cell of their own."""
+def assigned(classes: DataFrame, centres: list[list[float]], min_cosine: float) -> DataFrame:
+    """The rows of ``classes`` with their ``home`` and the cells they visit. Without centres there is one cell; vectors
+    of another length than the centres have a cell of their own."""
     if not centres:
-        return classes.withColumn("cells", F.array(F.lit(0)))
-    fields = [*classes.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]
+        return classes.withColumns({"home": F.lit(0), "visits": F.array().cast("array<int>")})
+    added = [T.StructField("home", T.IntegerType()), T.StructField("visits", T.ArrayType(T.IntegerType()))]
+    fields = [*classes.schema.fields, *added]
     at = classes.columns.index("embedding")
     other = len(centres)
+    reach = math.sin(math.acos(min_cosine) / 2)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         units = np.array(centres)
         units /= np.linalg.norm(units, axis=1, keepdims=True)
+        # From centre to centre; a difference of small ones is taken as it is, not by way of the cosine.
+        apart = np.stack([np.linalg.norm(units - unit, axis=1) for unit in units])
         for batch in batches:
-            cells = []
+            homes, visits = [], []
             for vector in batch.column(at):
                 point = vector.values.to_numpy().astype(float)
-                if len(point) == units.shape[1]:
-                    cells.append(np.argsort(-(units @ point), kind="stable")[: visits + 1].tolist())
-                else:
-                    cells.append([other])
-            column = pa.array(cells, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[field.name for field in fields])
+                if len(point) != units.shape[1]:
+                    homes.append(other)
+                    visits.append([])
+                    continue
+                point /= np.abs(point).max()
+                near = units @ (point / np.linalg.norm(point))
+                home = int(near.argmax())
+                # The sine of the angle to the border, times the distance of the centres.
+                visited = near[home] - near <= reach * apart[home] + _SLACK
+                visited[home] = False
+                homes.append(home)
+                visits.append(np.flatnonzero(visited).tolist())
+            columns = [pa.array(homes, pa.int32()), pa.array(visits, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[field.name for field in fields])
 
     return classes.mapInArrow(nearest, T.StructType(fields))
 
 
-def block_pairs(members: DataFrame, block: int) -> DataFrame:
-    """The rows of every cell, dealt into blocks, once for each pair of blocks that they are compared in."""
+def block_pairs(placed: DataFrame, block: int) -> DataFrame:
+    """The rows of every cell, dealt into blocks, once for each pair of blocks that they are compared in: two blocks
+    of the cell's own rows, or one of these and one of its visitors. Visitors are not compared with each other."""
     cell = ["label", "size", "cell"]
-    sizes = members.groupBy(*cell).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    dealt = members.join(sizes, cell).withColumn("block", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = ["label", "size", "class", "rows", "embedding", "home"]
+    # Of its visits, a row's home needs those that may have counted a pair before.
+    before = F.filter("visits", lambda visited: visited < F.col("home")).alias("before")
+    none = F.array().cast("array<int>").alias("before")
+    members = placed.select(*rest, before, F.col("home").alias("cell")).unionByName(
+        placed.select(*rest, none, F.explode("visits").alias("cell"))
+    )
+    at_home = F.col("home") == F.col("cell")
+    blocks = [F.ceil(F.count_if(which) / block).cast("int") for which in (at_home, ~at_home)]
+    sizes = members.groupBy(*cell).agg(blocks[0].alias("own"), blocks[1].alias("foreign")).where("own > 0")
+    number = F.xxhash64("class")
+    dealt = members.join(sizes, cell).withColumn(
+        "block",
+        F.when(at_home, F.pmod(number, F.col("own"))).otherwise(F.col("own") + F.pmod(number, F.col("foreign"))).cast("int"),
+    )
+    last = F.when(at_home, F.col("own") + F.col("foreign")).otherwise(F.col("own")) - 1
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     return dealt.select(
         *cell,
         F.least("block", "other").alias("first_block"),
@@ -109,7 +139,8 @@ def block_pairs(members: DataFrame, block: int) -> DataFrame:
         "class",
         "rows",
         "embedding",
-        "cells",
+        "home",
+        "before",
     )
 
 
@@ -128,22 +159,23 @@ def linker(min_cosine: float):
         points = np.array(table.column("embedding").to_pylist(), dtype=float)
         points /= np.linalg.norm(points, axis=1, keepdims=True)
         rows = np.array(table.column("rows").to_pylist(), dtype=np.int64)
-        cells = table.column("cells").to_pylist()
-        home = np.array([c[0] for c in cells])
+        before = table.column("before").to_pylist()
+        home = table.column("home").to_numpy()
         side = np.array(table.column("block").to_pylist())
 
-        close = points @ points.T >= min_cosine
-        np.fill_diagonal(close, False)
-        if first != second:
-            close &= side[:, None] != side[None, :]
-        # Two visitors are compared elsewhere, and so is a pair that also meets in a home with a smaller number.
-        here = home == cell
-        close &= here[:, None] | here[None, :]
-        for visitor in np.flatnonzero(~here & close.any(1)):
-            if home[visitor] < cell:
-                for host in np.flatnonzero(close[visitor]):
-                    if home[visitor] in cells[host]:
-                        close[visitor, host] = close[host, visitor] = False
+        if first == second:
+            close = points @ points.T >= min_cosine
+            np.fill_diagonal(close, False)
+        else:
+            close = np.zeros((len(names), len(names)), bool)
+            one, two = np.flatnonzero(side == first), np.flatnonzero(side == second)
+            met = points[one] @ points[two].T >= min_cosine
+            close[np.ix_(one, two)], close[np.ix_(two, one)] = met, met.T
+        # A pair that also meets in a home with a smaller number is counted there.
+        for visitor in np.flatnonzero((home < cell) & close.any(1)):
+            for host in np.flatnonzero(close[visitor]):
+                if home[visitor] in before[host]:
+                    close[visitor, host] = close[host, visitor] = False
 
         links, roots = close @ rows, np.full(len(names), -1)
         for start in np.flatnonzero(links):
@@ -168,7 +200,6 @@ def near_copies(
     vectors: DataFrame,
     min_cosine: float = MIN_COSINE,
     sample: int = SAMPLE,
-    visits: int = VISITS,
     block: int = BLOCK,
 ) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links, component_id, kept."""
@@ -186,8 +217,8 @@ def near_copies(
     most = classes.groupBy("size").count().orderBy(F.desc("count"), "size").first()
     same_size = classes.where(F.col("size") == most["size"]) if most else classes
     centres = fit_centres(same_size, most["count"] if most else 0, sample)
-    members = assigned(classes.drop("first"), centres, visits).withColumn("cell", F.explode("cells"))
-    pairs = block_pairs(members, block)
+    placed = stored(assigned(classes.drop("first"), centres, min_cosine), "vector-cells")
+    pairs = block_pairs(placed, block)
     linked = stored(
         pairs.groupBy("label", "size", "cell", "first_block", "second_block").applyInArrow(linker(min_cosine), LINKED),
         "vector-links",

@@ -75,3 +75,11 @@ def test_cells_find_nearly_all(spark, monkeypatch):
     links = {vec_id: n for vec_id, n, _ in brute(rows)}
     got = {vec_id: n for vec_id, n, _ in found(spark, rows, block=16)}
     assert all(got[k] <= links[k] for k in links) and sum(got.values()) >= 0.9 * sum(links.values()) > 0
+
+
+def test_many_cells_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 10)
+    rng = np.random.default_rng(5)
+    # In four dimensions links cross the borders of thirty cells everywhere.
+    rows = [(k, [float(x) for x in rng.normal(size=4).astype(np.float32)], 0) for k in range(300)]
+    assert found(spark, rows, block=16) == sorted(brute(rows))
