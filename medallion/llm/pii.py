@@ -5,8 +5,11 @@ spans: written-out emails, phone numbers without a country code, cards with othe
 Boosted trees judge each candidate by its format and the words before it, and a threshold calibrated for its kind
 selects those that are redacted, too, where they don't overlap a base span or a better candidate.
 
-The trees are trained here, on the candidates of a bounded sample of texts: a candidate counts as personal data when
-a base span of its kind covers half of it, so a phone number's local part is an example of its format. Thresholds
+The trees are trained here, on the candidates of a bounded sample of texts for which there is evidence. For: a base
+span of its kind, a written-out email that is a valid one when normalised, Luhn digits in a card's groups or after a
+word for cards, an area code in parentheses or a word for phones before. Against: no valid form, a quad with a part over
+255, digits that fail Luhn, a part of a longer number or of another kind's span, a word for other numbers before. That
+no base span covers a candidate is no evidence; without any, it teaches nothing and counts in no threshold. Thresholds
 are calibrated on a part of the sample that the trees have not seen: the lowest score from which on the share of
 personal data is at least ``MIN_PRECISION``. A kind with too few examples gets no added spans.
 
@@ -57,7 +60,11 @@ _WRITTEN_EMAIL = re.compile(
 _ANY_QUAD = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?![0-9.])")
 _ANY_CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){11,18}(?![0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20./-]?[0-9]{3,4}[\x20./-][0-9]{3,4}(?![0-9])")
-_GENERATORS = ((0, _WRITTEN_EMAIL), (1, _ANY_QUAD), (2, _ANY_CARD), (3, _LOCAL_PHONE))
+# Without blanks beside a plain @ or dot, so that the next sentence is left out.
+_SPELLED_EMAIL = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:@|\x20?(?:\(at\)|\[at\])\x20?)[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63}){0,4}"
+)
+_GENERATORS = ((0, _WRITTEN_EMAIL), (0, _SPELLED_EMAIL), (1, _ANY_QUAD), (2, _ANY_CARD), (3, _LOCAL_PHONE))
 _CUES = (
     ("mail", "contact", "write", "@"),
     ("ip", "host", "server", "address"),
@@ -66,6 +73,13 @@ _CUES = (
 )
 _CONTEXT = 24
 _GROUPS = re.compile(r"[0-9]+")
+_WRITTEN_OUT = re.compile(r"\x20?[(\[](at|dot)[)\]]\x20?")
+_VALID_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+_CARD_GROUPS = ([4, 4, 4, 4], [4, 4, 4, 4, 3], [4, 6, 5], [4, 6, 4])
+_AREA_CODE = re.compile(r"\([0-9]{3}\)\x20?[0-9]{3}[.-][0-9]{4}")
+_WORDS = re.compile(r"[a-z]+")
+# Words before a number that is not a phone's.
+_OTHER_NUMBERS = frozenset("order invoice ref reference id item part serial isbn issn version date page case ticket tracking account sku zip visa card ip".split())
 
 
 def luhn(digits: str) -> bool:
@@ -113,6 +127,18 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     return [(m.start(), kind, m.end()) for kind, form in _GENERATORS for m in form.finditer(text) if kind or m[0].count(" ") < 8]
 
 
+def normal_email(span: str) -> str:
+    """A written-out email as it is typed."""
+    return _WRITTEN_OUT.sub(lambda m: "@" if m[1] == "at" else ".", span)
+
+
+def of_longer_number(text: str, start: int, end: int) -> bool:
+    """Whether digits go on beside the span, after a separator or without one."""
+    left, right = text[max(0, start - 2) : start], text[end : end + 2]
+    beside = left[-1:].isdigit() or right[:1].isdigit()
+    return beside or left[:1].isdigit() and left[1:] in (*"-./",) or right[1:].isdigit() and right[:1] in (*"-./",)
+
+
 def features(text: str, start: int, kind: int, end: int) -> list[float]:
     """Format and context of a candidate. What stands right before it is seen as a word, never as a country code."""
     span, digits = text[start:end], digits_of(text[start:end])
@@ -140,9 +166,41 @@ def features(text: str, start: int, kind: int, end: int) -> list[float]:
         float(start > 0 and text[start - 1].isalnum()),
         float(end < len(text) and text[end].isalnum()),
         *[float(any(cue in before for cue in cues)) for cues in _CUES],
+        float(kind == 0 and _VALID_EMAIL.fullmatch(normal_email(span)) is not None),
+        float(kind == 0 and _WRITTEN_OUT.search(span) is not None),
+        float(span.count(" ")),
+        float(of_longer_number(text, start, end)),
+        float(not _OTHER_NUMBERS.isdisjoint(_WORDS.findall(before)[-2:])),
     ]
 
 
+def evidence(text: str, base: list[tuple[int, int, int]], start: int, kind: int, end: int) -> float | None:
+    """1 and 0 where something speaks for or against personal data, None where nothing does."""
+    span, digits = text[start:end], digits_of(text[start:end])
+    words = _WORDS.findall(text[max(0, start - _CONTEXT) : start].lower())[-3:]
+    named = not set(_CUES[kind]).isdisjoint(words)
+    if kind == 0:
+        if _VALID_EMAIL.fullmatch(normal_email(span)):
+            return 1.0
+        # Blanks beside a plain @ or dot: an email or two sentences.
+        loose = _VALID_EMAIL.fullmatch(normal_email(span).replace(" ", ""))
+        return None if loose and (named or covered(base, start, kind, end)) else float(covered(base, start, kind, end))
+    if covered(base, start, kind, end):
+        return 1.0
+    if kind == 1 or kind == 2 and not luhn(digits):
+        return 0.0
+    if kind == 2:
+        groups = [len(group) for group in _GROUPS.findall(span)]
+        return 1.0 if digits[0] in "3456" and (named or groups in _CARD_GROUPS) else None
+    if of_longer_number(text, start, end) or any(s < end and start < e for s, k, e in base if k != kind):
+        return 0.0
+    if named:
+        return 1.0
+    if not _OTHER_NUMBERS.isdisjoint(words[-2:]):
+        return 0.0
+    return 1.0 if _AREA_CODE.fullmatch(span) else None
+
+
 def covered(spans: list[tuple[int, int, int]], start: int, kind: int, end: int) -> bool:
     return any(k == kind and 2 * (min(e, end) - max(s, start)) >= end - start for s, k, e in spans)
 
@@ -183,7 +241,7 @@ def tree_nodes(root: Any) -> list[tuple[int, float, int, int, float]]:
 
 
 def labelled_candidates(texts: DataFrame) -> DataFrame:
-    """kind, features, label and part (0 to 4) of the candidates of ``texts`` (text)."""
+    """kind, features, label and part (0 to 4) of the candidates of ``texts`` (text) with evidence."""
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +249,9 @@ def labelled_candidates(texts: DataFrame) -> DataFrame:
             for text in batch.column(0).to_pylist():
                 base = base_spans(text)
                 for start, kind, end in candidates(text):
-                    rows.append((kind, features(text, start, kind, end), float(covered(base, start, kind, end)), (crc32(text.encode()) + start) % 5))
+                    label = evidence(text, base, start, kind, end)
+                    if label is not None:
+                        rows.append((kind, features(text, start, kind, end), label, (crc32(text.encode()) + start) % 5))
             columns = zip(*rows, strict=True) if rows else [[]] * 4
             kinds = (pa.int32(), pa.list_(pa.float64()), pa.float64(), pa.int32())
             yield pa.RecordBatch.from_arrays(

@@ -96,3 +96,31 @@ def test_calibration():
     assert pii.calibrated([(1.0, 1.0)] * 100 + [(0.0, 0.0)] * 100) == 1.0
     assert pii.calibrated([(1.0, 1.0)] * 50 + [(1.0, 0.0)] * 50) == float("inf")
     assert pii.calibrated([(1.0, 1.0)] * 5) == float("inf")
+
+
+def written_out_docs(spark, n=400):
+    rng = random.Random(8)
+    forms = ["mail u{0}@example.com now", "mail u{0} (at) example (dot) com. Then rest", "(2{1:02}) 555-{0} it is", "call +1 (2{1:02}) 555-{0} now", "order 2{1:02}-555-{0} came", "host 300.{1}.2.3"]
+    rows = [(k, forms[k % 6].format(rng.randint(1000, 9999), rng.randint(10, 99))) for k in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_spans_without_a_base_are_learned(spark):
+    trees = pii.train(written_out_docs(spark, 2400))
+    text = "mail jane (at) example (dot) com. Then ring (212) 555-1234 or order 212-555-1234, 300.1.2.3"
+    found = [text[start:end] for start, _, end in sorted(pii.added_spans(text, pii.base_spans(text), trees))]
+    assert found == ["jane (at) example (dot) com", "(212) 555-1234"]
+
+
+def test_evidence():
+    def label(text, span, kind):
+        start = text.index(span)
+        return pii.evidence(text, pii.base_spans(text), start, kind, start + len(span))
+
+    assert label("jane (at) example (dot) com", "jane (at) example (dot) com", 0) == 1.0
+    assert label("write @ noon", "write @ noon", 0) == 0.0
+    assert label("4111.1111.1111.1111", "4111.1111.1111.1111", 2) == 1.0
+    assert label("4111.1111.1111.1112", "4111.1111.1111.1112", 2) == 0.0
+    assert label("so (212) 555-1234", "(212) 555-1234", 3) == 1.0
+    assert label("so 212-555-1234", "212-555-1234", 3) is None
+    assert label("order 212-555-1234", "212-555-1234", 3) == 0.0
