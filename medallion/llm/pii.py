@@ -9,9 +9,13 @@ The trees are trained here, on the candidates of a bounded sample of texts for w
 span of its kind, a written-out email that is a valid one when normalised, Luhn digits in a card's groups or after a
 word for cards, an area code in parentheses or a word for phones before. Against: no valid form, a quad with a part over
 255, digits that fail Luhn, a part of a longer number or of another kind's span, a word for other numbers before. That
-no base span covers a candidate is no evidence; without any, it teaches nothing and counts in no threshold. Thresholds
-are calibrated on a part of the sample that the trees have not seen: the lowest score from which on the share of
-personal data is at least ``MIN_PRECISION``. A kind with too few examples gets no added spans.
+no base span covers a candidate is no evidence; without any, it teaches nothing and counts in no threshold.
+
+Thresholds cover the whole table: all candidates that the trees have not learned from are scored, and the threshold of a
+kind is the lowest score from which on the share of personal data among them is at least ``MIN_PRECISION``. The sample
+is at most half of the texts, so any table has such candidates. A kind with fewer than ``MIN_EXAMPLES`` examples of
+personal data takes the threshold of all kinds that have any, raised until its own examples reach the precision; a kind
+without any gets no added spans.
 
 Defined results
 * A NULL text is empty. Offsets count code points, ends are exclusive.
@@ -22,11 +26,12 @@ Defined results
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Any
-from zlib import crc32
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
@@ -42,6 +47,7 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
 TREES, DEPTH = 20, 3
 MIN_PRECISION, MIN_EXAMPLES = 0.98, 30
+_BINS = 1_000
 _AT_ONCE = 500
 
 Span = tuple[int, int]
@@ -241,7 +247,7 @@ def tree_nodes(root: Any) -> list[tuple[int, float, int, int, float]]:
 
 
 def labelled_candidates(texts: DataFrame) -> DataFrame:
-    """kind, features, label and part (0 to 4) of the candidates of ``texts`` (text) with evidence."""
+    """kind, features and label of the candidates of ``texts`` (text) with evidence."""
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,14 +257,14 @@ def labelled_candidates(texts: DataFrame) -> DataFrame:
                 for start, kind, end in candidates(text):
                     label = evidence(text, base, start, kind, end)
                     if label is not None:
-                        rows.append((kind, features(text, start, kind, end), label, (crc32(text.encode()) + start) % 5))
-            columns = zip(*rows, strict=True) if rows else [[]] * 4
-            kinds = (pa.int32(), pa.list_(pa.float64()), pa.float64(), pa.int32())
+                        rows.append((kind, features(text, start, kind, end), label))
+            columns = zip(*rows, strict=True) if rows else [[]] * 3
+            kinds = (pa.int32(), pa.list_(pa.float64()), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["kind", "features", "label", "part"]
+                [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["kind", "features", "label"]
             )
 
-    return texts.mapInArrow(propose, "kind int, features array<double>, label double, part int")
+    return texts.mapInArrow(propose, "kind int, features array<double>, label double")
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Trees:
@@ -267,10 +273,10 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Trees:
     if not n:
         return Trees()
     parts = 1_000_000
-    share = min(parts, -(-sample * parts // n))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share).select(whole_text().alias("text"))
-    rows = stored(labelled_candidates(chosen), "pii-candidates").repartition(2, "features")
-    learned = rows.where("part > 0")
+    share = min(parts // 2, -(-sample * parts // n))
+    mark = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share
+    texts = docs.select(whole_text().alias("text"), mark.alias("chosen"))
+    learned = stored(labelled_candidates(texts.where("chosen").select("text")), "pii-candidates").repartition(2, "features")
     if learned.select("label").distinct().count() < 2:
         return Trees()
     points = learned.select(array_to_vector("features").alias("features"), "label")
@@ -278,19 +284,67 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Trees:
     trees = Trees(
         [tree_nodes(tree._call_java("rootNode")) for tree in model.trees], [float(w) for w in model.treeWeights]
     )
-    seen = [(r["kind"], trees.score(r["features"]), r["label"]) for r in rows.where("part = 0").drop("part").toLocalIterator()]
-    trees.thresholds = [calibrated([(s, y) for k, s, y in seen if k == kind]) for kind in range(len(KINDS))]
+    counts = histogram(texts.where("NOT chosen").select("text"), trees)
+    trees.thresholds = thresholds([tuple(row) for row in counts.collect()])
     return trees
 
 
+def histogram(texts: DataFrame, trees: Trees) -> DataFrame:
+    """kind, score (in steps of 1 / ``_BINS``), label and n of the candidates of ``texts`` (text) with evidence."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["kind", "score", "label", "n"]
+        counts: Counter[tuple[int, int, float]] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                whole = text.as_py()
+                base = base_spans(whole)
+                for start, kind, end in candidates(whole):
+                    label = evidence(whole, base, start, kind, end)
+                    if label is not None:
+                        counts[kind, math.floor(trees.score(features(whole, start, kind, end)) * _BINS), label] += 1
+        if counts:
+            columns = zip(*[(kind, step / _BINS, label, n) for (kind, step, label), n in counts.items()], strict=True)
+            kinds = (pa.int32(), pa.float64(), pa.float64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    counted = texts.mapInArrow(count, "kind int, score double, label double, n long")
+    return counted.groupBy("kind", "score", "label").agg(F.sum("n").alias("n"))
+
+
+def thresholds(counts: list[tuple[int, float, float, int]]) -> list[float]:
+    """The threshold of each kind, from (kind, score, label, n)."""
+    # A kind without personal data adds nothing and says nothing of the others.
+    kinds = {kind for kind, _, label, n in counts if label and n}
+    together = lowest_score([(score, label, n) for kind, score, label, n in counts if kind in kinds])
+    found = []
+    for number in range(len(KINDS)):
+        own = [(score, label, n) for kind, score, label, n in counts if kind == number]
+        positive = sum(n for _, label, n in own if label)
+        if positive >= MIN_EXAMPLES:
+            found.append(lowest_score(own))
+        elif positive:
+            above = [(score, label, n) for score, label, n in own if score >= together]
+            right, seen = sum(label * n for _, label, n in above), sum(n for _, _, n in above)
+            found.append(together if right >= MIN_PRECISION * seen else lowest_score(above, 1))
+        else:
+            found.append(float("inf"))
+    return found
+
+
 def calibrated(scored: list[tuple[float, float]]) -> float:
     """The lowest score from which on enough candidates, and a high enough share of them, are personal data."""
-    best, right = float("inf"), 0.0
-    ordered = sorted(scored, reverse=True)
-    for n, (score, label) in enumerate(ordered, 1):
-        right += label
-        last = n == len(ordered) or ordered[n][0] < score
-        if last and n >= MIN_EXAMPLES and right >= MIN_PRECISION * n:
+    return lowest_score([(score, label, 1) for score, label in scored])
+
+
+def lowest_score(counts: list[tuple[float, float, int]], least: int = MIN_EXAMPLES) -> float:
+    """The same of (score, label, n)."""
+    best, right, seen = float("inf"), 0.0, 0
+    ordered = sorted(counts, reverse=True)
+    for k, (score, label, n) in enumerate(ordered, 1):
+        right, seen = right + label * n, seen + n
+        last = k == len(ordered) or ordered[k][0] < score
+        if last and seen >= least and right >= MIN_PRECISION * seen:
             best = score
     return best
 

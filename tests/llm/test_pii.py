@@ -124,3 +124,16 @@ def test_evidence():
     assert label("so (212) 555-1234", "(212) 555-1234", 3) == 1.0
     assert label("so 212-555-1234", "212-555-1234", 3) is None
     assert label("order 212-555-1234", "212-555-1234", 3) == 0.0
+
+
+def test_thresholds_of_rare_kinds():
+    many = [(3, 1.5, 1.0, 100), (3, 0.5, 1.0, 100), (3, -1.0, 0.0, 100)]
+    inf = float("inf")
+    assert pii.thresholds(many) == [inf, inf, inf, 0.5]
+    assert pii.thresholds([*many, (0, 1.0, 1.0, 4)]) == [0.5, inf, inf, 0.5]
+    assert pii.thresholds([*many, (0, 1.0, 1.0, 4), (0, 0.7, 0.0, 1), (1, 2.0, 0.0, 9)])[:2] == [1.0, inf]
+
+
+def test_thresholds_cover_the_whole_table(spark):
+    trees = pii.train(written_out_docs(spark, 600), sample=100)
+    assert trees.thresholds[0] < float("inf") and trees.thresholds[3] < float("inf")
