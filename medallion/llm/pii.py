@@ -20,8 +20,8 @@ without any gets no added spans.
 Defined results
 * A NULL text is empty. Offsets count code points, ends are exclusive.
 * Without a sample, or with examples of one sort only, there is no model, and base spans are the result.
-* Rows are judged one by one: repeated rows get the same result, NULL ids are as good as others. Only the sample
-  depends on the id. Other columns are kept out of sight, or kept as they are when texts are redacted.
+* Rows are judged one by one: repeated rows get the same result, ids play no part. The sample is chosen by the text,
+  and equal texts are one text of it. Other columns are kept out of sight, or kept as they are when texts are redacted.
 """
 
 from __future__ import annotations
@@ -267,16 +267,20 @@ def labelled_candidates(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(propose, "kind int, features array<double>, label double")
 
 
+def sampled(texts: DataFrame) -> DataFrame:
+    """The chosen ones of ``texts`` (text, chosen), equal texts once; copies are merged before the shuffle."""
+    return texts.where("chosen").groupBy("text").agg(F.lit(1).alias("one")).select("text")
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Trees and thresholds from at most about ``sample`` texts, chosen by a hash of their id."""
+    """Trees and thresholds from at most about ``sample`` texts, chosen by their hash, each once."""
     n = docs.count()
     if not n:
         return Trees()
     parts = 1_000_000
     share = min(parts // 2, -(-sample * parts // n))
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share
-    texts = docs.select(whole_text().alias("text"), mark.alias("chosen"))
-    learned = stored(labelled_candidates(texts.where("chosen").select("text")), "pii-candidates").repartition(2, "features")
+    texts = docs.select(whole_text().alias("text")).withColumn("chosen", F.pmod(F.xxhash64("text"), F.lit(parts)) < share)
+    learned = stored(labelled_candidates(sampled(texts)), "pii-candidates").repartition(2, "features")
     if learned.select("label").distinct().count() < 2:
         return Trees()
     points = learned.select(array_to_vector("features").alias("features"), "label")

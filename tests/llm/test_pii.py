@@ -137,3 +137,13 @@ def test_thresholds_of_rare_kinds():
 def test_thresholds_cover_the_whole_table(spark):
     trees = pii.train(written_out_docs(spark, 600), sample=100)
     assert trees.thresholds[0] < float("inf") and trees.thresholds[3] < float("inf")
+
+
+def test_sample_is_bounded_without_ids(spark, monkeypatch):
+    seen = []
+    rows = pii.labelled_candidates
+    monkeypatch.setattr(pii, "labelled_candidates", lambda texts: seen.append(texts.count()) or rows(texts))
+    docs = written_out_docs(spark, 600).selectExpr("CAST(NULL AS LONG) AS doc_id", "text")
+    same = docs.limit(1).crossJoin(spark.range(600)).select("doc_id", "text")
+    pii.train(docs.unionByName(same), sample=60)
+    assert 0 < seen[0] <= 120
