@@ -84,6 +84,31 @@ def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: s
     return whole.join(dropped, ["id", "digest"], "left_anti").select("doc.*")
 
 
+def one_row_of_each_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of every group of equal texts, its columns as they are: the one with the smallest id. NULL ids come last;
+    of rows that share an id, or have none, the one first stored stays."""
+    rows = numbered(docs, "exact-rows")
+    key = F.sha2(normalised(f"doc.`{text_column}`"), 256)
+    marks = rows.select(key.alias("key"), F.col(f"doc.`{id_column}`").alias("id"), "row")
+    return only_rows(rows, first_rows(marks))
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """doc, its row as a struct, and row, a number of its own; stored, so that a task that runs again gives the same."""
+    return stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), name)
+
+
+def first_rows(marks: DataFrame) -> DataFrame:
+    """The number of the first row of every key, from ``marks`` (key, id, row). Rows of one task are merged before the
+    shuffle, so a hot key is one row a task."""
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row")).alias("first")
+    return marks.groupBy("key").agg(first).select("first.row")
+
+
+def only_rows(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    return rows.join(chosen, "row", "left_semi").select("doc.*")
+
+
 EXACT_SQL = """
 WITH texts AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS body FROM documents

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from medallion.llm.chunks import slices
 from medallion.llm.common import stored, whole_text
 from medallion.llm.components import components
+from medallion.llm.exact import first_rows, numbered, only_rows
 
 WORDS = 3
 MAX_BITS = 2
@@ -163,3 +164,19 @@ def keep_one_per_group(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_
     dropped = groups.groupBy(F.col("doc_id").alias("id")).agg(stays.alias("stays")).where("stays = 0").select("id")
     whole = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"))
     return whole.join(dropped, "id", "left_anti").select("doc.*")
+
+
+def one_row_of_each_group(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of every group of near copies, its columns as they are: the one with the smallest id. NULL ids come last;
+    of rows that share an id, or have none, the one first stored stays."""
+    rows = numbered(docs, "simhash-rows")
+    # Rows take the place of ids here: each has a group of its own.
+    marked = stored(fingerprints(rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), words), "row-fingerprints")
+    classes = marked.select(F.col("fingerprint").alias("mark")).distinct()
+    roots = components(segment_links(stored(classes, "marks"), max_bits, CROWD))
+    ids = rows.select("row", F.col("doc.doc_id").alias("id"))
+    grouped = marked.select(F.col("doc_id").alias("row"), "fingerprint").join(
+        roots.select(F.col("node").alias("fingerprint"), "root"), "fingerprint", "left"
+    )
+    marks = grouped.select("row", F.coalesce("root", "fingerprint").alias("key")).join(ids, "row")
+    return only_rows(rows, first_rows(marks))

@@ -129,3 +129,11 @@ def test_url_edge_cases(spark):
     assert urls.judge_urls(pages, rules.limit(0)).first()["verdict"] == "allow"
     both = spark.createDataFrame([("net", None, "allow"), ("NET", "", "block")], "host string, path string, verdict string")
     assert urls.judge_urls(pages, both).first()["verdict"] == "block"
+
+
+def test_one_row_of_equal_texts_stays(spark):
+    rows = [(None, "a b"), (3, "a  b"), (2, "a b"), (2, "a\tb"), (None, "c"), (None, "c"), (5, "d"), (5, "e"), (None, None), (7, "")]
+    docs = spark.createDataFrame([(*row, k) for k, row in enumerate(rows)], "doc_id long, text string, row long")
+    kept = exact.one_row_of_each_text(docs).collect()
+    assert [*kept[0].asDict()] == ["doc_id", "text", "row"]
+    assert sorted((r["doc_id"] or 0, " ".join((r["text"] or "").split())) for r in kept) == [(0, "c"), (2, "a b"), (5, "d"), (5, "e"), (7, "")]

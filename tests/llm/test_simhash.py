@@ -99,3 +99,10 @@ def test_components_of_a_long_path(spark):
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert len({found[k] for k in range(201)}) == 1 and found[1000] == found[1001] != found[0]
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_row_of_a_group_stays(spark):
+    rows = [(None, "one two three four"), (3, "one two three four"), (3, "one two three four"), (None, "x y z"), (None, "X Y z"), (9, "quite another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.one_row_of_each_group(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["text"].lower()) for r in kept) == [(0, "x y z"), (3, "one two three four"), (9, "quite another text")]
