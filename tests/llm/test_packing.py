@@ -98,3 +98,13 @@ def test_pieces_are_cut_from_the_end():
     assert [(start, len(ids) // 4) for start, ids in packing.cut(whole, 4)] == [(0, 2), (2, 4), (6, 4)]
     assert [(start, len(ids) // 4) for start, ids in packing.cut(whole, 5)] == [(0, 5), (5, 5)]
     assert [(start, len(ids) // 4) for start, ids in packing.cut(whole, 10)] == [(0, 10)]
+
+
+def test_pipeline_stage_holds_the_ids(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "some words to pack"), (2, "others")], "doc_id long, text string")
+    packed = corpus_pipeline.best_fit_packing(spark, docs, "").collect()
+    # Ids are little-endian 32-bit numbers; the last one is the end id.
+    found = {r["doc_id"]: [int.from_bytes(r["ids"][k : k + 4], "little") for k in range(0, len(r["ids"]), 4)] for r in packed}
+    assert found == {1: ids_of("some words to pack"), 2: ids_of("others")}
