@@ -130,7 +130,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of what the generators propose; spans may overlap."""
-    return [(m.start(), kind, m.end()) for kind, form in _GENERATORS for m in form.finditer(text) if kind or m[0].count(" ") < 8]
+    # Both email forms hold one of these.
+    at = any(mark in text for mark in ("@", "(at)", "[at]"))
+    forms = [(kind, form) for kind, form in _GENERATORS if kind or at]
+    return [(m.start(), kind, m.end()) for kind, form in forms for m in form.finditer(text) if kind or m[0].count(" ") < 8]
 
 
 def normal_email(span: str) -> str:
