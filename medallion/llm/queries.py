@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, urls
+from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, trie, urls
 from medallion.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +58,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = (op1_best_fit_packing, op2_embedding_near_dedup, op3_simhash_near_dedup, op4_byte_bpe, op5_exact_dedup, op6_chat_formatting, op7_language_id, op8_url_filters, op9_personal_data, op10_substring_dedup)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.regrouped(trie.turn_lists(table(spark, sf_dir, "conversations"))))
+
+
+QUERIES = (
+    op1_best_fit_packing,
+    op2_embedding_near_dedup,
+    op3_simhash_near_dedup,
+    op4_byte_bpe,
+    op5_exact_dedup,
+    op6_chat_formatting,
+    op7_language_id,
+    op8_url_filters,
+    op9_personal_data,
+    op10_substring_dedup,
+    op11_prefix_trie,
+)
 
 
 def _configured(function: Query) -> Query:
@@ -76,4 +92,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_formatting": chat.CHAT_SQL,
         "op8_url_filters": urls.URLS_SQL,
         "op10_substring_dedup": substrings.SUBSTRINGS_SQL,
+        "op11_prefix_trie": trie.TRIE_SQL,
     }
