@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, trie, urls
+from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, trie, urls, whitening
 from medallion.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(trie.regrouped(trie.turn_lists(table(spark, sf_dir, "conversations"))))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = (
     op1_best_fit_packing,
     op2_embedding_near_dedup,
@@ -74,6 +78,7 @@ QUERIES = (
     op9_personal_data,
     op10_substring_dedup,
     op11_prefix_trie,
+    op12_embedding_whitening,
 )
 
 
