@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, trie, urls, whitening
+from medallion.llm import bpe, chat, embeddings, exact, language, packing, pii, simhash, substrings, toxicity, trie, urls, whitening
 from medallion.llm.common import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = (
     op1_best_fit_packing,
     op2_embedding_near_dedup,
@@ -79,6 +83,7 @@ QUERIES = (
     op10_substring_dedup,
     op11_prefix_trie,
     op12_embedding_whitening,
+    op13_toxicity,
 )
 
 
