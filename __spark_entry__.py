@@ -33,13 +33,14 @@ from medallion.operators.joins import MAX_BROADCAST_BYTES, lookup_join, salted_j
 from medallion.operators.marts import MARTS, MartSpec, aggregate, build_mart, stamped
 from medallion.plans.bronze import ingest_files, stream_files
 from medallion.plans.gold import refresh_mart
-from medallion.plans.lake import Lake, read_facts
+from medallion.plans.lake import Lake, merge_days, read_facts, register_lake
 from medallion.plans.silver import refresh_silver
 from medallion.plans.stream_silver import rebuild_all
 from medallion.session import configure, scratch_path
-from medallion.sources import files, samples
+from medallion.sources import files, samples, versions
 from medallion.sources.reference import read_reference, replace_reference
 from medallion.sources.tables import read_table, register_views, write_once
+from medallion.sources.versions import file_system
 from medallion.streaming import envelope, layers
 from medallion.streaming import queries as streams
 
@@ -325,9 +326,8 @@ def empty_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
-@query
-def ingest_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as files, loaded by several jobs and calls of one batch id and by two streams: all facts of all files."""
+def lake_in_parts(spark: SparkSession, sf_dir: str) -> Lake:
+    """Events as files, loaded by several jobs and calls of one batch id and by two streams."""
     root, lake = scratch_path(spark, "raw"), empty_lake(spark, sf_dir)
     raw = samples.telemetry(spark, sf_dir)
     write_raw_files(spark, raw.where("id % 2 = 0"), f"{root}/one")
@@ -337,9 +337,105 @@ def ingest_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for rest in (0, 1):
         write_raw_files(spark, raw.where(f"id % 8 = {4 * rest + 3}"), f"{root}/stream{rest}")
         stream_files(spark, f"{root}/stream{rest}", lake, f"{root}/cp{rest}").awaitTermination()
-    return read_facts(spark, lake).groupBy(file_part().alias("part"), "event_date").agg(
-        F.count("*").alias("n_facts"), F.sum("source_id").alias("sum_id"), F.countDistinct("_source_file").alias("n_files")
-    ).drop("n_files")
+    return lake
+
+
+def facts_by_part(facts_read: DataFrame) -> DataFrame:
+    return facts_read.groupBy(file_part().alias("part"), "event_date").agg(
+        F.count("*").alias("n_facts"), F.sum("source_id").alias("sum_id")
+    )
+
+
+@query
+def ingest_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All facts of all files, whichever job, call or stream loaded them."""
+    return facts_by_part(read_facts(spark, lake_in_parts(spark, sf_dir)))
+
+
+@query
+def facts_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same facts after merging, with as many folders as a day then has; a reader of the version before still
+    sees its rows."""
+    lake = lake_in_parts(spark, sf_dir)
+    before = read_facts(spark, lake)
+    merge_days(spark, lake)
+    after = read_facts(spark, lake)
+    folder = F.regexp_extract(F.input_file_name(), "_attempt=([^/]+)/", 1)
+    folders = after.select("event_date", folder.alias("folder")).groupBy("event_date").agg(F.countDistinct("folder").alias("n_folders"))
+    kept = before.groupBy("event_date").agg(F.count("*").alias("n_before"))
+    return facts_by_part(after).join(folders, "event_date").join(kept, "event_date")
+
+
+@query
+def versions_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table is replaced twice while it is read, and two writers want one version: what the readers see."""
+    path = scratch_path(spark, "versions")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+
+    def counted(column: str) -> DataFrame:
+        return orders.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n_orders"))
+
+    versions.replace_rows(counted("o_orderstatus"), path)
+    with versions.pinned(spark, path) as first:
+        for column in ("o_orderpriority", "o_orderstatus", "o_orderpriority"):
+            versions.replace_rows(counted(column).withColumn("value", F.col("value").cast("string")), path)
+        newest = versions.latest(spark, path)
+        entry = versions.write_attempt(counted("o_custkey").withColumn("value", F.lit("lost")), path)
+        late = versions.Version(newest.number, (entry,), newest.schema)
+        seen = {"pinned": first, "newest": newest, "late writer": newest if not versions.publish(spark, path, late) else late}
+        parts = [versions.rows_of(spark, path, version).withColumn("reader", F.lit(reader)) for reader, version in seen.items()]
+        return write_once(parts[0].unionByName(parts[1]).unionByName(parts[2]), scratch_path(spark, "seen"))
+
+
+def file_of(spark: SparkSession, folder: str) -> str:
+    """A parquet file of a folder."""
+    return files.list_files(spark, folder).orderBy("path").first()["place"]
+
+
+def damage_pages(spark: SparkSession, place: str) -> None:
+    """Overwrite the pages of a parquet file; its footer stays sound."""
+    jvm = spark._jvm
+    store, path = file_system(spark, place)
+    stream = store.open(path)
+    content = bytearray(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    stream.close()
+    footer = int.from_bytes(content[-8:-4], "little") + 8
+    content[4 : len(content) - footer] = b"\xff" * (len(content) - footer - 4)
+    out = store.create(path, True)
+    out.write(content)
+    out.close()
+
+
+def load_outcomes(spark: SparkSession, lake: Lake) -> DataFrame:
+    loads = read_table(spark, lake.audit("file_loads"), schemas.FILE_LOADS)
+    return loads.withColumnRenamed("file_key", "_source_file").select(file_part().alias("part"), "load_status", "fact_rows")
+
+
+@query
+def bad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four files, one a job or all in one, of which the first has a sound footer and damaged pages: it fails alone."""
+    raw, outcomes = samples.telemetry(spark, sf_dir), []
+    for per_job in (1, 4):
+        root, lake = scratch_path(spark, "raw"), empty_lake(spark, sf_dir)
+        write_raw_files(spark, raw, root, parts=4)
+        damage_pages(spark, file_of(spark, versions.escaped(f"{root}/day=0 [a] {{b}}")))
+        ingest_files(spark, root, lake, "batch", FIXED_NOW, files_per_job=per_job)
+        facts_read = read_facts(spark, lake).groupBy(file_part().alias("part")).agg(F.count("*").alias("n_facts"))
+        outcomes.append(load_outcomes(spark, lake).join(facts_read, "part", "left").withColumn("per_job", F.lit(per_job)))
+    return outcomes[0].unionByName(outcomes[1])
+
+
+@query
+def bad_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three files, one of which holds an array where the contract has a number: it fails alone."""
+    root, lake = scratch_path(spark, "raw"), empty_lake(spark, sf_dir)
+    raw = samples.telemetry(spark, sf_dir)
+    write_raw_files(spark, raw.where("id % 3 <> 1"), root)
+    bad = raw.where("id % 3 = 1").withColumn("battery_level", F.array(F.lit(1)))
+    bad.coalesce(1).write.parquet(f"{root}/bad/day=1")
+    ingest_files(spark, root, lake, "batch", FIXED_NOW)
+    facts_read = read_facts(spark, lake).groupBy(file_part().alias("part")).agg(F.count("*").alias("n_facts"))
+    return load_outcomes(spark, lake).where("NOT (part = '1' AND fact_rows = 0 AND load_status = 'SUCCESS')").join(facts_read, "part", "left")
 
 
 @query
@@ -609,6 +705,30 @@ def sql_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def sql_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preview of a lake's views by SQL with a limit, the latest events first."""
+    lake = loaded_lake(spark, sf_dir)
+    register_lake(spark, lake)
+    return spark.sql(
+        "SELECT s.source_id, s.event_date, d.raw_value AS battery_state FROM silver_telemetry s "
+        "JOIN dim_battery_state d ON d.raw_value = s.battery_state ORDER BY s.source_id DESC LIMIT 20"
+    )
+
+
+@query
+def processing_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column of the processing time: UTC text of microseconds, one moment a query, not in the future."""
+    stamped_rows = spark.read.parquet(f"{sf_dir}/orders.parquet").withColumn("at", streams.now_text())
+    moment = F.to_timestamp("at")
+    return stamped_rows.groupBy("o_orderstatus").agg(
+        F.count("*").alias("n_orders"),
+        F.count_if(F.col("at").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}(Z|[+]00:00)$")).alias("n_texts"),
+        F.count_if((moment <= F.current_timestamp()) & (moment > F.current_timestamp() - F.expr("INTERVAL 1 DAY"))).alias("n_recent"),
+        F.countDistinct("at").alias("n_moments"),
+    )
+
+
 # Streams ----------------------------------------------------------------------------------------------------
 
 

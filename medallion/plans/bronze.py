@@ -19,7 +19,7 @@ from medallion.operators.dims import (
     only_stable_ids,
 )
 from medallion.operators.facts import build_fact, lacks_keys, load_lookups
-from medallion.plans.lake import ATTEMPT, BRONZE_LEDGER, FACT_PARTITIONS, Lake, new_attempt, second_text
+from medallion.plans.lake import ATTEMPT, BRONZE_LEDGER, Lake, new_attempt, second_text, write_rows
 from medallion.schemas import CATEGORY_DIM, DEVICE_DIM, RAW_TELEMETRY
 from medallion.session import scratch_path
 from medallion.sources.files import (
@@ -31,8 +31,9 @@ from medallion.sources.files import (
     scan_files,
     stamp_batch,
     stamp_table_source,
+    unreadable,
 )
-from medallion.sources.tables import append, balanced, optional_table, read_table, write_once
+from medallion.sources.tables import append, optional_table, read_table, write_once
 from medallion.streaming.queries import run_stream
 
 LOADER = "raw_to_bronze"
@@ -86,7 +87,7 @@ def write_facts(spark: SparkSession, raw: DataFrame, lake: Lake, attempt: str) -
     devices = read_table(spark, lake.devices, DEVICE_DIM)
     lookups = load_lookups(read_table(spark, lake.dims, CATEGORY_DIM), None if only_stable_ids(devices) else devices)
     fact, seen = audit.counting(build_fact(raw, lookups))
-    append(balanced(fact.withColumn(ATTEMPT, F.lit(attempt)), *FACT_PARTITIONS), lake.fact, FACT_PARTITIONS)
+    write_rows(fact, lake.fact, attempt)
     return audit.counted(seen, lambda: 0)
 
 
@@ -170,35 +171,53 @@ def load_files(
     now: dt.datetime | None = None,
     random_ids: bool = False,
 ) -> BronzeResult:
-    """One job's files: a bounded list of path, etag, size, place and part_index."""
+    """One job's files: a bounded list of path, etag, size, place and part_index.
+
+    A file whose pages can't be read makes a scan of all files fail. Then the bad ones are searched by halving the
+    list, recorded, and the rest is loaded. If every file can be read, it was not the files: the error is raised.
+    """
     started = now or dt.datetime.now(dt.timezone.utc)
-    loaded_at, attempt = second_text(started), new_attempt()
     outcomes = {file["path"]: dict(file, batch_id=batch_id) for file in files}
+    failures: dict[str, str] = {}
+    while True:
+        left = [file for file in files if file["path"] not in failures]
+        try:
+            loaded, counts, refused = _load_readable(spark, left, outcomes, lake, batch_id, second_text(started), random_ids)
+            break
+        except Exception as error:
+            bad = unreadable(spark, {file["path"]: file["place"] for file in left}, RAW_TELEMETRY)
+            if not bad:
+                _record_loads(spark, outcomes, dict.fromkeys(outcomes, audit.error_text(error)), lake, started)
+                raise
+            failures |= bad
+    failures |= refused
+    _record_loads(spark, outcomes, failures, lake, started)
+    return BronzeResult(batch_id, loaded, *counts, tuple(sorted(failures)))
+
+
+def _load_readable(
+    spark: SparkSession, files: list[dict], outcomes: dict[str, dict], lake: Lake, batch_id: str, loaded_at: str, random_ids: bool
+) -> tuple[int, tuple[int, int, int], dict[str, str]]:
+    """One attempt: how many files were loaded, their facts, new categories and devices, and what is wrong with the
+    others."""
+    attempt, counts = new_attempt(), (0, 0, 0)
     scan = scan_files(spark, {file["path"]: file["place"] for file in files}, RAW_TELEMETRY)
     failures = dict(scan.errors)
-    n_facts = n_categories = n_devices = 0
-    try:
-        if scan.rows is not None:
-            numbers = spark.createDataFrame([(f["path"], f["part_index"]) for f in files], "_source_file string, _part_index long")
-            raw = stamp_batch(scan.rows.join(F.broadcast(numbers), "_source_file"), batch_id, loaded_at)
-            failures |= _profile(raw, outcomes)
-            if failures:
-                good = ~F.col("_source_file").isin(*failures)
-                bad = raw.where(~good & lacks_keys()).withColumn(ATTEMPT, F.lit(attempt))
-                append(bad.select(*REJECTED.names), lake.rejects)
-                raw = raw.where(good)
-            if len(failures) < len(files):
-                n_facts, n_categories, n_devices = ingest_frame(
-                    spark, raw.drop("_lost"), lake, loaded_at, attempt, random_ids
-                )
-    except Exception as error:
-        _record_loads(spark, outcomes, dict.fromkeys(outcomes, audit.error_text(error)), lake, started)
-        raise
-    loaded = [row for path, row in outcomes.items() if path not in failures]
+    if scan.rows is not None:
+        numbers = spark.createDataFrame([(f["path"], f["part_index"]) for f in files], "_source_file string, _part_index long")
+        raw = stamp_batch(scan.rows.join(F.broadcast(numbers), "_source_file"), batch_id, loaded_at)
+        failures |= _profile(raw, outcomes)
+        if failures:
+            good = ~F.col("_source_file").isin(*failures)
+            bad = raw.where(~good & lacks_keys()).withColumn(ATTEMPT, F.lit(attempt))
+            append(bad.select(*REJECTED.names), lake.rejects)
+            raw = raw.where(good)
+        if len(failures) < len(files):
+            counts = ingest_frame(spark, raw.drop("_lost"), lake, loaded_at, attempt, random_ids)
+    loaded = [outcomes[file["path"]] for file in files if file["path"] not in failures]
     if loaded:
         commit(spark, lake, attempt, loaded_at, loaded)
-    _record_loads(spark, outcomes, failures, lake, started)
-    return BronzeResult(batch_id, len(loaded), n_facts, n_categories, n_devices, tuple(sorted(failures)))
+    return len(loaded), counts, failures
 
 
 def _profile(raw: DataFrame, outcomes: dict[str, dict]) -> dict[str, str]:

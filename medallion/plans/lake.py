@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion import schemas
 from medallion.operators.dims import CATEGORY_DIMS, dimension_table
 from medallion.operators.marts import MARTS
-from medallion.sources.tables import optional_table, table_or_empty
+from medallion.sources import versions
+from medallion.sources.tables import balanced, optional_table, table_or_empty
+from medallion.sources.versions import ATTEMPT
 
-# Every attempt to write facts or silver rows has folders of its own, named by a new id. What counts are the folders
-# whose id stands in a ledger: an attempt that was cut short is never read, and no attempt replaces another's rows.
-ATTEMPT = "_attempt"
-FACT_PARTITIONS = (ATTEMPT, "event_date")
-SILVER_PARTITIONS = (ATTEMPT, "event_date")
+# Every attempt to write facts or silver rows has folders of its own, which the next version of the table names. They
+# count when the attempt stands in a ledger: one that was cut short is never read, and none replaces another's rows.
+DAY = "event_date"
 
 
 def with_attempt(schema: T.StructType) -> T.StructType:
@@ -80,14 +82,40 @@ class Lake:
         return self.path(f"audit/{name}")
 
 
+def _finished(spark: SparkSession, ledger: str, attempts: Sequence[str]) -> set[str]:
+    """Those of some attempts, no more than there were since rows were last merged, that stand in a ledger."""
+    if not attempts:
+        return set()
+    done = table_or_empty(spark, ledger, T.StructType([T.StructField(ATTEMPT, T.StringType())]))
+    return {row[0] for row in done.where(F.col(ATTEMPT).isin(*attempts)).distinct().collect()}
+
+
 def committed(spark: SparkSession, path: str, schema: T.StructType, ledger: str) -> DataFrame | None:
     """The rows of a table that finished attempts wrote; None when there is no table."""
-    rows = optional_table(spark, path, with_attempt(schema))
-    if rows is None:
+    version = versions.latest(spark, path)
+    if version is None:
         return None
-    done = table_or_empty(spark, ledger, T.StructType([T.StructField(ATTEMPT, T.StringType())]))
-    # Attempts are folders: only those that match are opened.
-    return rows.join(done.select(ATTEMPT).distinct(), ATTEMPT, "left_semi").select(*schema.names)
+    done = _finished(spark, ledger, [entry.attempt for entry in version.entries if not entry.final])
+    folders = [folder for entry in version.entries if entry.final or entry.attempt in done for folder in entry.folders]
+    return versions.rows_of(spark, path, version, schema, folders)
+
+
+def write_rows(df: DataFrame, path: str, attempt: str) -> None:
+    """The rows of one attempt, by day. They count when the attempt is entered into the table's ledger."""
+    entry = versions.write_attempt(balanced(df, DAY), path, [DAY], attempt, final=False)
+    versions.add_entry(df.sparkSession, path, entry, df.schema)
+
+
+def merge_days(spark: SparkSession, lake: Lake, at_once: int = 64) -> dict[str, int]:
+    """Merge the folders that attempts left, so that facts and silver rows have one folder a day; returns how many
+    days were merged in each. Files get the size that Spark's advisory partition size names. May run beside loaders
+    and readers."""
+    merged = {}
+    for path, schema, ledger in ((lake.fact, schemas.FACT, lake.ledger), (lake.silver, schemas.SILVER, lake.silver_ledger)):
+        merged[path] = versions.merge_folders(
+            spark, path, schema, [DAY], lambda rows: balanced(rows, DAY), lambda attempts, ledger=ledger: _finished(spark, ledger, attempts), at_once
+        )
+    return merged
 
 
 def read_facts(spark: SparkSession, lake: Lake) -> DataFrame | None:

@@ -17,18 +17,18 @@ from medallion.plans.lake import (
     ATTEMPT,
     BRONZE_LEDGER,
     SILVER_LEDGER,
-    SILVER_PARTITIONS,
     Lake,
     new_attempt,
     read_facts,
     read_silver_rows,
     second_text,
+    write_rows,
 )
 from medallion.schemas import CATEGORY_DIM, DEVICE_DIM, FACT, LAYER_RUNS
 from medallion.session import scratch_path
 from medallion.sources.files import FILES_PER_JOB
 from medallion.sources.reference import read_reference
-from medallion.sources.tables import append, balanced, nullable, optional_table, read_table, table_or_empty, write_once
+from medallion.sources.tables import append, nullable, optional_table, read_table, table_or_empty, write_once
 
 LOADER = "bronze_to_silver"
 
@@ -145,11 +145,12 @@ def _take_in(
     reference = read_reference(spark, lake.reference)
     rows = build_silver(fresh, decoders, reference, batch_id, built_at, keys_from=selected)
     rows_out, n_out = audit.counting(rows)
-    append(balanced(rows_out.withColumn(ATTEMPT, F.lit(attempt)), *SILVER_PARTITIONS), lake.silver, SILVER_PARTITIONS)
+    write_rows(rows_out, lake.silver, attempt)
     entry = {"batch_id": F.lit(batch_id), ATTEMPT: F.lit(attempt)}
-    if files is None:
+    if files is None and audit.counted(n_out, lambda: 0):
         files = spark.range(1).select(F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("loaded_at"))
-    append(files.withColumns(entry).select(*SILVER_LEDGER.names).coalesce(1), lake.silver_ledger)
+    if files is not None:  # else late rows were looked for and none found: there is nothing to enter
+        append(files.withColumns(entry).select(*SILVER_LEDGER.names).coalesce(1), lake.silver_ledger)
     return SilverResult(
         mode,
         audit.counted(n_selected, selected.count),

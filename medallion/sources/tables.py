@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MISSING = "PATH_NOT_FOUND"
-
+from medallion.sources import versions
+from medallion.sources.versions import nullable
 
-def nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+_MISSING = "PATH_NOT_FOUND"
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A table by path. With a schema no footer is opened to plan the scan, and text keys stay text."""
+    """A table by path: its newest version if it has a log, or else the folder. With a schema no footer is opened to
+    plan the scan, and text keys stay text."""
+    version = versions.latest(spark, path)
+    if version is not None:
+        return versions.rows_of(spark, path, version, schema)
     reader = spark.read if schema is None else spark.read.schema(nullable(schema))
     df = reader.parquet(path)
     # Partition columns come last in a parquet folder; put them back in contract order.
@@ -32,7 +34,7 @@ def optional_table(spark: SparkSession, path: str, schema: T.StructType | None =
     except AnalysisException as error:
         if error.getCondition() != _MISSING:
             raise
-    return read_table(spark, path, schema) if recover_table(spark, path) else None
+    return None
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -56,48 +58,10 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-STAGING, RETIRED = "__staging_", "__retired_"
-
-
-def _files(spark: SparkSession, path: str):
-    """The file system and the path as it knows it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
-    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
-
-
-def recover_table(spark: SparkSession, path: str) -> bool:
-    """Bring back the table that an interrupted ``replace_table`` had set aside; False when there is nothing to do."""
-    files, target = _files(spark, path)
-    parent = target.getParent()
-    if files.exists(target) or parent is None or not files.exists(parent):
-        return False
-    kept = [s.getPath() for s in files.listStatus(parent) if s.getPath().getName().startswith(f"{target.getName()}{RETIRED}")]
-    return len(kept) == 1 and files.rename(kept[0], target)
-
-
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh: write beside the table, then swap folders. A failed run leaves the old table in place,
-    and ``df`` may read the table it replaces. If the run ends between the two renames, the next one that reads or
-    replaces the table brings the old one back."""
-    spark = df.sparkSession
-    recover_table(spark, path)
-    files, target = _files(spark, path)
-    run = uuid.uuid4().hex
-    staging, retired = (target.suffix(f"{kind}{run}") for kind in (STAGING, RETIRED))
-    try:
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(staging.toString())
-    except Exception:
-        files.delete(staging, True)
-        raise
-    had_table = files.exists(target)
-    if had_table and not files.rename(target, retired):
-        raise RuntimeError(f"cannot set the old table {path} aside")
-    if not files.rename(staging, target):
-        if had_table:
-            files.rename(retired, target)
-        raise RuntimeError(f"cannot publish {staging.toString()} as {path}")
-    if had_table:
-        files.delete(retired, True)
+    """Full refresh: the table's next version. Readers keep the version that they took, a failed run changes nothing,
+    and ``df`` may read the table it replaces."""
+    versions.replace_rows(df, path, partition_by)
 
 
 def write_once(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -601,6 +601,33 @@ def plan_queries() -> dict[str, str]:
             f"SELECT CAST(source_id % 3 AS VARCHAR) AS part, event_date, count(*) AS n_facts, "
             f"CAST(sum(source_id) AS BIGINT) AS sum_id FROM (SELECT {columns} FROM ({fact})) GROUP BY ALL",
         ),
+        "facts_compacted": with_(
+            "parts",
+            f"SELECT *, CAST(1 AS BIGINT) AS n_folders, CAST(sum(n_facts) OVER (PARTITION BY event_date) AS BIGINT) AS n_before "
+            f"FROM (SELECT CAST(source_id % 3 AS VARCHAR) AS part, event_date, count(*) AS n_facts, "
+            f"CAST(sum(source_id) AS BIGINT) AS sum_id FROM (SELECT {columns} FROM ({fact})) GROUP BY ALL)",
+        ),
+        "versions_replaced": """SELECT reader, value, n_orders FROM (VALUES ('newest'), ('late writer')) AS readers(reader),
+  (SELECT o_orderpriority AS value, count(*) AS n_orders FROM orders GROUP BY 1)
+UNION ALL SELECT 'pinned', o_orderstatus, count(*) FROM orders GROUP BY 2""",
+        "bad_pages": with_(
+            "raw",
+            """SELECT CAST(id % 4 AS VARCHAR) AS part, CASE id % 4 WHEN 0 THEN 'FAILED' ELSE 'SUCCESS' END AS load_status,
+  CASE id % 4 WHEN 0 THEN 0 ELSE count(*) END AS fact_rows, CASE id % 4 WHEN 0 THEN NULL ELSE count(*) END AS n_facts, per_job
+FROM raw CROSS JOIN (VALUES (1), (4)) AS jobs(per_job) GROUP BY id % 4, per_job""",
+        ),
+        "bad_types": with_(
+            "raw",
+            """SELECT CAST(id % 3 AS VARCHAR) AS part, CASE id % 3 WHEN 1 THEN 'FAILED' ELSE 'SUCCESS' END AS load_status,
+  CASE id % 3 WHEN 1 THEN 0 ELSE count(*) END AS fact_rows, CASE id % 3 WHEN 1 THEN NULL ELSE count(*) END AS n_facts
+FROM raw GROUP BY id % 3""",
+        ),
+        "sql_preview": with_(
+            "silver",
+            "SELECT source_id, event_date, battery_state FROM silver WHERE source_id % 3 <> 2 ORDER BY source_id DESC LIMIT 20",
+        ),
+        "processing_times": """SELECT o_orderstatus, count(*) AS n_orders, count(*) AS n_texts, count(*) AS n_recent,
+  CAST(1 AS BIGINT) AS n_moments FROM orders GROUP BY o_orderstatus""",
         "file_outcomes": with_(
             "raw",
             """SELECT CAST(id % 3 AS VARCHAR) AS part, CASE WHEN bad = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS load_status,

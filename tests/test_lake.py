@@ -209,16 +209,6 @@ def test_replace_keeps_the_old_table_when_the_build_fails(spark, tmp_path):
     assert optional_table(spark, str(tmp_path / "none")) is None
 
 
-def test_an_interrupted_swap_is_undone(spark, tmp_path):
-    path = tmp_path / "t"
-    replace_table(spark.range(3), str(path))
-    path.rename(tmp_path / "t__retired_1")
-    assert optional_table(spark, str(path)).count() == 3
-    path.rename(tmp_path / "t__retired_1")
-    replace_table(spark.range(5), str(path))
-    assert read_table(spark, str(path)).count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
-
-
 def test_reference_keeps_non_ascii_and_fills_columns(spark, lake):
     rows = {r["country_code"]: r for r in read_reference(spark, lake.reference).collect()}
     assert rows["CI"]["country_name"] == "Côte d'Ivoire" and rows["de"]["sub_region"] is None
