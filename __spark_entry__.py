@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -1154,26 +1155,28 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _corpus_modules() -> tuple[list[dict[str, Query]], list[dict[str, str]]]:
-    """The queries and the SQL for text corpora, where those folders are installed."""
+    """The queries and the SQL for text corpora, where those folders and what they need are installed. What is
+    missing is said as a warning; the other queries work without."""
+    missing: list[str] = []
     found: list[dict[str, Query]] = []
     sql: list[dict[str, str]] = []
     try:
         from medallion.llm import queries as corpus
-    except ModuleNotFoundError as error:
-        if error.name != "medallion.llm":
-            raise
+    except ImportError as error:
+        missing.append(str(error))
     else:
         found.append(corpus.queries())
         sql.append(corpus.oracle_sql())
     try:
         import corpus_pipeline
-    except ModuleNotFoundError as error:
-        if error.name not in ("corpus_pipeline", "medallion.llm"):
-            raise
+    except ImportError as error:
+        missing.append(str(error))
     else:
         found.append({"pipeline": lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)})
         if corpus_pipeline.ORACLE_SQL:
             sql.append({"pipeline": corpus_pipeline.ORACLE_SQL})
+    for what in missing:
+        warnings.warn(f"no corpus queries: {what}", stacklevel=3)
     return found, sql
 
 
