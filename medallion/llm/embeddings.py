@@ -13,7 +13,7 @@ count a vector and a spanning forest of its links, never the pairs.
 
 Defined results
 * Vectors that are NULL, empty, zero or hold NULL or non-finite components link with nothing, nor do those without a
-  label; vectors of different lengths are never compared.
+  label; vectors of different lengths are never compared. Others link by their direction, whatever their magnitude.
 * ``n_links`` counts rows, so a row with an equal one links with it. ``component_id`` is the smallest id reachable,
   NULL ids left aside. A row with a NULL id that links with nothing has a NULL component and is kept.
 * Rows that repeat an id with another vector are vectors of their own. Other columns are never read.
@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from medallion.llm.common import stored
 from medallion.llm.components import components
+from medallion.operators.joins import salted_join
 
 MIN_COSINE = 0.93
 # The centres are fitted on at most so many vectors; every vector is indexed.
@@ -52,9 +53,10 @@ def named(vectors: DataFrame) -> DataFrame:
         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
         & F.exists("embedding", lambda x: x != 0)
     )
-    # 0.0 + x: both zeros get one name.
+    # 0.0 + x: both zeros get one name. The label's length tells where it ends, whatever it holds.
     parts = F.transform("embedding", lambda x: (x + F.lit(0.0)).cast("string"))
-    name = F.md5(F.concat_ws(",", F.col("label").cast("string"), F.array_join(parts, ",")))
+    label = F.col("label").cast("string")
+    name = F.md5(F.concat_ws(":", F.octet_length(label), label, F.array_join(parts, ",")))
     return vectors.select("vec_id", "label", "embedding", F.when(valid, name).alias("class"))
 
 
@@ -65,7 +67,9 @@ def fit_centres(classes: DataFrame, n: int, sample: int = SAMPLE) -> list[list[f
         return []
     share = min(1.0, sample / n)
     chosen = classes.where(F.pmod(F.xxhash64("class"), F.lit(1_000_000)) < int(share * 1_000_000))
-    points = chosen.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    # By the largest entry first: the squares of very large or small ones have no double.
+    largest = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
+    points = chosen.select(array_to_vector(F.transform("embedding", lambda x: x.cast("double") / largest)).alias("features"))
     model = KMeans(k=cells, distanceMeasure="cosine", maxIter=_ROUNDS, seed=1).fit(points)
     return [[float(x) for x in centre] for centre in model.clusterCenters()]
 
@@ -157,6 +161,7 @@ def linker(min_cosine: float):
         cell, first, second = (key[k].as_py() for k in (2, 3, 4))
         names = table.column("class").to_pylist()
         points = np.array(table.column("embedding").to_pylist(), dtype=float)
+        points /= np.abs(points).max(axis=1, keepdims=True)
         points /= np.linalg.norm(points, axis=1, keepdims=True)
         rows = np.array(table.column("rows").to_pylist(), dtype=np.int64)
         before = table.column("before").to_pylist()
@@ -225,14 +230,16 @@ def near_copies(
     )
     counts = linked.groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(linked.select(F.col("class").alias("a"), F.col("root").alias("b")))
-    rooted = (
+    rooted = stored(
         classes.select("class", "first", "rows")
         .join(counts, "class", "left")
         .join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("root", F.coalesce("root", "class"))
+        .withColumn("root", F.coalesce("root", "class")),
+        "vector-roots",
     )
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    labels = rooted.join(smallest, "root").select(
+    # One component may hold most of the rows.
+    labels = salted_join(rooted, smallest, "root", "inner").select(
         "class", (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("links"), "component"
     )
     component = F.when(F.col("class").isNull(), F.col("vec_id")).otherwise(F.col("component"))

@@ -83,3 +83,50 @@ def test_many_cells_lose_no_link(spark, monkeypatch):
     # In four dimensions links cross the borders of thirty cells everywhere.
     rows = [(k, [float(x) for x in rng.normal(size=4).astype(np.float32)], 0) for k in range(300)]
     assert found(spark, rows, block=16) == sorted(brute(rows))
+
+
+def as_doubles(spark, rows, label="string"):
+    return spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {label}")
+
+
+def test_any_magnitude_and_label(spark):
+    rows = [
+        (1, [1e-200, 2e-200], "a"),
+        (2, [1.0, 0.1], "a"),  # cosine 0.53 with row 1
+        (3, [1e200, 2e200], "a"),
+        (4, [2e200, 4e200], "a"),
+        (5, [5e-324, 1e-323], "a"),
+        (6, [1.7e308, 1.7e307], "a"),  # beside row 2
+        (7, [1.0, 2.0], "b"),
+        (8, [2.0], "b,1.0"),
+        (9, [2.0], "b:1.0"),
+        (10, [1.0, 2.0], "3:b"),
+    ]
+    found = {row["vec_id"]: (row["n_links"], row["component_id"]) for row in embeddings.near_copies(as_doubles(spark, rows)).collect()}
+    upright = {1, 3, 4, 5}
+    assert all(found[k] == (3, 1) for k in upright) and found[2] == found[6] == (1, 2)
+    assert all(found[k] == (0, k) for k in (7, 8, 9, 10))
+
+
+def test_labels_with_separators_stay_apart(spark):
+    rows = [(k, [1.0, float(k % 2)], label) for k, label in enumerate(["x", "x", "x,1.0", "1:x", "x:", "", " ", None])]
+    found = {row["vec_id"]: row["n_links"] for row in embeddings.near_copies(as_doubles(spark, rows)).collect()}
+    assert set(found.values()) == {0}
+
+
+def test_many_magnitudes_in_many_cells_against_numpy(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 200)
+    draw = np.random.default_rng(7)
+    centres = draw.standard_normal((150, 24))
+    points = (centres[draw.integers(0, 150, 3_000)] + 0.12 * draw.standard_normal((3_000, 24))) * 10.0 ** draw.uniform(-150, 150, (3_000, 1))
+    points[2_000:] = points[0]  # a vector that holds a third of the rows
+    labels = draw.integers(0, 2, 3_000)
+    labels[2_000:] = labels[0]
+    units = points / np.abs(points).max(1, keepdims=True)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    close = (units @ units.T >= embeddings.MIN_COSINE) & (labels[:, None] == labels)
+    np.fill_diagonal(close, False)
+    assert close[:2_000, :2_000].sum() > 5_000
+    rows = [(k, points[k].tolist(), str(labels[k])) for k in range(3_000)]
+    found = {row["vec_id"]: row["n_links"] for row in embeddings.near_copies(as_doubles(spark, rows)).collect()}
+    assert [found[k] for k in range(3_000)] == close.sum(1).tolist()
