@@ -61,14 +61,14 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 # What the generators propose: more than is personal data.
 _WRITTEN_EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}){0,4}"
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)*"
 )
 _ANY_QUAD = re.compile(r"(?<![0-9.])[0-9]{1,4}(?:\.[0-9]{1,4}){3}(?![0-9.])")
 _ANY_CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20./-]?[0-9]){11,18}(?![0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20./-]?[0-9]{3,4}[\x20./-][0-9]{3,4}(?![0-9])")
 # Without blanks beside a plain @ or dot, so that the next sentence is left out.
 _SPELLED_EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:@|\x20?(?:\(at\)|\[at\])\x20?)[A-Za-z0-9-]{1,63}(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]{1,63}){0,4}"
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?:@|\x20?(?:\(at\)|\[at\])\x20?)[A-Za-z0-9-]++(?:(?:\.|\x20?(?:\(dot\)|\[dot\])\x20?)[A-Za-z0-9-]++)*"
 )
 _GENERATORS = ((0, _WRITTEN_EMAIL), (0, _SPELLED_EMAIL), (1, _ANY_QUAD), (2, _ANY_CARD), (3, _LOCAL_PHONE))
 _CUES = (
@@ -133,7 +133,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     # Both email forms hold one of these.
     at = any(mark in text for mark in ("@", "(at)", "[at]"))
     forms = [(kind, form) for kind, form in _GENERATORS if kind or at]
-    return [(m.start(), kind, m.end()) for kind, form in forms for m in form.finditer(text) if kind or m[0].count(" ") < 8]
+    return [(m.start(), kind, m.end()) for kind, form in forms for m in form.finditer(text)]
 
 
 def normal_email(span: str) -> str:

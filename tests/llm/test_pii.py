@@ -147,3 +147,13 @@ def test_sample_is_bounded_without_ids(spark, monkeypatch):
     same = docs.limit(1).crossJoin(spark.range(600)).select("doc_id", "text")
     pii.train(docs.unionByName(same), sample=60)
     assert 0 < seen[0] <= 120
+
+
+@pytest.mark.parametrize("text", [
+    "jane (at) mail (dot) cs (dot) uni (dot) edu",
+    "jane(at)a(dot)b(dot)c(dot)d(dot)e(dot)f(dot)com",
+    "a" * 90 + " [at] " + "b" * 80 + " [dot] " + " (dot) ".join("cdefghijkl"),
+])
+def test_written_out_addresses_of_any_length(text):
+    found = pii.candidates(f"write to {text}, please")
+    assert (9, 0, 9 + len(text)) in found
