@@ -167,7 +167,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Filters:
     share = F.element_at(
         F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(parts, -(-sample * parts // rows[lang])))]), F.col("lang")
     )
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share)
+    # By id and text: rows that share an id are not all chosen or all left out.
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) < share)
     counts = gram_counts(chosen)
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     shares = counts.where(F.col("n") >= MIN_COUNT).join(F.broadcast(total), "lang")

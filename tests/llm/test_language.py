@@ -71,3 +71,15 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(path)
     rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang IS NOT NULL").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.98 * len(rows) > 100
+
+
+@pytest.mark.parametrize("doc_id", [1, 2, 3, 5, 6, 8])
+def test_an_id_that_a_third_of_the_rows_share(spark, doc_id):
+    if zlib.crc32(str(doc_id).encode()) % 3 == 1:
+        pytest.skip("held out")
+    rows = [(doc_id, text, "xx") for text in texts_of("xx", 1_500)] + [(100 + k, text, "yy") for k, text in enumerate(texts_of("yy", 1_700))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = language.learn_from(docs, sample=200)
+    assert sorted(filters.languages) == ["xx", "yy"]
+    for name in ("xx", "yy"):
+        assert all(filters.predict(text)[0] == name for text in texts_of(name, 5))
