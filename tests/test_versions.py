@@ -198,3 +198,13 @@ def test_an_error_that_is_not_of_the_files_is_raised(spark, lake, tmp_path, monk
     with pytest.raises(RuntimeError, match="disk full"):
         ingest_files(spark, str(tmp_path / "raw"), lake, "b", DAY)
     assert read_facts(spark, lake) is None
+
+
+def test_a_file_system_that_is_not_local(spark, tmp_path):
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.versions.link./in", f"file://{tmp_path}")
+    path = "viewfs://versions/in/t"
+    replace_table(spark.range(3), path)
+    now = versions.latest(spark, path)
+    assert not versions.publish(spark, path, now) and versions.latest(spark, path) == now
+    replace_table(read_table(spark, path).where("id > 0"), path)
+    assert ids(read_table(spark, path)) == [1, 2] and versions._numbers(spark, path) == [1, 2]
