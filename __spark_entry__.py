@@ -36,7 +36,7 @@ from medallion.plans.bronze import ingest_files, stream_files
 from medallion.plans.gold import refresh_mart
 from medallion.plans.lake import Lake, merge_days, read_facts, register_lake
 from medallion.plans.silver import refresh_silver
-from medallion.plans.stream_silver import rebuild_all
+from medallion.plans.stream_silver import rebuild_all, refresh_from_changes
 from medallion.session import configure, scratch_path
 from medallion.sources import files, samples, versions
 from medallion.sources.reference import read_reference, replace_reference
@@ -976,6 +976,25 @@ def bronze_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_items(lambda spec: read_table(spark, f"{root}/silver/{spec.name}", spec.schema))
 
 
+@query
+def silver_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the messages, then all of them, through one query and table per queue partition; the silver tables
+    follow the changes of each compaction."""
+    root = scratch_path(spark, "stream")
+    messages = fan_out_messages(spark, sf_dir, partitions=3)
+    tables = [streams.bronze_table(f"{root}/bronze", index) for index in sorted(set(envelope.STREAM_PARTITIONS.values()))]
+    for delivery in (messages.where(F.col("offset") % 2 == 0), messages):
+        delivery.write.mode("append").parquet(f"{root}/topic")
+        topic = spark.readStream.schema(messages.schema).parquet(f"{root}/topic")
+        streams.topic_to_raw(topic, f"{root}/raw", f"{root}/rejects", f"{root}/cp_raw").awaitTermination()
+        for one in streams.start_isolated(spark, f"{root}/raw", f"{root}/bronze", f"{root}/cp").values():
+            one.awaitTermination()
+        for table in tables:
+            streams.compact(spark, table, range_bits=10)
+        refresh_from_changes(spark, tables, f"{root}/silver", f"{root}/runs")
+    return silver_items(lambda spec: read_table(spark, f"{root}/silver/{spec.name}", spec.schema))
+
+
 @query
 def stream_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run records of a periodic rebuild, with the rows that each table holds afterwards."""
@@ -1028,6 +1047,24 @@ def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.read_bronze(spark, path)
 
 
+@query
+def bronze_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept in ranges of message numbers: delivered again partly before and partly after a compaction, and once
+    more in the older version, which loses."""
+    path = scratch_path(spark, "bronze")
+    queue = queue_rows(spark, sf_dir)
+    first = layers.topic_bronze_rows(queue, F.lit(NOW))
+    again = layers.topic_bronze_rows(queue, F.lit("2024-02-01T00:05:00Z"))
+    even = F.col("row_index") % 2 == 0
+    for epoch, rows in enumerate((first, again.where(even))):
+        streams.write_epoch(rows, path, "one", epoch, ["tablet_index"])
+        streams.compact(spark, path, range_bits=10)
+        streams.drop_merged(spark, path)
+    streams.write_epoch(again.where(~even), path, "two", 0, ["tablet_index"])
+    streams.write_epoch(first, path, "three", 0, ["tablet_index"])
+    return streams.read_bronze(spark, path)
+
+
 # Ledger, schema, audit --------------------------------------------------------------------------------------
 
 

@@ -21,7 +21,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +46,12 @@ class Entry:
 
 @dataclass(frozen=True)
 class Version:
+    """``notes`` are what the writer of a version wants to know next time; the next version has those it is given."""
+
     number: int
     entries: tuple[Entry, ...]
     schema: str | None = None
+    notes: dict = field(default_factory=dict)
 
     @property
     def folders(self) -> set[str]:
@@ -56,12 +59,13 @@ class Version:
 
     def text(self) -> str:
         entries = [[entry.attempt, list(entry.folders), entry.final] for entry in self.entries]
-        return json.dumps({"number": self.number, "schema": self.schema, "entries": entries})
+        return json.dumps({"number": self.number, "schema": self.schema, "entries": entries, "notes": self.notes})
 
     @staticmethod
     def parsed(text: str) -> Version:
         found = json.loads(text)
-        return Version(found["number"], tuple(Entry(a, tuple(folders), final) for a, folders, final in found["entries"]), found["schema"])
+        entries = tuple(Entry(attempt, tuple(folders), final) for attempt, folders, final in found["entries"])
+        return Version(found["number"], entries, found["schema"], found.get("notes", {}))
 
 
 def file_system(spark: SparkSession, path: str):
@@ -142,7 +146,11 @@ def publish(spark: SparkSession, path: str, version: Version) -> bool:
 
 
 def change(
-    spark: SparkSession, path: str, step: Callable[[Version], Sequence[Entry] | None], schema: str | None = None
+    spark: SparkSession,
+    path: str,
+    step: Callable[[Version], Sequence[Entry] | None],
+    schema: str | None = None,
+    notes: dict | None = None,
 ) -> Version | None:
     """Publish what ``step`` makes of the newest version's entries, anew if another writer was first. None if it
     makes nothing of them."""
@@ -151,7 +159,7 @@ def change(
         entries = step(now)
         if entries is None:
             return None
-        after = Version(now.number + 1, tuple(entries), schema or now.schema)
+        after = Version(now.number + 1, tuple(entries), schema or now.schema, notes or {})
         if publish(spark, path, after):
             return after
     raise RuntimeError(f"{_TRIES} other writers were first at {path}")

@@ -14,6 +14,7 @@ from medallion.operators.dedup import latest_by
 from medallion.schemas import BRONZE_STREAM, STREAMING_COMMENTS, STREAMING_POSTS, STREAMING_TODOS, table
 
 BRONZE_KEY = ("stream_id", "row_index")
+NEWEST = ("processed_at", "queue_timestamp")
 # Stored tables carry the topic next to the contract, as offsets are counted anew in each.
 TOPIC = "_topic"
 OFFSET_BITS = 48
@@ -49,7 +50,7 @@ def collapse(bronze: DataFrame) -> DataFrame:
     """One row per key, the latest processed: what a keyed table would hold after replays. Rows of different topics
     have different keys."""
     topic = [TOPIC] if TOPIC in bronze.columns else []
-    return latest_by(bronze, [*topic, *BRONZE_KEY], ["processed_at", "queue_timestamp"])
+    return latest_by(bronze, [*topic, *BRONZE_KEY], NEWEST)
 
 
 @dataclass(frozen=True)

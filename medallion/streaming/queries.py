@@ -4,8 +4,9 @@ Every sink writes one folder per query and micro-batch and replaces it when the
 after a crash leaves no second copy, and queries that share a table leave each other's folders alone. A query is
 known by the id in its checkpoint. Offsets live in the checkpoint and move on only after the write.
 
-Many small folders make reads slow: ``compact`` merges all but the last ones of a keyed table into a base folder with
-one row per key. Readers collapse what is not compacted together with the keys of the base.
+Many small folders make reads slow: ``compact`` merges them into a keyed table beside them (``sources/keyed.py``), with
+one row per key in ranges of message numbers. Readers collapse what is not compacted with the ranges it falls into, and
+take all other ranges as they are. Silver tables follow the changes of the keyed table (``apply_changes``).
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from medallion.schemas import BRONZE_STREAM, RAW_EVENTS
-from medallion.session import scratch_path
-from medallion.sources.tables import nullable, optional_table, overwrite_partitions, replace_table, write_once
+from medallion.sources import keyed, versions
+from medallion.sources.keyed import NO_VERSION, Keyed
+from medallion.sources.tables import nullable, optional_table, overwrite_partitions, replace_table
+from medallion.sources.versions import Version, escaped, file_system
 from medallion.streaming.envelope import STREAM_PARTITIONS, accepted, parse_messages, raw_rows, rejected
-from medallion.streaming.layers import PAYLOADS, TOPIC, PayloadSpec, collapse, payload_rows, topic_bronze_rows
+from medallion.streaming.layers import BRONZE_KEY, NEWEST, PAYLOADS, TOPIC, PayloadSpec, collapse, payload_rows, topic_bronze_rows
 
 EPOCH = "_epoch"
 QUERY = "_query"
@@ -44,7 +47,15 @@ def with_epoch(schema: T.StructType) -> T.StructType:
     return T.StructType([*nullable(schema).fields, *added])
 
 
-STORED_BRONZE = with_epoch(T.StructType([*BRONZE_STREAM.fields, T.StructField(TOPIC, T.StringType())]))
+def with_topic(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(TOPIC, T.StringType())])
+
+
+STORED_BRONZE = with_epoch(with_topic(BRONZE_STREAM))
+KEYED_BRONZE = Keyed(STORED_BRONZE, (TOPIC, *BRONZE_KEY), "row_index", "tablet_index", NEWEST)
+# Message numbers of one range: a million offsets of a topic's partition.
+RANGE_BITS = 20
+MERGED = "merged"
 
 
 def now_text() -> F.Column:
@@ -149,59 +160,79 @@ def start_isolated(
     }
 
 
-def _with_base(spark: SparkSession, bronze_path: str, folders: DataFrame) -> DataFrame:
-    """The rows of a bronze table that count: the compacted ones, and the folders that came after. Rows that are
-    found in both have the same key, so it doesn't matter if a compaction was cut short."""
-    base, merged = optional_table(spark, f"{bronze_path}__base"), optional_table(spark, f"{bronze_path}__merged")
-    if base is None or merged is None:
-        return folders
-    return folders.join(merged, [QUERY, EPOCH], "left_anti").unionByName(base)
+def keyed_table(bronze_path: str) -> str:
+    """The path of the keyed table that a bronze table is compacted into."""
+    return f"{bronze_path.rstrip('/')}__keyed"
+
+
+def stored_folders(spark: SparkSession, bronze_path: str) -> list[str]:
+    """The folders of a bronze table, one per query, micro-batch and queue partition. Each appears as a whole."""
+    files, root = file_system(spark, bronze_path)
+    levels = "/".join(f"{name}=*" for name in (QUERY, EPOCH, "tablet_index"))
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{escaped(bronze_path.rstrip('/'))}/{levels}"))
+    # Paths come back qualified; the last three names are the folder.
+    return sorted("/".join(status.getPath().toUri().getPath().split("/")[-3:]) for status in found or [])
+
+
+def _folder_rows(spark: SparkSession, bronze_path: str, folders: Sequence[str]) -> DataFrame | None:
+    if not folders:
+        return None
+    root = bronze_path.rstrip("/")
+    reader = spark.read.schema(nullable(STORED_BRONZE)).option("basePath", root)
+    return reader.parquet(*(escaped(f"{root}/{folder}") for folder in folders)).select(*STORED_BRONZE.names)
+
+
+def _state(spark: SparkSession, bronze_path: str) -> tuple[list[str], Version, list[str]]:
+    """All folders, the keyed table's version, and the folders that it lacks. The folders are listed first: one that
+    is deleted has been merged by a version before."""
+    folders = stored_folders(spark, bronze_path)
+    version = versions.latest(spark, keyed_table(bronze_path)) or NO_VERSION
+    merged = set(version.notes.get(MERGED, ()))
+    return folders, version, [folder for folder in folders if folder not in merged]
 
 
 def read_bronze(spark: SparkSession, *bronze_paths: str, tablet_index: int | None = None) -> DataFrame:
-    """Bronze with one row per key, from one table or from those of several queue partitions. A key's queue
-    partition never changes, so one of them can be chosen before keys are collapsed, and only its folders are read."""
-    tables = [
-        _with_base(spark, path, found)
-        for path in bronze_paths
-        if (found := optional_table(spark, path, STORED_BRONZE)) is not None
-    ]
+    """Bronze with one row per key, from one table or from those of several queue partitions, which share no keys. A
+    key's queue partition never changes, so one of them can be chosen first, and only its folders and ranges are read.
+    Lists the folders, and runs a job that names the ranges of what is not compacted."""
+    tables = []
+    for path in bronze_paths:
+        _, version, left = _state(spark, path)
+        parts = None if tablet_index is None else {str(tablet_index)}
+        fresh = _folder_rows(spark, path, [f for f in left if parts is None or keyed.range_of(f) in parts])
+        if fresh is not None or version.number:
+            tables.append(keyed.read_keyed(spark, keyed_table(path), KEYED_BRONZE, version, fresh, parts))
     if not tables:
         return spark.createDataFrame([], nullable(BRONZE_STREAM))
-    rows = reduce(DataFrame.unionByName, tables)
-    if tablet_index is not None:
-        rows = rows.where(F.col("tablet_index") == tablet_index)
-    return collapse(rows).select(*BRONZE_STREAM.names)
+    return reduce(DataFrame.unionByName, tables).select(*BRONZE_STREAM.names)
 
 
-def compact(spark: SparkSession, bronze_path: str) -> int:
-    """Merge the folders of a bronze table into its base, one row per key; returns how many folders were there.
+def compact(spark: SparkSession, bronze_path: str, range_bits: int = RANGE_BITS) -> int:
+    """Merge the folders of a bronze table into its keyed table; returns how many micro-batches' folders were there.
 
-    The folders stay, for streams that still read them and for a micro-batch that is run again, until
-    ``drop_merged``. The list of merged folders is written after the base.
+    Only ranges with rows of folders that were not merged before are rewritten. Rows and the list of merged folders
+    are published together; of two runs that meet, one gives way and merges nothing. The folders stay, for streams
+    that still read them and for a micro-batch that is run again, until ``drop_merged``. ``range_bits`` counts at the
+    first call: a table keeps the width of its ranges.
     """
-    # One listing of the files serves rows and names: folders that arrive meanwhile are in neither.
-    folders = optional_table(spark, bronze_path, STORED_BRONZE)
-    if folders is None:
-        return 0
-    names = write_once(folders.select(QUERY, EPOCH).distinct(), scratch_path(spark, "folders"))
-    known = optional_table(spark, f"{bronze_path}__merged")
-    every = names if known is None else names.unionByName(known).distinct()
-    replace_table(collapse(_with_base(spark, bronze_path, folders)), f"{bronze_path}__base", ["tablet_index"])
-    replace_table(every, f"{bronze_path}__merged")
-    return names.count()
+    folders, version, left = _state(spark, bronze_path)
+    if left:
+        notes = {MERGED: folders}
+        bits = keyed.range_bits(version, range_bits)
+        fresh = _folder_rows(spark, bronze_path, left)
+        keyed.merge(fresh, keyed_table(bronze_path), KEYED_BRONZE, version, bits, notes)
+    return len({folder.rsplit("/", 1)[0] for folder in folders})
 
 
 def drop_merged(spark: SparkSession, bronze_path: str) -> None:
-    """Delete the merged folders. Call it when no stream has to read them any more."""
-    merged = optional_table(spark, f"{bronze_path}__merged")
-    if merged is None:
-        return
-    root = spark._jvm.org.apache.hadoop.fs.Path(bronze_path)
-    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    for row in merged.toLocalIterator():
-        folder = f"{QUERY}={row[QUERY]}/{EPOCH}={row[EPOCH]}"
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(root, folder), True)
+    """Delete the merged folders. Call it when nobody has to read them any more."""
+    folders, _, left = _state(spark, bronze_path)
+    files, root = file_system(spark, bronze_path)
+    for folder in set(folders) - set(left):
+        place = spark._jvm.org.apache.hadoop.fs.Path(root, folder)
+        files.delete(place, True)
+        if not files.listStatus(place.getParent()):
+            files.delete(place.getParent(), False)
 
 
 def rebuild_silver(spark: SparkSession, bronze_path: str | Sequence[str], spec: PayloadSpec, path: str) -> None:
@@ -211,6 +242,37 @@ def rebuild_silver(spark: SparkSession, bronze_path: str | Sequence[str], spec:
     replace_table(payload_rows(rows, spec, now_text()), path)
 
 
+def keyed_silver(spec: PayloadSpec) -> Keyed:
+    return Keyed(with_topic(spec.schema), (TOPIC, *BRONZE_KEY), "row_index", "tablet_index")
+
+
+def apply_changes(spark: SparkSession, bronze_path: str | Sequence[str], spec: PayloadSpec, path: str) -> int:
+    """Bring one silver table up to the keyed tables of bronze: rows that came or were replaced since the versions
+    that the silver table has seen. What is not compacted yet is left for the next call. A row that is no longer of
+    the table's source goes. A table that was not kept this way is made anew. Returns how many bronze tables had changed.
+
+    The versions seen are published with the rows, so a call that fails or gives way to another one has done nothing.
+    """
+    kept, done = keyed_silver(spec), 0
+    for bronze in [bronze_path] if isinstance(bronze_path, str) else bronze_path:
+        source, now = keyed_table(bronze), versions.latest(spark, path) or NO_VERSION
+        with_notes = now.notes if keyed.BITS in now.notes else {}
+        seen, newest = with_notes.get(source, 0), versions.latest(spark, source)
+        if newest is None or newest.number == seen:
+            continue
+        rows = keyed.changed_since(spark, source, KEYED_BRONZE, newest, seen)
+        rows = rows.where(F.col("tablet_index") == spec.tablet_index)
+        typed = payload_rows(rows, spec, now_text(), keep=[TOPIC]).withColumn(keyed.GONE, F.lit(False))
+        # A key that the table can't have needs no removal.
+        left = rows.where((F.col(keyed.FIRST) <= seen) & ~F.col("source").eqNullSafe(F.lit(spec.source)))
+        gone = left.select(TOPIC, *BRONZE_KEY, "tablet_index", F.lit(True).alias(keyed.GONE))
+        fresh = typed.unionByName(gone, allowMissingColumns=True)
+        bits = keyed.range_bits(newest, RANGE_BITS)
+        if keyed.merge(fresh, path, kept, now, bits, {**with_notes, source: newest.number}) is not None:
+            done += 1
+    return done
+
+
 def bronze_to_silver(
     bronze: DataFrame, paths: dict[str, str], checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

@@ -532,7 +532,12 @@ FROM events WHERE event_type IN ('error', 'signup')""",
         "stream_replayed": "SELECT 'raw-events' AS topic, CAST(0 AS BIGINT) AS partition, 2 * count(*) AS n_rows, "
         "CAST(2 * sum(event_id) AS BIGINT) AS sum_offset FROM events",
     }
-    return {**found, "bronze_compacted": found["bronze_upsert"]}
+    same = {
+        "bronze_compacted": "bronze_upsert",
+        "bronze_buckets": "bronze_upsert",
+        "silver_from_changes": "bronze_partitions",
+    }
+    return {**found, **{name: found[other] for name, other in same.items()}}
 
 
 def fan_out(row_index: str) -> str:

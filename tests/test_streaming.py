@@ -3,12 +3,13 @@ from __future__ import annotations
 import json
 
 import pytest
+from conftest import plan_of
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from medallion import schemas
-from medallion.plans.stream_silver import rebuild_all
-from medallion.sources import samples
+from medallion.plans.stream_silver import rebuild_all, refresh_from_changes
+from medallion.sources import keyed, samples, versions
 from medallion.sources.tables import read_table
 from medallion.streaming import envelope, layers
 from medallion.streaming import queries as streams
@@ -184,6 +185,107 @@ def test_compaction_changes_no_result(spark, tmp_path):
     assert {r["processed_at"] for r in streams.read_bronze(spark, path).collect()} == {"p2"}
 
 
+def numbered(spark, numbers, processed_at, source=SPEC.source):
+    """Bronze rows of stream s0 with given message numbers."""
+    rows = [(message("s0", json.dumps({"id": n, "title": processed_at}), source=source), n) for n in numbers]
+    parsed = envelope.parse_messages(samples.as_topic(spark.createDataFrame(rows, "value string, o long"), "o", "2024-02-01 00:00:00"))
+    raw = envelope.raw_rows(envelope.accepted(parsed), F.lit("b"), F.lit("2024-02-01T00:00:00Z"))
+    return layers.topic_bronze_rows(raw, F.lit(processed_at))
+
+
+def held(spark, path):
+    return sorted((r["row_index"], r["processed_at"]) for r in streams.read_bronze(spark, path).collect())
+
+
+def test_only_ranges_with_fresh_rows_are_read_and_written(spark, tmp_path):
+    path, table = str(tmp_path / "bronze"), streams.keyed_table(str(tmp_path / "bronze"))
+    streams.write_epoch(numbered(spark, range(40), "p0"), path, "q", 0, ["tablet_index"])
+    streams.compact(spark, path, range_bits=3)
+    before = versions.latest(spark, table)
+    assert {keyed.range_of(f) for f in before.folders} == {f"0-{n}" for n in range(5)}
+    streams.write_epoch(numbered(spark, [33, 41], "p1"), path, "q", 1, ["tablet_index"])
+    # An older delivery of a key that is held already loses.
+    streams.write_epoch(numbered(spark, [3], "a"), path, "r", 0, ["tablet_index"])
+    expected = sorted([(n, "p1" if n in (33, 41) else "p0") for n in [*range(40), 41]])
+    assert held(spark, path) == expected
+    touched, others = plan_of(streams.read_bronze(spark, path)).rsplit("\n   +- ", 1)
+    assert "Exchange" in touched and "FileScan" in others and "Exchange" not in others and "Window" not in others
+    streams.compact(spark, path)
+    after = versions.latest(spark, table)
+    assert {keyed.range_of(f) for f in after.folders - before.folders} == {"0-0", "0-4", "0-5"}
+    assert held(spark, path) == expected
+    changed = keyed.changed_since(spark, table, streams.KEYED_BRONZE, after, before.number).collect()
+    assert sorted((r["row_index"], r[keyed.FIRST], r[keyed.SINCE]) for r in changed) == [(33, 1, 2), (41, 2, 2)]
+    # Nothing new: no version.
+    streams.compact(spark, path)
+    assert versions.latest(spark, table).number == after.number
+    streams.drop_merged(spark, path)
+    assert held(spark, path) == expected and streams.stored_folders(spark, path) == []
+
+
+def test_of_two_compactions_one_gives_way(spark, tmp_path, monkeypatch):
+    path, table = str(tmp_path / "bronze"), streams.keyed_table(str(tmp_path / "bronze"))
+    streams.write_epoch(numbered(spark, range(4), "p0"), path, "q", 0, ["tablet_index"])
+    plain = versions.write_attempt
+
+    def late(*args, **kwargs):
+        monkeypatch.setattr(versions, "write_attempt", plain)
+        entry = plain(*args, **kwargs)
+        streams.compact(spark, path)
+        return entry
+
+    monkeypatch.setattr(versions, "write_attempt", late)
+    streams.compact(spark, path)
+    assert versions.latest(spark, table).number == 1 and held(spark, path) == [(n, "p0") for n in range(4)]
+    assert len(list((tmp_path / "bronze__keyed" / "_data").iterdir())) == 1
+
+
+def test_a_failed_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "bronze")
+    streams.write_epoch(numbered(spark, range(4), "p0"), path, "q", 0, ["tablet_index"])
+    monkeypatch.setattr(versions, "publish", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        streams.compact(spark, path)
+    monkeypatch.undo()
+    streams.drop_merged(spark, path)
+    assert held(spark, path) == [(n, "p0") for n in range(4)]
+
+
+def silver_of(spark, path):
+    rows = read_table(spark, path, SPEC.schema).collect()
+    return sorted((r["row_index"], r["post_id"], r["title"]) for r in rows)
+
+
+def test_silver_follows_the_changes(spark, tmp_path):
+    path, silver, rebuilt = (str(tmp_path / name) for name in ("bronze", "silver", "rebuilt"))
+    assert streams.apply_changes(spark, path, SPEC, silver) == 0
+    # A table that was built as a whole before is taken over.
+    streams.write_epoch(numbered(spark, range(20), "p0"), path, "q", 0, ["tablet_index"])
+    streams.rebuild_silver(spark, path, SPEC, silver)
+    steps = [
+        numbered(spark, [5, 25], "p1"),
+        numbered(spark, [6], "p2", source="other"),
+        numbered(spark, [7, 26], "p3", source="other").unionByName(numbered(spark, [25], "p4")),
+        numbered(spark, [6], "p5"),
+    ]
+    for epoch, rows in enumerate(steps, 1):
+        streams.compact(spark, path, range_bits=2)
+        assert streams.apply_changes(spark, path, SPEC, silver) == 1
+        assert streams.apply_changes(spark, path, SPEC, silver) == 0
+        streams.rebuild_silver(spark, path, SPEC, rebuilt)
+        assert silver_of(spark, silver) == silver_of(spark, rebuilt)
+        streams.write_epoch(rows, path, "q", epoch, ["tablet_index"])
+    streams.compact(spark, path)
+    # Several versions at once.
+    late = str(tmp_path / "late")
+    outcomes = refresh_from_changes(spark, path, late, str(tmp_path / "runs"))
+    assert set(outcomes.values()) == {"SUCCESS"}
+    assert streams.apply_changes(spark, path, SPEC, silver) == 1
+    streams.rebuild_silver(spark, path, SPEC, rebuilt)
+    assert silver_of(spark, silver) == silver_of(spark, rebuilt) == silver_of(spark, f"{late}/{SPEC.name}")
+    assert [n for n, _, _ in silver_of(spark, silver)] == [n for n in range(20) if n != 7] + [25]
+
+
 def test_one_queue_partition_alone(spark, stream_dirs):
     first = topic(spark, MESSAGES)
     first.write.parquet(stream_dirs["topic"])
