@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -82,23 +82,28 @@ def _single_pass(df: DataFrame, spec: MartSpec, relative_error: float | None = N
     return df.groupBy(*spec.grain).agg(*outputs)
 
 
-def _two_level(df: DataFrame, spec: MartSpec) -> DataFrame:
-    """Aggregate to (grain, distinct columns) first, then roll up.
-
-    Several distinct counts make Spark copy every input row once per count. Here only the far fewer rows of
-    the first level are copied, and its fine grain spreads a hot group over many tasks.
-    """
-    keys = list(dict.fromkeys([*spec.grain, *spec.distinct.values()]))
-    extremes = _extremes(spec)
+def partial_rows(df: DataFrame, spec: MartSpec, by: Sequence[str] = ()) -> DataFrame:
+    """Sums, counts and extremes per grain, distinct columns and the columns in ``by``: what ``rolled_up`` merges. Rows
+    of different parts of the input can be merged together."""
+    df = _with_defaults(df, spec)
+    keys = list(dict.fromkeys([*by, *spec.grain, *spec.distinct.values()]))
     partial = [F.count("*").alias("_n")]
     for name, source in spec.averages.items():
         partial += [F.sum(source).alias(f"_sum_{name}"), F.count(source).alias(f"_count_{name}")]
     partial += [flag_count(source).alias(name) for name, source in spec.flags.items()]
     partial += [
-        (F.min(value) if smallest else F.max(value)).alias(name) for name, (value, smallest) in extremes.items()
+        (F.min(value) if smallest else F.max(value)).alias(name) for name, (value, smallest) in _extremes(spec).items()
     ]
-    fine = df.groupBy(*keys).agg(*partial)
+    return df.groupBy(*keys).agg(*partial)
+
 
+def rolled_up(fine: DataFrame, spec: MartSpec) -> DataFrame:
+    """One row per grain from rows of ``partial_rows``.
+
+    Several distinct counts make Spark copy every input row once per count. Here only the far fewer rows of
+    the first level are copied, and its fine grain spreads a hot group over many tasks.
+    """
+    extremes = _extremes(spec)
     outputs = [F.sum("_n").alias(spec.count)]
     outputs += [F.count_distinct(F.col(source)).alias(name) for name, source in spec.distinct.items()]
     outputs += [
@@ -109,14 +114,22 @@ def _two_level(df: DataFrame, spec: MartSpec) -> DataFrame:
     return fine.groupBy(*spec.grain).agg(*outputs)
 
 
-def aggregate(df: DataFrame, spec: MartSpec, relative_error: float | None = None) -> DataFrame:
-    """The mart's rows, without the gold stamp. Distinct counts are exact unless a relative error is allowed."""
+def _with_defaults(df: DataFrame, spec: MartSpec) -> DataFrame:
     for name, source in spec.defaults.items():
         if name not in df.columns:
             df = df.withColumn(name, F.col(source))
     require_columns(df, spec.inputs(), f"input of {spec.name}")
+    return df
+
+
+def aggregate(df: DataFrame, spec: MartSpec, relative_error: float | None = None) -> DataFrame:
+    """The mart's rows, without the gold stamp. Distinct counts are exact unless a relative error is allowed."""
+    df = _with_defaults(df, spec)
     exact_and_several = relative_error is None and len(spec.distinct) > 1
-    rows = _two_level(df, spec) if exact_and_several else _single_pass(df, spec, relative_error)
+    return _derived(rolled_up(partial_rows(df, spec), spec) if exact_and_several else _single_pass(df, spec, relative_error), spec)
+
+
+def _derived(rows: DataFrame, spec: MartSpec) -> DataFrame:
     spans = {
         name: (F.unix_timestamp(last) - F.unix_timestamp(first)) / F.lit(DAY_SECONDS)
         for name, (first, last) in spec.spans_in_days.items()
@@ -132,8 +145,17 @@ def build_mart(
     df: DataFrame, spec: MartSpec, batch_id: str, built_at: str, relative_error: float | None = None
 ) -> DataFrame:
     """The mart in its table contract, stamped with batch and build time."""
-    rows = aggregate(df, spec, relative_error).withColumns({"_gold_batch_id": F.lit(batch_id), "_gold_built_at": F.lit(built_at)})
-    return conform(rows, spec.schema, what=spec.name)
+    return _stamped(aggregate(df, spec, relative_error), spec, batch_id, built_at)
+
+
+def mart_from_states(states: DataFrame, spec: MartSpec, batch_id: str, built_at: str) -> DataFrame:
+    """The mart from stored rows of ``partial_rows``, with exact distinct counts."""
+    return _stamped(_derived(rolled_up(states, spec), spec), spec, batch_id, built_at)
+
+
+def _stamped(rows: DataFrame, spec: MartSpec, batch_id: str, built_at: str) -> DataFrame:
+    marks = {"_gold_batch_id": F.lit(batch_id), "_gold_built_at": F.lit(built_at)}
+    return conform(rows.withColumns(marks), spec.schema, what=spec.name)
 
 
 _RATES = {

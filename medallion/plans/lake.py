@@ -78,6 +78,9 @@ class Lake:
     def gold(self, mart: str) -> str:
         return self.path(f"gold/{mart}")
 
+    def states(self, mart: str) -> str:
+        return self.path(f"gold_states/{mart}")
+
     def audit(self, name: str) -> str:
         return self.path(f"audit/{name}")
 
@@ -90,14 +93,19 @@ def _finished(spark: SparkSession, ledger: str, attempts: Sequence[str]) -> set[
     return {row[0] for row in done.where(F.col(ATTEMPT).isin(*attempts)).distinct().collect()}
 
 
-def committed(spark: SparkSession, path: str, schema: T.StructType, ledger: str) -> DataFrame | None:
-    """The rows of a table that finished attempts wrote; None when there is no table."""
+def committed_folders(spark: SparkSession, path: str, ledger: str) -> tuple[versions.Version, list[str]] | None:
+    """A table's newest version and the folders that finished attempts wrote; None when there is no table."""
     version = versions.latest(spark, path)
     if version is None:
         return None
     done = _finished(spark, ledger, [entry.attempt for entry in version.entries if not entry.final])
-    folders = [folder for entry in version.entries if entry.final or entry.attempt in done for folder in entry.folders]
-    return versions.rows_of(spark, path, version, schema, folders)
+    return version, [folder for entry in version.entries if entry.final or entry.attempt in done for folder in entry.folders]
+
+
+def committed(spark: SparkSession, path: str, schema: T.StructType, ledger: str) -> DataFrame | None:
+    """The rows of a table that finished attempts wrote; None when there is no table."""
+    found = committed_folders(spark, path, ledger)
+    return None if found is None else versions.rows_of(spark, path, found[0], schema, found[1])
 
 
 def write_rows(df: DataFrame, path: str, attempt: str) -> None:

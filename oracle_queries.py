@@ -283,7 +283,7 @@ def mart_queries() -> dict[str, str]:
     days = "count(DISTINCT date_local)"
     devices = "count(DISTINCT device_id)"
     first, last = "min(event_ts_str)", "max(event_ts_str)"
-    return {
+    found = {
         "daily_country_stats": with_(
             "silver",
             "SELECT "
@@ -352,6 +352,7 @@ def mart_queries() -> dict[str, str]:
             "FROM silver GROUP BY date_local, country_code",
         ),
     }
+    return {**found, "mart_from_states": found["country_overview"]}
 
 
 URGENT = "o_orderpriority = '1-URGENT'"

@@ -10,9 +10,10 @@ from medallion import schemas
 from medallion.operators import audit
 from medallion.operators.marts import MARTS
 from medallion.plans.bronze import ingest_files, ingest_table, stream_files
-from medallion.plans.gold import refresh_mart, refresh_marts
-from medallion.plans.lake import Lake, read_facts, read_silver_rows, register_lake
+from medallion.plans.gold import refresh_mart, refresh_marts, refresh_states
+from medallion.plans.lake import Lake, merge_days, read_facts, read_silver_rows, register_lake
 from medallion.plans.silver import refresh_silver
+from medallion.sources import versions
 from medallion.sources.reference import read_reference, read_reference_csv, replace_reference
 from medallion.sources.files import counted_casts
 from medallion.sources.tables import optional_table, read_table, replace_table
@@ -259,3 +260,55 @@ def test_two_streams_fill_one_lake(spark, lake, tmp_path):
         add_file(spark, tmp_path / f"raw{k}", [(k, 10 + k, "de", k, 1.0)])
         stream_files(spark, str(tmp_path / f"raw{k}"), lake, str(tmp_path / f"cp{k}")).awaitTermination()
     assert read_facts(spark, lake).count() == 2
+
+
+def test_marts_from_day_states(spark, lake, tmp_path):
+    def same(*marts):
+        for mart in marts or MARTS:
+            schema = MARTS[mart].schema
+            kept = [name for name in schema.names if not name.startswith("_gold")]
+            built = []
+            for by_days in (True, False):
+                refresh_mart(spark, lake, mart, "g", DAY, by_days=by_days)
+                built.append(sorted(read_table(spark, lake.gold(mart), schema).select(*kept).collect(), key=str))
+            assert [len(row) for row in built[0]] == [len(row) for row in built[1]]
+            for one, other in zip(*built, strict=True):
+                assert list(one) == pytest.approx(list(other))
+
+    def load(rows, k):
+        add_file(spark, tmp_path / "raw", rows)
+        ingest_files(spark, str(tmp_path / "raw"), lake, f"b{k}", DAY + dt.timedelta(hours=k))
+        refresh_silver(spark, lake, f"s{k}", DAY + dt.timedelta(hours=k))
+
+    with pytest.raises(FileNotFoundError):
+        refresh_states(spark, lake, "country_overview")
+    load([(1, 10, "de", 0, 50.0), (2, 11, " ci", 1, 10.0), (3, 10, "de", 3000, 70.0)], 1)
+    same("daily_country_stats", "country_overview")
+    assert refresh_states(spark, lake, "country_overview") == 0
+    # Late rows for the first day alone: a device that the country has on another day, and a new one.
+    load([(4, 10, "de", 2, 20.0), (5, 12, "de", 3, 30.0)], 2)
+    assert refresh_states(spark, lake, "country_overview") == 4
+    same("country_overview", "device_lifecycle", "hourly_battery_health")
+    # Merged days are other folders with the same rows.
+    merge_days(spark, lake)
+    assert refresh_states(spark, lake, "country_overview") == 4
+    same("country_overview")
+    assert len(versions.latest(spark, lake.states("country_overview")).folders) == 2
+
+
+def test_day_states_of_two_writers(spark, lake, tmp_path, monkeypatch):
+    add_file(spark, tmp_path / "raw", [(1, 10, "de", 0, 50.0), (2, 11, " ci", 1, 10.0)])
+    ingest_files(spark, str(tmp_path / "raw"), lake, "b1", DAY)
+    refresh_silver(spark, lake, "s1", DAY)
+    plain = versions.write_attempt
+
+    def late(*args, **kwargs):
+        monkeypatch.setattr(versions, "write_attempt", plain)
+        entry = plain(*args, **kwargs)
+        assert refresh_states(spark, lake, "country_overview") == 2
+        return entry
+
+    monkeypatch.setattr(versions, "write_attempt", late)
+    assert refresh_states(spark, lake, "country_overview") == 0
+    version = versions.latest(spark, lake.states("country_overview"))
+    assert version.number == 1 and versions.rows_of(spark, lake.states("country_overview"), version).count() == 2
