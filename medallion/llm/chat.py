@@ -66,17 +66,40 @@ def preference_turns(turns: DataFrame) -> DataFrame:
     )
 
 
-def neighbour_pairs(conversations: DataFrame) -> DataFrame:
-    """Conversations 2n and 2n + 1 as the chosen and the rejected side of pair n."""
-    side = F.when(F.pmod("conv_id", F.lit(2)) == 0, F.lit(CHOSEN)).otherwise(F.lit(REJECTED))
-    pair = F.floor(F.col("conv_id") / 2).cast("long")
-    return conversations.select(pair.alias("pair_id"), side.alias("side"), "turn", "role", "text")
+def answer_pairs(conversations: DataFrame) -> DataFrame:
+    """Every conversation as the chosen side of the pair that has its id. Rejected are the same turns with the last
+    answer that the assistant of conversation ``conv_id ^ 1`` gave in place of the last one here; where there is none,
+    the turns without it. Rows without a conversation or a turn are left out; of an answer's texts the greatest counts.
+
+    Answers are joined by conversation, one row each, and turns by conversation and turn, so a conversation that holds
+    a large share of all turns is spread.
+    """
+    known = conversations.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    known = known.select(F.col("conv_id").cast("long").alias("pair_id"), "turn", "role", "text")
+    answers = known.where(F.col("role") == TRAINED_ROLE).groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    other = answers.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.col("last.text").alias("text"))
+    swapped = answers.select("pair_id", F.col("last.turn").alias("turn"), F.lit(TRAINED_ROLE).alias("role")).join(other, "pair_id")
+    kept = known.join(answers.select("pair_id", F.col("last.turn").alias("turn")), ["pair_id", "turn"], "left_anti")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("pair_id", F.lit(name).alias("side"), "turn", "role", "text")
+
+    return side(known, CHOSEN).unionByName(side(kept, REJECTED)).unionByName(side(swapped, REJECTED))
 
 
 CHAT_SQL = """
-WITH said AS (
-  SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, min(struct_pack(role := role, text := text)) AS said
-  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL
+WITH known AS (
+  SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), answers AS (
+  SELECT pair_id, max(turn) AS turn FROM known WHERE role = 'assistant' GROUP BY pair_id
+), last_texts AS (
+  SELECT pair_id, turn, max(text) AS text FROM known JOIN answers USING (pair_id, turn) WHERE role = 'assistant' GROUP BY ALL
+), sides AS (
+  SELECT pair_id, 0 AS side, turn, role, text FROM known
+  UNION ALL SELECT pair_id, 1, turn, role, text FROM known ANTI JOIN answers USING (pair_id, turn)
+  UNION ALL SELECT a.pair_id, 1, a.turn, 'assistant', b.text FROM last_texts a JOIN last_texts b ON xor(a.pair_id, 1) = b.pair_id
+), said AS (
+  SELECT pair_id, side, turn, min(struct_pack(role := role, text := text)) AS said FROM sides GROUP BY ALL
 ), met AS (
   SELECT pair_id, turn, max(said) FILTER (side = 0) AS chosen, max(said) FILTER (side = 1) AS rejected
   FROM said GROUP BY ALL

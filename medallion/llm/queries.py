@@ -36,7 +36,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.preference_turns(chat.neighbour_pairs(table(spark, sf_dir, "conversations")))
+    return chat.preference_turns(chat.answer_pairs(table(spark, sf_dir, "conversations")))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

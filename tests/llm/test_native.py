@@ -137,3 +137,31 @@ def test_one_row_of_equal_texts_stays(spark):
     kept = exact.one_row_of_each_text(docs).collect()
     assert [*kept[0].asDict()] == ["doc_id", "text", "row"]
     assert sorted((r["doc_id"] or 0, " ".join((r["text"] or "").split())) for r in kept) == [(0, "c"), (2, "a b"), (5, "d"), (5, "e"), (7, "")]
+
+
+def test_answer_pairs(spark):
+    schema = "conv_id long, turn int, role string, text string, side string"
+    rows = [
+        (2, 0, "user", "hi", "x"), (2, 1, "assistant", "a", "x"), (2, 2, "user", "bye", "x"), (2, 3, "assistant", "b", "x"),
+        (3, 0, "user", "so", "x"), (3, 1, "assistant", "c", "x"),
+        (4, 0, "user", "alone", "x"), (4, 1, "assistant", None, "x"),
+        (6, 0, "user", None, "x"), (6, 1, None, "d", "x"),
+        (None, 0, "user", "no", "x"), (8, None, "user", "no", "x"), (3, 1, "assistant", "c", "x"),
+        (8, 0, "assistant", "same", "x"), (9, 0, "assistant", "same", "x"), (10, 0, "assistant", "only", "x"),
+    ]
+    pairs = chat.answer_pairs(spark.createDataFrame(rows, schema))
+    found = {(r["pair_id"], r["part"], r["turn"], r["body"], r["trained"]) for r in chat.preference_turns(pairs).collect()}
+
+    def turn(pair, part, number, text, trained=False):
+        return pair, part, number, f"{text}<|end|>\n", trained
+
+    assert found == {
+        turn(2, "prompt", 0, "hi"), turn(2, "prompt", 1, "a"), turn(2, "prompt", 2, "bye"),
+        turn(2, "chosen", 3, "b", True), turn(2, "rejected", 3, "c", True),
+        turn(3, "prompt", 0, "so"), turn(3, "chosen", 1, "c", True), turn(3, "rejected", 1, "b", True),
+        # No neighbour: the answer stands alone. No answer: the sides are equal. One answer alone: no pair.
+        turn(4, "prompt", 0, "alone"), turn(4, "chosen", 1, "", True),
+        turn(6, "prompt", 0, ""), turn(6, "prompt", 1, "d"),
+        turn(8, "prompt", 0, "same"), turn(9, "prompt", 0, "same"),
+    }
+    assert chat.answer_pairs(spark.createDataFrame([], schema)).count() == 0
