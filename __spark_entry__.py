@@ -32,15 +32,16 @@ from medallion.operators.dedup import fact_dedup, latest_by
 from medallion.operators.indexing import dense_index
 from medallion.operators.joins import MAX_BROADCAST_BYTES, lookup_join, salted_join
 from medallion.operators.marts import MARTS, MartSpec, aggregate, build_mart, stamped
+from medallion.plans import key_filters
 from medallion.plans.bronze import ingest_files, stream_files
 from medallion.plans.gold import refresh_mart
-from medallion.plans.lake import Lake, merge_days, read_facts, register_lake
+from medallion.plans.lake import ATTEMPT, SILVER_LEDGER, Lake, merge_days, read_facts, read_silver_rows, register_lake, write_rows
 from medallion.plans.silver import refresh_silver
 from medallion.plans.stream_silver import rebuild_all, refresh_from_changes
 from medallion.session import configure, scratch_path
 from medallion.sources import files, samples, versions
 from medallion.sources.reference import read_reference, replace_reference
-from medallion.sources.tables import read_table, register_views, write_once
+from medallion.sources.tables import append, read_table, register_views, write_once
 from medallion.sources.versions import file_system
 from medallion.streaming import envelope, layers
 from medallion.streaming import queries as streams
@@ -560,6 +561,22 @@ def increment_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return increment.new_facts(bronze, silver, mode="increment")
 
 
+@query
+def unseen_by_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows by filters of silver's keys. Silver lies in two attempts, of which one has filters."""
+    bronze, silver = stored_bronze(spark, sf_dir, copies=True), existing_silver(spark, sf_dir)
+    lake = Lake(scratch_path(spark, "lake"))
+    for rest in (0, 1):
+        write_rows(silver.where(F.col("source_id") % 2 == rest), lake.silver, f"a{rest}")
+        entry = {**dict.fromkeys(SILVER_LEDGER.names), ATTEMPT: f"a{rest}"}
+        append(spark.createDataFrame([entry], SILVER_LEDGER), lake.silver_ledger)
+        if rest == 0:
+            key_filters.refresh_key_filters(spark, lake)
+    newest = increment.newest_load(read_silver_rows(spark, lake), "_bronze_loaded_at")
+    selected = increment.overlap_selection(bronze, newest)
+    return key_filters.unseen_by_filters(spark, lake, fact_dedup(selected), selected)
+
+
 @query
 def silver_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver through the star: facts decoded with the dimension tables."""

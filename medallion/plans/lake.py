@@ -75,6 +75,10 @@ class Lake:
     def silver(self) -> str:
         return self.path("silver/telemetry")
 
+    @property
+    def silver_keys(self) -> str:
+        return self.path("state/silver_keys")
+
     def gold(self, mart: str) -> str:
         return self.path(f"gold/{mart}")
 

@@ -13,6 +13,7 @@ from medallion.operators.dedup import fact_dedup
 from medallion.operators.enrich import build_silver, load_decoders
 from medallion.operators.increment import OVERLAP_HOURS, choose_mode, newest_load, overlap_selection, unseen
 from medallion.operators.indexing import dense_index
+from medallion.plans.key_filters import refresh_key_filters, unseen_by_filters
 from medallion.plans.lake import (
     ATTEMPT,
     BRONZE_LEDGER,
@@ -53,14 +54,16 @@ def refresh_silver(
     mode: str = "auto",
     overlap_hours: int = OVERLAP_HOURS,
     files_per_job: int = FILES_PER_JOB,
+    by_filters: bool = False,
 ) -> SilverResult:
     """Add the bronze rows silver lacks, and record the run whether it succeeds or fails. A run that is cut short
-    goes on behind the files that it has entered into the ledger."""
+    goes on behind the files that it has entered into the ledger. ``by_filters`` keeps filters of silver's keys and
+    reads only what they let through; the rows are the same."""
     started = now or dt.datetime.now(dt.timezone.utc)
     results: list[SilverResult] = []
 
     def work() -> dict:
-        result = _refresh(spark, lake, batch_id, second_text(started), mode, overlap_hours, files_per_job)
+        result = _refresh(spark, lake, batch_id, second_text(started), mode, overlap_hours, files_per_job, by_filters)
         results.append(result)
         return {
             "rows_bronze_in": result.n_selected,
@@ -97,6 +100,7 @@ def _refresh(
     mode: str,
     overlap_hours: int,
     files_per_job: int,
+    by_filters: bool,
 ) -> SilverResult:
     """Catch up file by file, a bounded number in each job, or look at the latest loads once more."""
     pending = pending_files(spark, lake)
@@ -104,7 +108,8 @@ def _refresh(
     if chosen == "increment":
         newest = newest_load(optional_table(spark, lake.silver_ledger, SILVER_LEDGER))
         fact = _facts(spark, lake)
-        return _take_in(spark, lake, batch_id, built_at, chosen, overlap_selection(fact, newest, overlap_hours), None)
+        selected = overlap_selection(fact, newest, overlap_hours)
+        return _take_in(spark, lake, batch_id, built_at, chosen, selected, None, by_filters)
     total = SilverResult(chosen, 0, 0, 0)
     for first in range(0, pending.count(), files_per_job):
         number = F.col("number")
@@ -112,7 +117,7 @@ def _refresh(
         # At most ``files_per_job`` hashes.
         hashes = F.broadcast(part.select(F.col("etag").alias("_file_hash")))
         selected = _facts(spark, lake).join(hashes, "_file_hash", "left_semi")
-        done = _take_in(spark, lake, batch_id, built_at, chosen, selected, part)
+        done = _take_in(spark, lake, batch_id, built_at, chosen, selected, part, by_filters)
         total = SilverResult(
             chosen,
             total.n_selected + done.n_selected,
@@ -135,12 +140,16 @@ def _take_in(
     mode: str,
     selected: DataFrame,
     files: DataFrame | None,
+    by_filters: bool,
 ) -> SilverResult:
     """One write, with its counts observed while it runs; then the ledger entry that makes it count."""
     attempt = new_attempt()
     rows_in, n_selected = audit.counting(selected)
     newest, n_dedup = audit.counting(fact_dedup(rows_in))
-    fresh = unseen(newest, selected, read_silver_rows(spark, lake))
+    if by_filters:
+        fresh = unseen_by_filters(spark, lake, newest, selected)
+    else:
+        fresh = unseen(newest, selected, read_silver_rows(spark, lake))
     decoders = load_decoders(read_table(spark, lake.dims, CATEGORY_DIM), read_table(spark, lake.devices, DEVICE_DIM))
     reference = read_reference(spark, lake.reference)
     rows = build_silver(fresh, decoders, reference, batch_id, built_at, keys_from=selected)
@@ -151,6 +160,8 @@ def _take_in(
         files = spark.range(1).select(F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("loaded_at"))
     if files is not None:  # else late rows were looked for and none found: there is nothing to enter
         append(files.withColumns(entry).select(*SILVER_LEDGER.names).coalesce(1), lake.silver_ledger)
+    if by_filters:
+        refresh_key_filters(spark, lake)
     return SilverResult(
         mode,
         audit.counted(n_selected, selected.count),

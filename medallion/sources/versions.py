@@ -191,19 +191,25 @@ def drop_attempt(spark: SparkSession, path: str, attempt: str) -> None:
 
 
 def rows_of(
-    spark: SparkSession, path: str, version: Version, schema: T.StructType | None = None, folders: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    version: Version,
+    schema: T.StructType | None = None,
+    folders: Sequence[str] | None = None,
+    with_attempt: bool = False,
 ) -> DataFrame:
-    """The rows of a version, or of some of its folders."""
+    """The rows of a version, or of some of its folders; on request with the attempt that wrote them."""
     if folders is None:
         folders = sorted(folder for entry in version.entries if entry.final for folder in entry.folders)
     known = schema or T.StructType.fromJson(json.loads(version.schema))
+    stored = T.StructType([*nullable(known).fields, T.StructField(ATTEMPT, T.StringType())])
+    names = stored.names if with_attempt else known.names
     if not folders:
-        return spark.createDataFrame([], nullable(known))
+        return spark.createDataFrame([], stored).select(*names)
     base = f"{path.rstrip('/')}/{DATA}"
-    stored = T.StructType([*nullable(known).fields, T.StructField(ATTEMPT, T.StringType())])
     reader = spark.read.schema(stored).option("basePath", base)
     # Partition columns come last in a parquet folder; put them back in contract order.
-    return reader.parquet(*(escaped(f"{base}/{folder}") for folder in folders)).select(*known.names)
+    return reader.parquet(*(escaped(f"{base}/{folder}") for folder in folders)).select(*names)
 
 
 def replace_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Version:

@@ -460,6 +460,7 @@ def silver_queries() -> dict[str, str]:
         "UNION ALL SELECT sha256('part-late') FROM events WHERE event_type = 'purchase' GROUP BY 1",
         "file_catchup": fresh,
         "increment_overlap": fresh,
+        "unseen_by_filters": fresh,
         "silver_wide": with_("silver", "SELECT * FROM silver"),
         "silver_direct": with_("silver", "SELECT * FROM silver"),
         "silver_restored_nulls": with_(
