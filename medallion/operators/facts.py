@@ -27,6 +27,7 @@ from medallion.operators.joins import (
 )
 from medallion.schemas import FACT, FLAG_COLUMNS
 from medallion.session import scratch_path
+from medallion.sources.buckets import Layout, joined, lay_out
 from medallion.sources.tables import write_once
 
 FACT_NAMESPACE = "fact_telemetry"
@@ -94,13 +95,14 @@ def with_looked_up_keys(
     specs: Sequence[DimSpec] = CATEGORY_DIMS,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Surrogate keys read from the dimension tables; see ``Lookups`` for the device."""
+    """Surrogate keys read from the dimension tables; see ``Lookups`` for the device. Device ids that the source has
+    already (``with_bucketed_devices``) stay."""
     small = broadcastable(lookups.sizes, max_broadcast_bytes)
     keyed = source.withColumns({f"_{spec.name}": normalize_key(spec.source) for spec in specs})
-    if lookups.devices is None:
-        keyed = keyed.withColumn("device_uid", device_stable_uid())
-    else:
+    if lookups.devices is not None:
         keyed = keyed.withColumn("device_id", device_key())
+    elif "device_uid" not in source.columns:
+        keyed = keyed.withColumn("device_uid", device_stable_uid())
     # Hot keys are looked for in the source, not in what the joins before have made.
     natural = keyed.select("device_id", *[f"_{spec.name}" for spec in specs])
     if lookups.devices is not None:
@@ -110,6 +112,14 @@ def with_looked_up_keys(
     return keyed.drop(*[f"_{spec.name}" for spec in specs])
 
 
+def with_bucketed_devices(source: DataFrame, devices: DataFrame, layout: Layout) -> DataFrame:
+    """The source with device ids from a table of any size, for loads that are looked up more than once: both are laid
+    out by device, after which a lookup shuffles neither."""
+    keyed = source.withColumn("device_id", device_key())
+    lay_out(keyed, device_mapping(devices), layout)
+    return joined(source.sparkSession, layout)
+
+
 def _looked_up(df: DataFrame, mapping: DataFrame, on: str, small: bool, keys_from: DataFrame) -> DataFrame:
     return df.join(F.broadcast(mapping), on, "left") if small else salted_join(df, mapping, on, "left", keys_from=keys_from)
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 REQUIRED = True
 _TYPES = {
     "string": T.StringType(),
+    "int": T.IntegerType(),
     "long": T.LongType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
@@ -453,6 +454,18 @@ FILE_LOADS = contract(
     ("remote_log", "string"),
     ("message", "string"),
 )
+STREAM_BATCHES = contract(
+    ("event_at", "string"),
+    ("query_id", "string"),
+    ("run_id", "string"),
+    ("query_name", "string"),
+    ("batch", "long"),
+    ("rows_in", "long"),
+    ("rows_behind", "long"),
+    ("duration_sec", "double"),
+    ("status", "string"),
+    ("message", "string"),
+)
 LAYER_RUNS = contract(
     ("event_at", "string"),
     ("dag_id", "string"),

@@ -14,6 +14,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # State of streams on the executors' disks, not in their heaps.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Concerns only tables whose schema names field ids (sources/contracts.py).
+    "spark.sql.parquet.fieldId.read.enabled": "true",
 }
 
 _local_dirs: dict[str, str] = {}

@@ -46,7 +46,8 @@ class Entry:
 
 @dataclass(frozen=True)
 class Version:
-    """``notes`` are what the writer of a version wants to know next time; the next version has those it is given."""
+    """``notes`` are what the writer of a version wants to know next time; the next version keeps them unless it is
+    given others."""
 
     number: int
     entries: tuple[Entry, ...]
@@ -80,7 +81,7 @@ def escaped(place: str) -> str:
 
 
 def nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
@@ -159,7 +160,7 @@ def change(
         entries = step(now)
         if entries is None:
             return None
-        after = Version(now.number + 1, tuple(entries), schema or now.schema, notes or {})
+        after = Version(now.number + 1, tuple(entries), schema or now.schema, now.notes if notes is None else notes)
         if publish(spark, path, after):
             return after
     raise RuntimeError(f"{_TRIES} other writers were first at {path}")
@@ -217,7 +218,7 @@ def replace_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     spark, schema = df.sparkSession, df.schema.json()
     entry = write_attempt(df, path, partition_by)
     try:
-        published = change(spark, path, lambda now: [entry], schema)
+        published = change(spark, path, lambda now: [entry], schema, {})
     except Exception:
         drop_attempt(spark, path, entry.attempt)
         raise
