@@ -123,15 +123,30 @@ def read_queue(
     return stream if tablet_index is None else stream.where(F.col("tablet_index") == tablet_index)
 
 
+def without_repeats(queue: DataFrame, within: str) -> DataFrame:
+    """Queue rows whose message has not come in the time before, e.g. ``"2 hours"``. Keys are kept in the state store
+    for that long after their first arrival and survive a restart.
+
+    Time is when the stream reads a row, not a time in it: no row can be late, so none is dropped but repeats, and a
+    repeat that comes after its key has left the state is collapsed on read like any other.
+    """
+    timed = queue.withColumn("_read_at", F.current_timestamp()).withWatermark("_read_at", within)
+    return timed.dropDuplicatesWithinWatermark(["kafka_topic", "stream_id", "kafka_partition", "kafka_offset"]).drop("_read_at")
+
+
 def raw_to_bronze(
     queue: DataFrame,
     bronze_path: str,
     checkpoint: str,
     every: str | None = None,
     name: str | None = None,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Append queue rows to bronze, one row per key within a batch. Keys that come again in a later batch
-    are collapsed on read. Start one query per queue partition to keep a failing one from stopping others."""
+    are collapsed on read, or with ``once_within`` not written (see ``without_repeats``; it is fixed with the
+    checkpoint). Start one query per queue partition to keep a failing one from stopping others."""
+    if once_within is not None:
+        queue = without_repeats(queue, once_within)
 
     def write(batch: DataFrame, query: str, epoch: int) -> None:
         rows = collapse(topic_bronze_rows(batch, now_text()))
