@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 import warnings
 from collections.abc import Callable
 from dataclasses import replace
@@ -39,11 +40,11 @@ from medallion.plans.lake import ATTEMPT, SILVER_LEDGER, Lake, merge_days, read_
 from medallion.plans.silver import refresh_silver
 from medallion.plans.stream_silver import rebuild_all, refresh_from_changes
 from medallion.session import configure, scratch_path
-from medallion.sources import files, samples, versions
+from medallion.sources import buckets, contracts, files, samples, versions
 from medallion.sources.reference import read_reference, replace_reference
 from medallion.sources.tables import append, read_table, register_views, write_once
 from medallion.sources.versions import file_system
-from medallion.streaming import envelope, layers
+from medallion.streaming import envelope, layers, records
 from medallion.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,6 +281,18 @@ def fact_lookup_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def fact_lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts and devices bucketed alike, so that device ids made elsewhere come without a shuffle of facts."""
+    categories, devices = stored_dimensions(spark, sf_dir)
+    own = devices.withColumn("device_uid", F.concat(F.lit("own-"), "device_uid"))
+    name = f"lookup_{uuid.uuid4().hex}"
+    layout = buckets.Layout(name, scratch_path(spark, name), "device_id", buckets=8)
+    source = facts.with_bucketed_devices(facts.fact_source(raw_parts(spark, sf_dir)), own, layout)
+    keyed = facts.require_all_keys(facts.with_looked_up_keys(source, facts.load_lookups(categories)))
+    return conform(keyed.withColumn("device_uid", F.regexp_extract("device_uid", "^own-(.*)$", 1)), schemas.FACT)
+
+
 @query
 def fact_random_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts keyed with random ids, decoded again: the natural values must come back."""
@@ -1039,6 +1052,46 @@ def stream_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(rows, "task_id")
 
 
+@query
+def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queue rows delivered twice, the second time after a restart of the stream: as stored, without a collapse."""
+    root, queue = scratch_path(spark, "stream"), queue_rows(spark, sf_dir)
+    for delivery in (0, 1):
+        streams.write_epoch(queue, f"{root}/raw", "q", delivery, ["tablet_index"])
+        stream = streams.read_queue(spark, f"{root}/raw")
+        streams.raw_to_bronze(stream, f"{root}/bronze", f"{root}/cp", once_within="2 hours").awaitTermination()
+    stored = spark.read.schema(streams.STORED_BRONZE).parquet(f"{root}/bronze").select(*schemas.BRONZE_STREAM.names)
+    return stored.withColumn("processed_at", F.lit("2024-02-01T00:05:00Z"))
+
+
+@query
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of the batches of three queries, of which one fails: rows by query, beside the rows they wrote."""
+    root = scratch_path(spark, "stream")
+    topic = write_topic(spark, sf_dir, f"{root}/topic")
+
+    def fail(batch: DataFrame, identity: str, epoch: int) -> None:
+        raise RuntimeError("no batch passes")
+
+    with records.recorded_batches(spark, f"{root}/batches"):
+        streams.topic_to_raw(topic, f"{root}/raw", f"{root}/rejects", f"{root}/cp_raw", name="raw").awaitTermination()
+        queue = streams.read_queue(spark, f"{root}/raw", max_files=2)
+        streams.raw_to_bronze(queue, f"{root}/bronze", f"{root}/cp", name="bronze").awaitTermination()
+        try:
+            streams.run_stream(topic, fail, f"{root}/cp_bad", name="bad").awaitTermination()
+        except StreamingQueryException:
+            pass
+    batches = read_table(spark, f"{root}/batches", schemas.STREAM_BATCHES)
+    written = [spark.read.parquet(f"{root}/{place}").select(F.lit("raw").alias("query_name")) for place in ("raw", "rejects")]
+    stored = written[0].unionByName(written[1]).groupBy("query_name").agg(F.count("*").alias("n_written"))
+    found = batches.groupBy("query_name").agg(
+        F.coalesce(F.sum("rows_in"), F.lit(0)).alias("rows_in"),
+        F.count_if(F.col("status") == records.FAILED).alias("n_failed"),
+        F.count_if(F.contains(F.col("message"), F.lit("no batch passes"))).alias("n_errors"),
+    )
+    return found.join(stored, "query_name", "left")
+
+
 @query
 def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A micro-batch that fails behind its write is run again and replaces what it wrote: offsets move last."""
@@ -1136,6 +1189,22 @@ def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evolve(customers, schemas.table(string="c_mktsegment c_language", long="c_visits"), after="c_name")
 
 
+@query
+def schema_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three generations of one table, each written by the contract of its time, read by today's."""
+    path, orders = scratch_path(spark, "contracts"), samples.sample_table(spark, sf_dir, "orders")
+    orders = orders.withColumns({"customer": F.col("o_custkey").cast("int"), "status": F.col("o_orderstatus")})
+    contracts.create(spark, path, schemas.table(long="o_orderkey", int="customer", string="o_orderstatus o_clerk_note"))
+    contracts.append_rows(orders.where("o_orderkey % 3 = 0").withColumn("o_clerk_note", F.lit("old")), path)
+    contracts.rename(spark, path, "o_orderstatus", "status")
+    contracts.widen(spark, path, "customer", T.LongType())
+    contracts.drop(spark, path, "o_clerk_note")
+    contracts.append_rows(orders.where("o_orderkey % 3 = 1").withColumn("customer", F.col("o_custkey") + (1 << 40)), path)
+    contracts.add(spark, path, "o_orderpriority", T.StringType())
+    contracts.append_rows(orders.where("o_orderkey % 3 = 2"), path)
+    return contracts.read_rows(spark, path)
+
+
 @query
 def schema_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = samples.sample_table(spark, sf_dir, "orders").withColumn("o_orderkey", F.col("o_orderkey").cast("string"))

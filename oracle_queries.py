@@ -423,6 +423,7 @@ def bronze_queries() -> dict[str, str]:
         "fact_stable_keys": with_("parts", fact_sql("parts")),
         "fact_lookup": with_("parts", fact_sql("parts")),
         "fact_lookup_large": with_("parts", fact_sql("parts")),
+        "fact_lookup_bucketed": with_("parts", fact_sql("parts")),
         "fact_random_keys": with_(
             "raw",
             "SELECT "
@@ -531,12 +532,18 @@ FROM events WHERE event_type IN ('error', 'signup')""",
             "SELECT table_name AS task_id, 'success' AS status, CAST(0 AS BIGINT) AS rc, CAST(2 AS BIGINT) AS n_runs, "
             f"count(*) AS n_rows FROM ({fan_out('id')}) GROUP BY table_name",
         ),
+        "stream_batches": """SELECT query_name, CAST(CASE query_name WHEN 'raw' THEN messages WHEN 'bronze' THEN good ELSE 0 END AS BIGINT)
+  AS rows_in, CAST(query_name = 'bad' AS BIGINT) AS n_failed, CAST(query_name = 'bad' AS BIGINT) AS n_errors,
+  CAST(CASE WHEN query_name = 'raw' THEN messages END AS BIGINT) AS n_written
+FROM (SELECT 2 * count(*) AS messages, 2 * count(*) FILTER (event_type NOT IN ('error', 'signup')) AS good FROM events),
+  (VALUES ('raw'), ('bronze'), ('bad')) AS names(query_name)""",
         "stream_replayed": "SELECT 'raw-events' AS topic, CAST(0 AS BIGINT) AS partition, 2 * count(*) AS n_rows, "
         "CAST(2 * sum(event_id) AS BIGINT) AS sum_offset FROM events",
     }
     same = {
         "bronze_compacted": "bronze_upsert",
         "bronze_buckets": "bronze_upsert",
+        "stream_deduplicated": "bronze_upsert",
         "silver_from_changes": "bronze_partitions",
     }
     return {**found, **{name: found[other] for name, other in same.items()}}
@@ -570,6 +577,9 @@ FROM listing WHERE size >= 2000""",
         "FROM orders",
         "schema_evolve": "SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_language, CAST(NULL AS BIGINT) AS "
         "c_visits, c_mktsegment FROM customer",
+        "schema_versions": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN o_custkey + 1099511627776 ELSE o_custkey END "
+        "AS customer, o_orderstatus AS status, CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority "
+        "FROM orders",
         "schema_conform": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
         "run_durations": with_("runs", f"SELECT run_id, load_status, {span} AS duration_sec FROM runs"),
         "run_rollup": with_(
