@@ -223,6 +223,31 @@ def test_only_ranges_with_fresh_rows_are_read_and_written(spark, tmp_path):
     assert held(spark, path) == expected and streams.stored_folders(spark, path) == []
 
 
+def test_narrow_ranges_are_widened_when_they_are_too_many(spark, tmp_path):
+    path, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    table, many = streams.keyed_table(path), keyed.RANGES + 44
+    streams.write_epoch(numbered(spark, range(5), "p0"), path, "q", 0, ["tablet_index"])
+    streams.compact(spark, path, range_bits=0)
+    assert len(versions.latest(spark, table).folders) == 5 and streams.apply_changes(spark, path, SPEC, silver) == 1
+    streams.write_epoch(numbered(spark, range(3, many), "p1"), path, "q", 1, ["tablet_index"])
+    streams.compact(spark, path)
+    wide = versions.latest(spark, table)
+    assert len(wide.folders) <= keyed.RANGES // keyed.FEWER and wide.notes[keyed.BITS] == 4
+    expected = [(n, "p0" if n < 3 else "p1") for n in range(many)]
+    assert held(spark, path) == expected
+    changed = keyed.changed_since(spark, table, streams.KEYED_BRONZE, wide, 1).collect()
+    assert sorted((r["row_index"], r[keyed.FIRST]) for r in changed) == [(n, 1 if n < 5 else 2) for n in range(3, many)]
+    assert streams.apply_changes(spark, path, SPEC, silver) == 1
+    assert [n for n, _, _ in silver_of(spark, silver)] == list(range(many))
+    # From then on only ranges with fresh rows are written.
+    streams.write_epoch(numbered(spark, [20], "p2"), path, "q", 2, ["tablet_index"])
+    streams.compact(spark, path)
+    after = versions.latest(spark, table)
+    assert {keyed.range_of(f) for f in after.folders - wide.folders} == {"0-1"}
+    assert held(spark, path) == [(n, "p2" if n == 20 else at) for n, at in expected]
+    assert keyed.widened({f"none-{n}" for n in ("none", *range(-200, 200))}, 20) == 20
+
+
 def test_of_two_compactions_one_gives_way(spark, tmp_path, monkeypatch):
     path, table = str(tmp_path / "bronze"), streams.keyed_table(str(tmp_path / "bronze"))
     streams.write_epoch(numbered(spark, range(4), "p0"), path, "q", 0, ["tablet_index"])
