@@ -29,6 +29,7 @@ from medallion.sources.files import (
     list_files,
     new_files,
     scan_files,
+    spread_rows,
     stamp_batch,
     stamp_table_source,
     unreadable,
@@ -117,7 +118,7 @@ def ingest_table(
     known = etag is None or ledger is not None and not ledger.where(F.col("etag") == etag[0]).isEmpty()
     if known:
         return BronzeResult(batch_id, 0, 0, 0, 0)
-    n_facts, n_categories, n_devices = ingest_frame(spark, stamped, lake, loaded_at, attempt)
+    n_facts, n_categories, n_devices = ingest_frame(spark, spread_rows(stamped, n_rows), lake, loaded_at, attempt)
     entry = {"path": name, "etag": etag[0], "size": n_rows, "part_index": 0, "batch_id": batch_id}
     commit(spark, lake, attempt, loaded_at, [entry])
     return BronzeResult(batch_id, 0, n_facts, n_categories, n_devices)
@@ -213,7 +214,8 @@ def _load_readable(
             append(bad.select(*REJECTED.names), lake.rejects)
             raw = raw.where(good)
         if len(failures) < len(files):
-            counts = ingest_frame(spark, raw.drop("_lost"), lake, loaded_at, attempt, random_ids)
+            n_rows = sum(outcomes[f["path"]].get("source_rows", 0) for f in files if f["path"] not in failures)
+            counts = ingest_frame(spark, spread_rows(raw.drop("_lost"), n_rows), lake, loaded_at, attempt, random_ids)
     loaded = [outcomes[file["path"]] for file in files if file["path"] not in failures]
     if loaded:
         commit(spark, lake, attempt, loaded_at, loaded)

@@ -3,17 +3,21 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
-from test_batch import raw_rows
+from test_batch import raw_rows, stamped
 
 from medallion import schemas
-from medallion.operators import audit
+from medallion.operators import audit, facts
+from medallion.operators.dedup import fact_dedup
 from medallion.operators.marts import MARTS
+from medallion.plans import bronze
 from medallion.plans.bronze import ingest_files, ingest_table, stream_files
 from medallion.plans.gold import refresh_mart, refresh_marts, refresh_states
 from medallion.plans.lake import Lake, merge_days, read_facts, read_silver_rows, register_lake
 from medallion.plans.silver import refresh_silver
-from medallion.sources import versions
+from medallion.session import INITIAL_PARTITIONS, MANY_PARTITIONS, configure
+from medallion.sources import files, versions
 from medallion.sources.reference import read_reference, read_reference_csv, replace_reference
 from medallion.sources.files import counted_casts
 from medallion.sources.tables import optional_table, read_table, replace_table
@@ -34,6 +38,25 @@ def add_file(spark, folder, rows):
     raw_rows(spark, rows).coalesce(1).write.mode("append").parquet(str(folder))
 
 
+def test_rows_of_one_row_group_become_facts_in_many_tasks(spark, lake, tmp_path, monkeypatch):
+    folder, tasks, plain = tmp_path / "raw", [], bronze.write_facts
+    add_file(spark, folder, [(n, n % 3, "de", n, 50.0) for n in range(9)])
+    monkeypatch.setattr(files, "ROWS_PER_TASK", 2)
+    monkeypatch.setattr(bronze, "write_facts", lambda s, raw, *more: tasks.append(raw.rdd.getNumPartitions()) or plain(s, raw, *more))
+    assert ingest_files(spark, str(folder), lake, "b1", DAY).n_facts == 9
+    assert tasks == [5] and sorted(r["source_id"] for r in read_facts(spark, lake).collect()) == list(range(9))
+
+
+def test_deduplicated_facts_start_with_many_partitions(spark):
+    fact = facts.build_fact(stamped(raw_rows(spark, [(1, 10, "de", 0, 50.0), (1, 10, "de", 0, 60.0), (2, 10, "de", 1, 5.0)])))
+    try:
+        newest = fact_dedup(fact)
+        assert f"{MANY_PARTITIONS})" in plan_of(newest) and newest.count() == 2
+    finally:
+        configure(spark)
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
 def test_files_to_gold_and_again(spark, lake, tmp_path):
     folder = tmp_path / "raw"
     add_file(spark, folder, [(1, 10, "de", 0, 50.0), (2, 11, " ci", 1, 10.0)])
