@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
+from test_batch import raw_rows, stamped
 from test_versions import DAY, add_file, lake  # noqa: F401
 
-from medallion.operators import key_filters
+from medallion.functions import stable_uuid
+from medallion.operators import enrich, facts, key_filters
+from medallion.operators.dedup import fact_dedup
 from medallion.operators.key_filters import build_filters, maybe_held
 from medallion.plans.bronze import ingest_files
 from medallion.plans.key_filters import refresh_key_filters
 from medallion.plans.lake import merge_days, read_silver_rows
 from medallion.plans.silver import refresh_silver
+from medallion.session import configure, short_methods
 from medallion.sources import versions
+from medallion.sources.tables import write_once
 
 
 def row(identity):
@@ -63,3 +70,54 @@ def test_silver_by_filters(spark, tmp_path, lake):  # noqa: F811
     assert refresh_key_filters(spark, lake) == 1 and refresh_key_filters(spark, lake) == 0
     assert len(versions.latest(spark, lake.silver_keys).folders) == 1
     assert sorted(row[0] for row in read_silver_rows(spark, lake).select("source_id").collect()) == [1, 2, 3]
+
+
+def test_code_of_wide_rows_is_kept_short(spark):
+    limit, splits, writers = "spark.sql.codegen.hugeMethodLimit", "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
+    raw = stamped(raw_rows(spark, [row(1), row(1), row(2)]))
+    reference = spark.createDataFrame([], "country_code string, country_name string, alpha3_code string, region string, sub_region string")
+    try:
+        for make in (facts.build_fact, lambda rows: enrich.silver_from_raw(rows, reference, "s", "2024-01-01 00:00:00")):
+            configure(spark)
+            assert spark.conf.get(limit, None) is None
+            make(raw)
+            # The JVM never compiles a method of more than 8,000 bytes.
+            assert int(spark.conf.get(limit)) <= 8000 and int(spark.conf.get(writers)) > 1
+            assert spark.conf.get(splits, None) is None
+        assert fact_dedup(facts.build_fact(raw)).count() == 2
+        assert spark.conf.get(splits, None) is not None
+        configure(spark)
+        # What the user has chosen stays.
+        spark.conf.set(splits, "7m")
+        fact_dedup(raw.withColumn("fact_uid", F.lit("a")))
+        assert spark.conf.get(splits) == "7m"
+    finally:
+        spark.conf.unset(splits)
+        configure(spark)
+    assert [spark.conf.get(name, None) for name in (limit, splits, writers)] == [None] * 3
+
+
+def test_more_days_than_open_files(spark, tmp_path):
+    """Days that a task has no open file for are written, too."""
+    days = spark.range(0, 90, 1, 1).select("id", F.concat(F.lit("d"), F.col("id") % 30).alias("event_date"))
+    short_methods(spark)
+    try:
+        written = write_once(days, str(tmp_path / "days"), ["event_date"])
+        assert sorted(map(tuple, written.collect())) == [(n, f"d{n % 30}") for n in range(90)]
+    finally:
+        configure(spark)
+
+
+def test_ids_are_cut_from_the_digest(spark):
+    found = spark.createDataFrame([("ä", 1), (None, 2)], "a string, n int").select(
+        stable_uuid("ns", "a", "n"), stable_uuid("ns", "a", "n", null_gives_null=True)
+    )
+
+    def cut(text):
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        return f"{digest[:8]}-{digest[8:12]}-5{digest[13:16]}-8{digest[16:19]}-{digest[19:31]}"
+
+    assert [tuple(r) for r in found.collect()] == [(cut("ns|ä|1"), cut("ns|ä|1")), (cut("ns|__null__|2"), None)]
+    assert [field.dataType.simpleString() for field in found.schema] == ["string", "string"]
+    # Characters of text would have to be counted for every piece.
+    assert "substring(cast(sha2" in found._jdf.queryExecution().optimizedPlan().toString()
